@@ -5,40 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from jobtide.functions.text import literal_map
 from jobtide.schemas import VARIANTS_TEXT
 from jobtide.vocab import BASIS_LABELS, MONTHLY_TYPES, PAY_FACTORS
 
 
 def pay_factor(unit: Column) -> Column:
-    name = F.lower(F.coalesce(unit, F.lit("month")))
-    by_factor: dict[float, list[str]] = {}
-    for period, factor in PAY_FACTORS.items():
-        by_factor.setdefault(factor, []).append(period)
-    out = F.lit(1.0)
-    for factor, periods in by_factor.items():
-        out = F.when(name.isin(periods), F.lit(factor)).otherwise(out)
-    return out
+    """Factor from a pay period to a month; unknown and missing periods count as months."""
+    table = literal_map(PAY_FACTORS, "double")
+    return F.coalesce(F.try_element_at(table, F.lower(unit)), F.lit(1.0))
 
 
 def parse_variants(json_text: Column) -> Column:
     """JSON array text -> array of typed variants; null where it is not a JSON array."""
     parsed = F.when(F.ltrim(json_text).startswith("["), F.from_json(json_text, VARIANTS_TEXT))
-    return F.transform(parsed, _typed)
-
-
-def _typed(v: Column) -> Column:
-    low, high = v["salary_min"].try_cast("double"), v["salary_max"].try_cast("double")
-    factor = pay_factor(v["unit"])
-    return F.struct(
-        v["employment_type"].alias("employment_type"),
-        low.alias("salary_min"),
-        high.alias("salary_max"),
-        v["currency"].alias("currency"),
-        v["unit"].alias("pay_unit"),
-        (v["is_gross"] == "true").alias("is_gross"),
-        F.round(low * factor, 0).alias("salary_min_monthly"),
-        F.round(high * factor, 0).alias("salary_max_monthly"),
-    )
+    typed = F.transform(parsed, lambda v: F.struct(
+        v.alias("raw"), v["salary_min"].try_cast("double").alias("low"),
+        v["salary_max"].try_cast("double").alias("high"), pay_factor(v["unit"]).alias("factor")))
+    return F.transform(typed, lambda t: F.struct(
+        t["raw"]["employment_type"].alias("employment_type"),
+        t["low"].alias("salary_min"),
+        t["high"].alias("salary_max"),
+        t["raw"]["currency"].alias("currency"),
+        t["raw"]["unit"].alias("pay_unit"),
+        (t["raw"]["is_gross"] == "true").alias("is_gross"),
+        F.round(t["low"] * t["factor"], 0).alias("salary_min_monthly"),
+        F.round(t["high"] * t["factor"], 0).alias("salary_max_monthly"),
+    ))
 
 
 def contract_basis(employment_type: Column) -> Column:

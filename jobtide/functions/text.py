@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -22,8 +23,14 @@ def truthy(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def literal_map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+def literal_map(pairs: dict, value_type: str = "string") -> Column:
+    """A constant map; Spark folds it into one literal of the plan."""
+    text = json.dumps(pairs, ensure_ascii=False)
+    return F.from_json(F.lit(text), f"map<string,{value_type}>")
+
+
+def literal_list(values: list[str]) -> Column:
+    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), "array<string>")
 
 
 def canonical_skills(skills: Column, aliases: dict[str, str]) -> Column:
@@ -41,18 +48,18 @@ def scan_terms(text: Column, terms: list[str]) -> Column:
     word start, so overlapping terms are all seen. A term found also proves each shorter term
     that begins it ("A B" proves "A"); those are added from a literal table.
     """
-    ordered = sorted(terms, key=len, reverse=True)
-    body = "|".join(_quote(t) for t in ordered)
-    hits = F.regexp_extract_all(text, F.lit(rf"(?iU)\b(?=({body})\b)"), F.lit(1))
+    by_first: dict[str, list[str]] = {}
+    for term in sorted((t.lower() for t in terms), key=len, reverse=True):
+        by_first.setdefault(term[0], []).append(term[1:])
+    body = "|".join(f"{_quote(first)}(?:{'|'.join(_quote(r) for r in rest)})"
+                    for first, rest in by_first.items())
+    hits = F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)\b(?=({body})\b)"), F.lit(1))
     proved = {
         t.lower(): [u for u in terms if re.match(rf"{re.escape(u)}\b", t, re.IGNORECASE)] or [t]
         for t in terms
     }
-    table = F.create_map(
-        *[x for k, v in proved.items() for x in (F.lit(k), F.array(*[F.lit(u) for u in v]))]
-    )
-    names = F.flatten(F.transform(F.array_distinct(F.transform(hits, F.lower)),
-                                  lambda h: F.try_element_at(table, h)))
+    table = literal_map(proved, "array<string>")
+    names = F.flatten(F.transform(F.array_distinct(hits), lambda h: F.try_element_at(table, h)))
     return F.coalesce(F.array_sort(F.array_distinct(names)), no_strings())
 
 

@@ -4,6 +4,9 @@ All of them read `priced` listings (one row per listing, variants and skills nes
 joins fact x bridge of the star schema turn into generators inside one row. What is left to
 shuffle is one partially aggregated groupBy per mart. A listing is counted once by marking its
 first row, which keeps exact distinct counts out of the shuffle.
+
+The generators are the outer ones followed by a null check. For a plain `explode` the optimizer
+adds a filter on the size of the array, which would parse pay and skills of every row twice.
 """
 
 from __future__ import annotations
@@ -34,12 +37,14 @@ def salary_by_technology(listings: DataFrame) -> DataFrame:
     rows = (
         listings
         .select(member(F.col("seniority")).alias("seniority"), _skills().alias("skills"),
-                F.explode(F.filter("variants", _sane)).alias("v"))
+                F.explode_outer(F.filter("variants", _sane)).alias("v"))
+        .where(F.col("v").isNotNull())
         .select("seniority", member(F.col("v.employment_type")).alias("employment_type"),
                 F.col("v.currency").alias("currency"),
                 F.col("v.salary_min_monthly").alias("lo"),
                 F.col("v.salary_max_monthly").alias("hi"),
-                F.explode("skills").alias("technology_name"))
+                F.explode_outer("skills").alias("technology_name"))
+        .where(F.col("technology_name").isNotNull())
     )
     return salary_statistics(rows)
 
@@ -100,7 +105,8 @@ def demand_by_technology(listings: DataFrame) -> DataFrame:
     daily = (
         listings.where((F.size("variants") > 0) & F.col("posted_on").isNotNull())
         .select(F.col("posted_on").alias("week_start"),
-                F.explode(F.array_distinct(_skills())).alias("technology_name"))
+                F.explode_outer(F.array_distinct(_skills())).alias("technology_name"))
+        .where(F.col("technology_name").isNotNull())
         .groupBy("technology_name", "week_start").agg(F.count(F.lit(1)).alias("listing_count"))
     )
     # after the count a technology has one row per day, so the window input is small; the day
@@ -141,9 +147,11 @@ def city_summary(listings: DataFrame) -> DataFrame:
     """Listings and mean monthly pay per city (currencies mixed)."""
     rows = (
         listings
-        .select("cities", F.posexplode(F.filter("variants", _positive)).alias("i", "v"))
+        .select("cities", F.posexplode_outer(F.filter("variants", _positive)).alias("i", "v"))
+        .where(F.col("v").isNotNull())
         .select("cities", "i", "v.salary_min_monthly", "v.salary_max_monthly",
-                F.posexplode("cities").alias("j", "city_name"))
+                F.posexplode_outer("cities").alias("j", "city_name"))
+        .where(F.col("city_name").isNotNull())
     )
     # a city named twice by one listing counts the listing once, its pay twice
     first = (F.col("i") == 0) & (F.array_position("cities", F.col("city_name")) == F.col("j") + 1)
@@ -161,7 +169,8 @@ def market_trends(listings: DataFrame) -> DataFrame:
     rows = (
         listings.where(F.col("posted_on").isNotNull())
         .select(F.col("posted_on").alias("full_date"),
-                F.posexplode(F.filter("variants", _positive)).alias("i", "v"))
+                F.posexplode_outer(F.filter("variants", _positive)).alias("i", "v"))
+        .where(F.col("v").isNotNull())
     )
     mid = (F.col("v.salary_min_monthly") + F.col("v.salary_max_monthly")) / 2
     daily = rows.groupBy("full_date").agg(
@@ -194,7 +203,8 @@ def market_snapshot(listings: DataFrame) -> DataFrame:
         return F.when(F.size(names) > 0, names)
 
     return (
-        listings.select("*", F.inline(tuples))
+        listings.select("*", F.explode_outer(tuples).alias("v")).where(F.col("v").isNotNull())
+        .select("*", "v.*")
         .select(
             "listing_id", "listing_sk", "title", "slug", "salary_min", "salary_max", "currency",
             "is_gross", member(F.col("seniority")).alias("seniority"), "employment_type",

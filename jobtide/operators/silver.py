@@ -10,12 +10,9 @@ from jobtide.functions.keys import surrogate_key
 from jobtide.functions.text import canonical_skills, scan_terms, truthy, union_sorted
 from jobtide.vocab import CANONICAL_TECHS, TECH_ALIASES
 
-# Ties on date_collected are settled by these, so that reruns agree.
-TIE_BREAK = [
-    "ingested_at", "source_run_id", "source_file", "title", "company_name", "slug", "category",
-    "seniority", "workplace_type", "salary_variants", "posted_date", "expiry_date",
-    "description",
-]
+# Ties on date_collected are settled by these, so that reruns agree. The list is short: each
+# column in it has to be read and shuffled by every query over silver.
+TIE_BREAK = ["ingested_at", "source_run_id", "title", "company_name", "slug", "salary_variants"]
 
 
 def newest_per_listing(bronze: DataFrame) -> DataFrame:

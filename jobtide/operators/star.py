@@ -73,13 +73,20 @@ _FACT = [
 ]
 
 
+def _variant_rows(listings: DataFrame) -> DataFrame:
+    """One row per variant. The outer generator with a null check keeps the optimizer from
+    parsing the pay text a second time for a size filter."""
+    rows = listings.select("*", F.explode_outer("variants").alias("v"))
+    return rows.where(F.col("v").isNotNull()).select("*", "v.*")
+
+
 def fact(priced_listings: DataFrame) -> DataFrame:
     """One row per listing and pay variant, with the key of every dimension.
 
     The dimensions come from the same staging rows, so each key is computed where the left
     join would have found it (see `member_key`); `fact_by_joins` is the same through joins.
     """
-    rows = priced_listings.select("*", F.inline("variants"))
+    rows = _variant_rows(priced_listings)
     return rows.withColumns({
         "company_key": member_key(F.col("company_name")),
         "seniority_key": member_key(F.col("seniority")),
@@ -101,7 +108,7 @@ def fact_by_joins(stg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     allows that, and splits skewed keys otherwise.
     """
     rows = stg.withColumn("variants", parse_variants(F.col("salary_variants")))
-    rows = rows.select("*", F.inline("variants")).withColumns({
+    rows = _variant_rows(rows).withColumns({
         "_posted": F.col("posted_date").try_cast("date"),
         "_collected": F.col("date_collected").try_cast("date"),
         "listing_status": F.lit("active"),

@@ -31,103 +31,90 @@ CITY_OF_NATION = [
 
 
 def _pick(number: str, values: list[str]) -> str:
-    arms = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
-    return f"case ({number}) % {len(values)} {arms} end"
+    """One of the values by number; the list is a single literal."""
+    return f"split_part('{';'.join(values)}', ';', cast(({number}) % {len(values)} as int) + 1)"
 
 
 def _spelling(number: str) -> str:
     return _pick(number, SPELLINGS)
 
 
-def _day(expr: str) -> str:
-    return f"cast({expr} as string)"
-
-
 def _variant(kind: str, low: str, high: str, currency: str, unit: str, gross: str) -> str:
     return ("'{\"employment_type\":' || " + kind + " || ',\"salary_min\":' || " + low
             + " || ',\"salary_max\":' || " + high + " || ',\"currency\":' || " + currency
             + " || ',\"unit\":' || " + unit + " || ',\"is_gross\":' || " + gross + " || '}'")
 
 
-_LOW = "cast(cast(floor(l_extendedprice / 10) as bigint) as string)"
-_HIGH = "cast(cast(floor(l_extendedprice / 10) as bigint) + cast(l_quantity as int) * 37 as string)"
-_RATE = "cast(cast(floor(l_extendedprice / 1000) as bigint) as string)"
-_RATE_HIGH = "cast(cast(floor(l_extendedprice / 900) as bigint) as string)"
 _V1 = _variant(
     "case l_returnflag when 'A' then '\"permanent\"' when 'N' then '\"b2b\"' "
     "else '\"mandate_contract\"' end",
-    f"case when l_linestatus = 'O' then {_RATE} when cast(l_quantity as int) % 10 = 3 "
-    f"then '\"' || {_LOW} || '\"' when cast(l_quantity as int) = 21 then 'null' "
-    f"when cast(l_quantity as int) = 22 then '0' else {_LOW} end",
-    f"case when l_linestatus = 'O' then {_RATE_HIGH} when cast(l_quantity as int) = 23 "
-    f"then '\"n/a\"' else {_HIGH} end",
+    "case when l_linestatus = 'O' then rate when q % 10 = 3 then '\"' || low || '\"' "
+    "when q = 21 then 'null' when q = 22 then '0' else low end",
+    "case when l_linestatus = 'O' then rate || '9' when q = 23 then '\"n/a\"' else high end",
     "case when l_discount > 0.08 then '\"EUR\"' else '\"PLN\"' end",
     "case when l_linestatus = 'O' then '\"Hour\"' else '\"month\"' end",
     "case when l_tax > 0.04 then 'true' else 'false' end")
-_V2 = _variant("'\"b2b\"'", _LOW, _HIGH, "'\"PLN\"'",
-               _pick("cast(l_quantity as int)", ['"month"', '"Year"', '"day"', '"weekly"']), "'true'")
-_V3 = _variant("case when l_tax > 0.05 then '\"\"' else '\"any\"' end", _LOW, _HIGH,
+_V2 = _variant("'\"b2b\"'", "low", "high", "'\"PLN\"'",
+               _pick("q", ['"month"', '"Year"', '"day"', '"weekly"']), "'true'")
+_V3 = _variant("case when l_tax > 0.05 then '\"\"' else '\"any\"' end", "low", "high",
                "case when l_tax > 0.06 then 'null' else '\"PLN\"' end", "'null'", "'null'")
+_CITY = _pick("n_nationkey", CITY_OF_NATION)
+_SECOND_CITY = _pick("n_nationkey + n", CITY_OF_NATION)
 
 # One raw listing per lineitem. (order, line number) repeats in the data: those are reposts.
 LISTINGS = f"""
 select
-  cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as listing_id,
-  case when l_linenumber = 6 then p_name || ' & c*~' || cast(l_orderkey as string)
+  cast(l_orderkey as string) || '-' || cast(n as string) as listing_id,
+  case when n = 6 then p_name || ' & c*~' || cast(l_orderkey as string)
        else replace(p_name, ' ', '-') || '-' || cast(l_orderkey as string) end as slug,
-  case when cast(l_quantity as int) = 13 then '' when cast(l_quantity as int) = 14 then null
-       else p_name || ' ' || p_brand end as title,
+  case when q = 13 then '' when q = 14 then null else p_name || ' ' || p_brand end as title,
   'https://apply.example.com/' || cast(l_orderkey as string) as apply_url,
-  case when l_linenumber = 2 then null else 'form' end as apply_method,
-  case when cast(l_quantity as int) = 15 and l_linenumber = 4 then null else s_name end
-    as company_name,
+  case when n = 2 then null else 'form' end as apply_method,
+  case when q = 15 and n = 4 then null else s_name end as company_name,
   ' ' || lower(p_type) || ' ' as category,
-  {_pick("cast(l_quantity as int)", ["Junior", " junior ", "MID", "mid", "Senior", " senior",
-                                     "Lead", "manager", ""])} as seniority,
+  {_pick("q", ["Junior", " junior ", "MID", "mid", "Senior", " senior", "Lead", "manager", ""])}
+    as seniority,
   case when l_linestatus = 'F' and l_returnflag = 'A' then ' Office '
-       when l_returnflag = 'N' then 'Remote' when l_linenumber = 7 then 'on the moon'
+       when l_returnflag = 'N' then 'Remote' when n = 7 then 'on the moon'
        else 'hybrid' end as workplace_type,
-  case when l_linenumber = 1 then null else 'full_time' end as working_time,
-  case when l_linenumber = 1 then {_pick("n_nationkey", CITY_OF_NATION)}
-       when l_linenumber = 5 then null when l_linenumber = 6 then '[]'
-       when l_linenumber = 7 then '["' || {_pick("n_nationkey", CITY_OF_NATION)} || '","'
-            || {_pick("n_nationkey", CITY_OF_NATION)} || '"]'
-       else '["' || {_pick("n_nationkey", CITY_OF_NATION)} || '","'
-            || {_pick("n_nationkey + l_linenumber", CITY_OF_NATION)} || '"]' end as cities,
-  case when cast(l_quantity as int) = 7 then '"negotiable"'
-       when cast(l_quantity as int) = 8 then null
-       when l_linenumber % 4 = 0 then '[]'
-       when l_linenumber % 4 = 1 then '[' || {_V1} || ']'
-       when l_linenumber % 4 = 2 then '[' || {_V1} || ',' || {_V2} || ']'
-       else '[' || {_V1} || ',' || {_V2} || ',' || {_V3} || ',' || {_V3} || ']' end
+  case when n = 1 then null else 'full_time' end as working_time,
+  case when n = 1 then {_CITY} when n = 5 then null when n = 6 then '[]'
+       else '["' || {_CITY} || '","' || case when n = 7 then {_CITY} else {_SECOND_CITY} end
+            || '"]' end as cities,
+  case when q = 7 then '"negotiable"' when q = 8 then null when n % 4 = 0 then '[]'
+       else '[' || {_V1} || case when n % 4 > 1 then ',' || {_V2} else '' end
+            || case when n % 4 = 3 then repeat(',' || {_V3}, 2) else '' end || ']' end
     as salary_variants,
-  case when cast(l_quantity as int) = 9 then null
+  case when q = 9 then null
        else '["' || {_spelling("p_size")} || '","' || {_spelling("p_partkey")} || '","' ||
             {_spelling("p_size + 30")} || '",""]' end as required_skills,
-  case when l_linenumber = 3 then '[]' when l_linenumber = 4 then 'none'
-       else '["' || {_spelling("p_partkey + l_linenumber")} || '","' ||
-            {_spelling("p_partkey")} || '"]' end as nice_to_have_skills,
-  case when l_linenumber = 4 then null else
-    'We ship ' || p_name || ' with ' || {_spelling("p_size + 3")} || ', apache spark and Node.js; you go far. '
-    || 'No javascript-only, ' || {_spelling("p_partkey + 5")} || '!' end as description,
-  case when cast(l_quantity as int) = 50 then 'soon'
-       else {_day("cast(l_shipdate as date)")} || 'T08:00:00.000Z' end as posted_date,
-  {_day("cast(l_shipdate as date)")} || 'T09:00:00.000Z' as last_published_date,
-  case when cast(l_quantity as int) = 49 then ''
-       else {_day("cast(l_shipdate as date) + cast(l_linenumber * 20 as int)")}
-            || 'T23:59:59.0000000Z' end as expiry_date,
+  case when n = 3 then '[]' when n = 4 then 'none'
+       else '["' || {_spelling("p_partkey + n")} || '","' || {_spelling("p_partkey")} || '"]' end
+    as nice_to_have_skills,
+  case when n = 4 then null else 'We ship ' || p_name || ' with ' || {_spelling("p_size + 3")}
+    || ', apache spark and Node.js; you go far. No javascript-only, '
+    || {_spelling("p_partkey + 5")} || '!' end as description,
+  case when q = 50 then 'soon' else day || 'T08:00:00.000Z' end as posted_date,
+  day || 'T09:00:00.000Z' as last_published_date,
+  case when q = 49 then '' else cast(shipped + cast(n * 20 as int) as string)
+       || 'T23:59:59.0000000Z' end as expiry_date,
   case l_returnflag when 'R' then 'true' when 'A' then 'false' else null end as is_promoted,
-  case when l_linenumber = 1 then '1' else '0' end as is_super_offer,
+  case when n = 1 then '1' else '0' end as is_super_offer,
   case when l_linestatus = 'O' then 'true' else 'false' end as is_remote_interview,
-  {_day("cast(l_shipdate as date) + cast(l_linenumber as int)")} || 'T05:00:00+00:00'
-    as date_collected,
-  case when cast(l_quantity as int) = 48 then ''
-       else 'run-' || substr({_day("cast(l_shipdate as date)")}, 1, 7) end as source_run_id,
-  'raw_listings_' || substr({_day("cast(l_shipdate as date)")}, 1, 4) || '.json' as source_file,
-  case when cast(l_quantity as int) = 48 then {_day("cast(l_shipdate as date)")}
-       else 'run-' || substr({_day("cast(l_shipdate as date)")}, 1, 7) end as guard_run_id,
-  cast(l_shipdate as timestamp) as ingested_at
-from lineitem
+  cast(shipped + n as string) || 'T05:00:00+00:00' as date_collected,
+  case when q = 48 then '' else 'run-' || substr(day, 1, 7) end as source_run_id,
+  'raw_listings_' || substr(day, 1, 4) || '.json' as source_file,
+  case when q = 48 then day else 'run-' || substr(day, 1, 7) end as guard_run_id,
+  cast(shipped as timestamp) as ingested_at
+from (
+  select *, cast(l_quantity as int) as q, cast(l_linenumber as int) as n,
+    cast(cast(l_shipdate as date) as string) as day, cast(l_shipdate as date) as shipped,
+    cast(cast(floor(l_extendedprice / 10) as bigint) as string) as low,
+    cast(cast(floor(l_extendedprice / 10) as bigint) + cast(l_quantity as int) * 37 as string)
+      as high,
+    cast(cast(floor(l_extendedprice / 1000) as bigint) as string) as rate
+  from lineitem
+) as lines
 join part on p_partkey = l_partkey
 join supplier on s_suppkey = l_suppkey
 join nation on n_nationkey = s_nationkey
@@ -224,8 +211,17 @@ _TABLES = ("region nation customer supplier part orders lineitem events document
            "pages benchmark labels conversations").split()
 
 
+_LARGE = ("lineitem", "orders", "documents")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. A large one that comes in fewer parts than there are cores (a single row
+    group, say) is spread first; a table of many files is read as it lies, without a shuffle."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _LARGE and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def bind(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -47,10 +47,11 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Frames of one test folder. They are plans; nothing is computed or kept here."""
+    """Frames of one test folder. They are plans: data is neither computed nor kept here."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._plans: dict[str, DataFrame] = {}
         self.now = F.lit(b.NOW).cast("timestamp")
         self.ledger_now = F.lit(LEDGER_NOW).cast("timestamp")
 
@@ -60,20 +61,28 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return b.table(self.spark, self.sf_dir, name)
 
+    def _once(self, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._plans:
+            self._plans[name] = plan()
+        return self._plans[name]
+
     def raw(self) -> DataFrame:
-        return self.bind(b.LISTINGS)
+        return self._once("raw", lambda: self.bind(b.LISTINGS))
 
     def bronze(self) -> DataFrame:
-        return bronze.coerce_bronze(self.raw(), ingested_at=F.col("ingested_at"))
+        return self._once("bronze", lambda: bronze.coerce_bronze(
+            self.raw(), ingested_at=F.col("ingested_at")))
 
     def silver(self) -> DataFrame:
-        return silver.clean(self.bronze(), self.now)
+        return self._once("silver", lambda: silver.clean(self.bronze(), self.now))
 
     def stg(self, source: DataFrame | None = None) -> DataFrame:
-        return build.staging(self.bronze() if source is None else source, self.now)
+        if source is not None:
+            return build.staging(source, self.now)
+        return self._once("stg", lambda: build.staging(self.bronze(), self.now))
 
     def priced(self) -> DataFrame:
-        return star.priced(self.stg(), *b.CALENDAR)
+        return self._once("priced", lambda: star.priced(self.stg(), *b.CALENDAR))
 
     def dims(self, stg: DataFrame) -> dict[str, DataFrame]:
         return build.dimensions(self.spark, stg, *b.CALENDAR)
@@ -123,10 +132,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: flat(fn(Tables(spark, sf_dir)))
+    QUERIES[fn.__name__] = lambda spark, sf_dir: flat(fn(tables(spark, sf_dir)))
     return fn
 
 
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Plans of the shared layers are built once per session and folder, to save analysis."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if _TABLES.get("key") != key:
+        _TABLES.update(key=key, tables=Tables(spark, sf_dir))
+    return _TABLES["tables"]
+
+
+_TABLES: dict = {}
+
+
 # ---------------------------------------------------------------- sources and bronze
 @query
 def read_envelope(t: Tables) -> DataFrame:

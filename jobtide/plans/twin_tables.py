@@ -83,9 +83,8 @@ select * replace (trim(category) as category, lower(trim(seniority)) as seniorit
   case when lower(trim(workplace_type)) = 'office' then 'onsite'
        else lower(trim(workplace_type)) end as workplace_type)
 from (select *, row_number() over (partition by listing_id order by date_collected desc nulls last,
-        ingested_at desc nulls last, source_run_id desc, source_file desc, title desc,
-        company_name desc, slug desc, category desc, seniority desc, workplace_type desc,
-        salary_variants desc, posted_date desc, expiry_date desc, description desc) as rn
+        ingested_at desc nulls last, source_run_id desc, title desc, company_name desc, slug desc,
+        salary_variants desc) as rn
       from {source})
 where rn = 1 and title <> '' and company_name <> ''"""
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM does not compile longer methods to machine code
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.skew import salted_join
+from jobtide.functions.text import literal_list
 from jobtide.schemas import CONFIG_LISTS, USER_CONFIG
 from jobtide.vocab import DEFAULT_CONFIG
 
@@ -13,7 +14,7 @@ from jobtide.vocab import DEFAULT_CONFIG
 def _defaulted(cfg: Column) -> list[Column]:
     out = []
     for name in CONFIG_LISTS:
-        default = F.array(*[F.lit(v) for v in DEFAULT_CONFIG.get(name, [])]).cast("array<string>")
+        default = literal_list(DEFAULT_CONFIG.get(name, []))
         out.append(F.coalesce(cfg[name], default).alias(name))
     for name in ("salary_min", "tolerance"):
         out.append(F.coalesce(cfg[name], F.lit(DEFAULT_CONFIG[name])).alias(name))
