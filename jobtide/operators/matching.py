@@ -32,6 +32,12 @@ def _kinds(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.typeName() for f in df.schema.fields}
 
 
+def _variant_fields(df: DataFrame) -> list[str]:
+    if _kinds(df).get("salary_variants") != "array":
+        return []
+    return df.schema["salary_variants"].dataType.elementType.names
+
+
 def listing_techs(df: DataFrame) -> Column:
     """All technology names of a listing; a plain text value is one name."""
     kinds, parts = _kinds(df), [no_strings()]
@@ -59,7 +65,7 @@ def ranked_techs(df: DataFrame) -> Column:
 def listing_types(df: DataFrame) -> Column:
     """Employment types from the variants and from the direct column."""
     kinds, parts = _kinds(df), [no_strings()]
-    if kinds.get("salary_variants") == "array":
+    if "employment_type" in _variant_fields(df):
         parts.append(F.coalesce(F.filter(
             F.transform("salary_variants", lambda v: v["employment_type"]), truthy), no_strings()))
     if "employment_type" in kinds:
@@ -80,7 +86,7 @@ def max_salary(df: DataFrame) -> Column:
     kinds, options = _kinds(df), []
     if "salary_max" in kinds:
         options.append(_whole_number(F.col("salary_max"), kinds["salary_max"]))
-    if kinds.get("salary_variants") == "array":
+    if "salary_max" in _variant_fields(df):
         kind = df.schema["salary_variants"].dataType.elementType["salary_max"].dataType.typeName()
         options.append(F.array_max(F.transform(
             "salary_variants", lambda v: _whole_number(v["salary_max"], kind))))
@@ -88,6 +94,8 @@ def max_salary(df: DataFrame) -> Column:
 
 
 def listing_cities(df: DataFrame) -> Column:
+    if "cities" not in df.columns:
+        return no_strings()
     if _kinds(df).get("cities") == "string":
         return F.when(truthy(F.col("cities")), F.array("cities")).otherwise(no_strings())
     return F.coalesce(F.col("cities"), no_strings())
@@ -96,7 +104,7 @@ def listing_cities(df: DataFrame) -> Column:
 # ---------------------------------------------------------------- match
 def _listing_side(listings: DataFrame) -> dict[str, Column]:
     def low(name: str) -> Column:
-        return F.lower(F.coalesce(F.col(name), F.lit("")))
+        return F.lower(F.coalesce(name, F.lit(""))) if name in listings.columns else F.lit("")
 
     return {
         "_techs": lower_set(listing_techs(listings)), "_types": lower_set(listing_types(listings)),

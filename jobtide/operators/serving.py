@@ -144,10 +144,12 @@ def company_intel(snapshot: DataFrame, term: str) -> DataFrame:
 
     totals = rows.agg(F.count(F.lit(1)).alias("listing_count"),
                       mean("salary_min").alias("avg_min"), mean("salary_max").alias("avg_max"))
-    first = (rows.select("title", *SNAPSHOT_ORDER)
-             .orderBy(*[F.asc_nulls_last(c) for c in SNAPSHOT_ORDER]).limit(5))
-    sample = first.agg(F.array_sort(F.collect_list(F.struct(*SNAPSHOT_ORDER, "title"))).alias("s"))
-    picked = sample.select(F.struct(
+    order = [F.asc_nulls_last(c) for c in SNAPSHOT_ORDER]
+    first = rows.select("title", *SNAPSHOT_ORDER).orderBy(*order).limit(5)
+    # five rows at most from here on
+    placed = first.select(F.struct(F.row_number().over(W.orderBy(*order)).alias("n"),
+                                   "currency", "title").alias("x"))
+    picked = placed.agg(F.array_sort(F.collect_list("x")).alias("s")).select(F.struct(
         F.get("s", F.lit(0))["currency"].alias("currency"),
         F.transform("s", lambda x: x["title"]).alias("titles")))
     return (totals.where("listing_count > 0").withColumn("_s", picked.scalar())

@@ -50,7 +50,7 @@ _V1 = _variant(
     "else '\"mandate_contract\"' end",
     "case when l_linestatus = 'O' then rate when q % 10 = 3 then '\"' || low || '\"' "
     "when q = 21 then 'null' when q = 22 then '0' else low end",
-    "case when l_linestatus = 'O' then rate || '9' when q = 23 then '\"n/a\"' else high end",
+    "case when l_linestatus = 'O' then '1' || rate when q = 23 then '\"n/a\"' else high end",
     "case when l_discount > 0.08 then '\"EUR\"' else '\"PLN\"' end",
     "case when l_linestatus = 'O' then '\"Hour\"' else '\"month\"' end",
     "case when l_tax > 0.04 then 'true' else 'false' end")
