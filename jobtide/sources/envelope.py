@@ -15,10 +15,24 @@ def read_envelope(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     A document that is not an object, or whose `listings` is not a list, stops the job. With
     `lines` every line is a document of its own, so that large files split.
     """
-    docs = (spark.read.schema(ENVELOPE).option("multiLine", not lines)
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-            .select("metadata", "listings", "_corrupt_record",
-                    F.col("_metadata.file_name").alias("source_file")))
+    return listings_of(_options(spark.read, lines).json(path))
+
+
+def stream_envelopes(spark: SparkSession, folder: str, lines: bool = False,
+                     files_per_batch: int = 1) -> DataFrame:
+    """The same rows as files arrive in a folder."""
+    reader = _options(spark.readStream, lines).option("maxFilesPerTrigger", files_per_batch)
+    return listings_of(reader.json(folder))
+
+
+def _options(reader, lines: bool):
+    return (reader.schema(ENVELOPE).option("multiLine", not lines)
+            .option("columnNameOfCorruptRecord", "_corrupt_record"))
+
+
+def listings_of(documents: DataFrame) -> DataFrame:
+    docs = documents.select("metadata", "listings", "_corrupt_record",
+                            F.col("_metadata.file_name").alias("source_file"))
     bad = F.raise_error(F.concat(F.lit("not a listing envelope: "), F.col("source_file")))
     sound = docs.where(F.when(F.col("_corrupt_record").isNotNull(), bad.cast("boolean"))
                        .otherwise(F.lit(True)))
