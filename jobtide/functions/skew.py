@@ -41,9 +41,14 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join in which each left key is spread over `salts` tasks.
 
-    `right` must be unique per key; it is repeated once per salt. `spread` is any left column
-    that differs within a hot key.
+    `right` is the smaller side; it is repeated once per salt. `spread` is any left column that
+    differs within a hot key.
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def is_small(df: DataFrame, rows: int = 10_000) -> bool:
+    """Does the frame hold so few rows that every task may have a copy?"""
+    return df.limit(rows + 1).count() <= rows

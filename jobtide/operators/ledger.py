@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.functions.skew import SLICE, hour_slice, salted_join
+from jobtide.session import settle
 from jobtide.vocab import (
     FREE_CAP, GRACE_DAYS, REMIND_COOLDOWN_SECONDS, REMIND_DAYS, TIERS, TRIAL_DAYS, TRIAL_TIER,
 )
@@ -168,9 +169,12 @@ def lifecycle(expires_at: Column, as_of: Column) -> Column:
 
 
 def subscription_state(events: DataFrame, as_of: Column) -> DataFrame:
-    """Rows as of a moment, with status, rank, listing cap and features."""
+    """Rows as of a moment, with status, rank, listing cap and features.
+
+    The payments are read by several steps, so they are computed once and stored.
+    """
     past = events.where(F.col("ts") <= as_of)
-    rows = subscriptions(past, payments(past)).withColumn(
+    rows = subscriptions(past, settle(payments(past))).withColumn(
         "status", lifecycle(F.col("expires_at"), as_of))
     open_tier = F.when(F.col("status").isNotNull(), F.col("tier"))
     return rows.withColumns({

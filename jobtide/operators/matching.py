@@ -1,8 +1,9 @@
 """Matching users with listings, skill ranking and the daily digest.
 
-The listing side is always the pool of the newest listings, a fixed number of rows by
-definition, so it may be sent to every task; users are the side that grows. The pair work is an
-equi-join on seniority, not a product.
+The listing side is the pool of the newest listings, a fixed number of rows by definition; users
+are the side that grows. The pair work is an equi-join on seniority, not a product. A pool is
+sent to every task once its row count has been checked; a larger listing side is joined through
+salted keys instead.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from jobtide.functions.skew import is_small, salted_join
 from jobtide.functions.text import html_escape, lower_set, no_strings, offer_url, strip, truthy
 from jobtide.operators.serving import SNAPSHOT_ORDER
 from jobtide.vocab import FREE_CAP, OFFER_URL, POOL_SIZE, TIERS
@@ -150,9 +152,12 @@ def match(pool: DataFrame, users: DataFrame) -> DataFrame:
     wanted = users.select(
         "chat_id", *[c.alias(n) for n, c in _user_side(F.col).items()],
         F.explode(keys).alias("_key"))
-    # `pool` has a fixed size (see the module text)
-    return (wanted.join(F.broadcast(side), "_key")
-            .withColumn("mismatches", _misses())
+    if is_small(pool):
+        pairs = wanted.join(F.broadcast(side), "_key")
+    else:
+        # few seniorities, many users: spread the users of each
+        pairs = salted_join(wanted, side, ["_key"], F.col("chat_id"), salts=64)
+    return (pairs.withColumn("mismatches", _misses())
             .withColumn("passes", F.col("mismatches") <= F.col("_tolerance"))
             .select("chat_id", *pool.columns, "mismatches", "passes"))
 
@@ -211,15 +216,21 @@ def _slotted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("slot", F.row_number().over(order))
 
 
+def _about(pairs: DataFrame, pool: DataFrame) -> DataFrame:
+    """The (listing_id, chat_id) pairs of a log that concern the pool."""
+    listings = pool.select("listing_id").distinct()
+    if is_small(pool):
+        listings = F.broadcast(listings)
+    return pairs.select("listing_id", "chat_id").join(listings, "listing_id", "left_semi")
+
+
 def digest(pool: DataFrame, users: DataFrame, sent: DataFrame, caps: DataFrame) -> DataFrame:
     """What every user is to be told now: matches not sent before, capped, then ranked.
 
     The log is narrowed to the listings of the pool first, so its bulk is never shuffled.
     """
     fits = match(pool, users).where("passes").drop("passes")
-    known = sent.select("listing_id", "chat_id").join(
-        F.broadcast(pool.select("listing_id").distinct()), "listing_id", "left_semi")
-    fresh = fits.join(known, ["listing_id", "chat_id"], "left_anti")
+    fresh = fits.join(_about(sent, pool), ["listing_id", "chat_id"], "left_anti")
     return _slotted(rank_by_skills(_capped(fresh, caps), users))
 
 
@@ -233,9 +244,7 @@ def latest(pool: DataFrame, users: DataFrame, tracked: DataFrame, caps: DataFram
     """Matches on demand. Tracked listings go after the cap, so fewer than the cap may stay."""
     fits = match(pool, users).where("passes").drop("passes")
     ranked = rank_by_skills(_capped(fits, caps), users)
-    mine = tracked.select("listing_id", "chat_id").join(
-        F.broadcast(pool.select("listing_id").distinct()), "listing_id", "left_semi")
-    return _slotted(ranked.join(mine, ["listing_id", "chat_id"], "left_anti"))
+    return _slotted(ranked.join(_about(tracked, pool), ["listing_id", "chat_id"], "left_anti"))
 
 
 def alert_text(rows: DataFrame) -> Column:

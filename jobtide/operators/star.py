@@ -129,10 +129,12 @@ def fact_by_joins(stg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- bridges
 def bridge_technology(stg: DataFrame, dim_technology: DataFrame) -> DataFrame:
-    """Listing x skill x requirement type. A skill of both kinds stands twice."""
-    # the lookup side is the packaged seed of a few dozen rows
-    dim = F.broadcast(dim_technology.select(
-        "technology_key", F.col("canonical_name").alias("technology_name")))
+    """Listing x skill x requirement type. A skill of both kinds stands twice.
+
+    The lookup is the packaged seed as a rule; Spark sees its size and sends it to every task.
+    """
+    dim = dim_technology.select(
+        "technology_key", F.col("canonical_name").alias("technology_name"))
     required = stg.select("listing_id", F.explode("required_skills").alias("technology_name"),
                           F.lit("required").alias("requirement_type"))
     nice = stg.select("listing_id", F.explode("nice_to_have_skills").alias("technology_name"),
@@ -142,6 +144,6 @@ def bridge_technology(stg: DataFrame, dim_technology: DataFrame) -> DataFrame:
 
 
 def bridge_city(stg: DataFrame, dim_city: DataFrame) -> DataFrame:
-    dim = F.broadcast(dim_city.select("city_key", "city_name"))
+    dim = dim_city.select("city_key", "city_name")
     return (stg.select("listing_id", F.explode("cities").alias("city_name"))
             .join(dim, "city_name", "left").select("listing_id", "city_key", "city_name"))

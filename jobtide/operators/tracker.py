@@ -55,10 +55,9 @@ def tracker_state(log: DataFrame) -> DataFrame:
 
 
 def tracker_list(state: DataFrame, status: str | None = None) -> DataFrame:
-    """Every user's entries, numbered from the newest update."""
+    """Every user's entries, newest update first. A range sort, so a busy user is split too."""
     rows = state if status is None else state.where(F.col("status") == status)
-    order = W.partitionBy("chat_id").orderBy(F.desc("updated_at"), "listing_id")
-    return rows.withColumn("position", F.row_number().over(order))
+    return rows.orderBy("chat_id", F.desc("updated_at"), "listing_id")
 
 
 def tracker_page(state: DataFrame, status: str | None, size: int, page: int) -> DataFrame:

@@ -106,9 +106,12 @@ def usage_summary(events: DataFrame) -> DataFrame:
         "choices", lambda v: entry(F.concat(F.lit("top_"), F.col("dimension")), v)))
     counted = (kept_after_reset(events).select(F.inline(counters))
                .groupBy("section", "name").agg(F.count(F.lit(1)).alias("n")))
-    place = F.row_number().over(W.partitionBy("section").orderBy(F.desc("n"), "name"))
+    # sections without a limit are split by name, so only limited ones are ranked as a whole, and
+    # of those just the first rows travel
     limited = F.col("section").isin([f"top_{d}" for d in LIMITED])
-    best = (counted.withColumn("_n", place).where((F.col("_n") <= TOP) | ~limited).drop("_n"))
+    place = F.row_number().over(W.partitionBy(
+        "section", F.when(~limited, F.col("name"))).orderBy(F.desc("n"), "name"))
+    best = counted.withColumn("_n", place).where(F.col("_n") <= TOP).drop("_n")
     return totals.unionByName(best)
 
 

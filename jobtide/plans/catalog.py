@@ -110,6 +110,7 @@ class Tables:
         places = self.table("events").where(F.col("event_type") == kind).select(
             F.col("user_id").cast("string").alias("chat_id"),
             (F.col("event_id") * factor % 500 + 1).alias("pool_rank"))
+        # the pool is limited to a fixed number of rows
         return places.join(F.broadcast(pool.select("listing_id", "pool_rank")), "pool_rank")
 
     def ledger(self) -> DataFrame:
@@ -550,7 +551,7 @@ def tracker_state(t: Tables) -> DataFrame:
 @query
 def tracker_list(t: Tables) -> DataFrame:
     return tracker.tracker_list(tracker.tracker_state(t.actions()), "applied").select(
-        "chat_id", "position", "listing_id")
+        "chat_id", "listing_id", "updated_at")
 
 
 @query

@@ -582,9 +582,9 @@ select listing_id, title, company_name, seniority, employment_type, workplace_ty
     t["tracker_state"] = with_tables(f"""
 select * replace ({iso('created_at')} as created_at, {iso('updated_at')} as updated_at)
 from applications""", **ACTIONS)
-    t["tracker_list"] = with_tables("""
-select chat_id, row_number() over (partition by chat_id order by updated_at desc, listing_id)
-  as position, listing_id from applications where status = 'applied'""", **ACTIONS)
+    t["tracker_list"] = with_tables(f"""
+select chat_id, listing_id, {iso('updated_at')} as updated_at
+from applications where status = 'applied'""", **ACTIONS)
     t["tracker_page"] = with_tables("""
 select chat_id, position, listing_id, status, total
 from (select *, row_number() over (partition by chat_id order by created_at desc, listing_id)
