@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.vocab import WORKPLACE_ACCEPTED
@@ -13,31 +13,35 @@ def _result(counted: DataFrame, name: str, severity: str) -> DataFrame:
                           F.col("n").alias("violations"))
 
 
-def not_null(df: DataFrame, table: str, cols: list[str], severity: str = "error") -> DataFrame:
-    """All columns of a table in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    pairs = F.array(*[F.struct(F.lit(f"not_null_{table}_{c}").alias("check_name"),
-                               F.col(c).alias("violations")) for c in cols])
-    return counts.select(F.inline(pairs)).select(
-        "check_name", F.lit(severity).alias("severity"), "violations")
+Check = tuple[str, str, Column]
 
 
-def unique(df: DataFrame, table: str, col: str, severity: str = "error") -> DataFrame:
-    repeated = df.where(F.col(col).isNotNull()).groupBy(col).count().where("count > 1")
-    return _result(repeated.agg(F.count(F.lit(1)).alias("n")), f"unique_{table}_{col}", severity)
+def row_checks(df: DataFrame, wanted: list[Check]) -> DataFrame:
+    """Checks that look at one row at a time, all of a table in one pass."""
+    counts = df.agg(*[F.count_if(bad).alias(name) for name, _, bad in wanted])
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"),
+                              F.col(name).alias("violations")) for name, severity, _ in wanted])
+    return counts.select(F.inline(rows))
+
+
+def not_null(table: str, cols: list[str], severity: str = "error") -> list[Check]:
+    return [(f"not_null_{table}_{c}", severity, F.col(c).isNull()) for c in cols]
 
 
-def accepted_values(df: DataFrame, table: str, col: str, values: list[str],
-                    severity: str = "error") -> DataFrame:
+def accepted_values(table: str, col: str, values: list[str], severity: str = "error") -> Check:
     """Nulls pass."""
-    return _result(df.agg(F.count_if(~F.col(col).isin(values)).alias("n")),
-                   f"accepted_values_{table}_{col}", severity)
+    return f"accepted_values_{table}_{col}", severity, ~F.col(col).isin(values)
 
 
-def salary_range(fact: DataFrame, severity: str = "warn") -> DataFrame:
+def salary_range(severity: str = "warn") -> Check:
     low, high = F.col("salary_min"), F.col("salary_max")
     bad = low.isNotNull() & high.isNotNull() & ((low > high) | (low <= 0))
-    return _result(fact.agg(F.count_if(bad).alias("n")), "salary_range_valid", severity)
+    return "salary_range_valid", severity, bad
+
+
+def unique(df: DataFrame, table: str, col: str, severity: str = "error") -> DataFrame:
+    repeated = df.where(F.col(col).isNotNull()).groupBy(col).count().where("count > 1")
+    return _result(repeated.agg(F.count(F.lit(1)).alias("n")), f"unique_{table}_{col}", severity)
 
 
 def one_open_version(history: DataFrame, severity: str = "error") -> DataFrame:
@@ -55,12 +59,13 @@ def known_in_seed(bridge: DataFrame, col: str, key: str, severity: str = "warn")
 def run_checks(source: DataFrame, stg: DataFrame, fact: DataFrame, history: DataFrame,
                bridge: DataFrame) -> DataFrame:
     parts = [
-        not_null(source, "source", ["listing_id", "title", "company_name"]),
-        not_null(stg, "stg", ["listing_sk", "listing_id", "category", "seniority"]),
+        row_checks(source, not_null("source", ["listing_id", "title", "company_name"])),
+        row_checks(stg, [
+            *not_null("stg", ["listing_sk", "listing_id", "category", "seniority"]),
+            accepted_values("stg", "workplace_type", WORKPLACE_ACCEPTED)]),
         unique(stg, "stg", "listing_sk"),
         unique(stg, "stg", "listing_id"),
-        accepted_values(stg, "stg", "workplace_type", WORKPLACE_ACCEPTED),
-        salary_range(fact),
+        row_checks(fact, [salary_range()]),
         one_open_version(history),
         known_in_seed(bridge, "technology_name", "technology_key"),
     ]

@@ -538,7 +538,7 @@ def latest(t: Tables) -> DataFrame:
 
 
 @query
-def export_listings(t: Tables) -> DataFrame:
+def export_rows(t: Tables) -> DataFrame:
     return export.export_rows(t.snapshot())
 
 

@@ -575,7 +575,7 @@ from told where not exists (select 1 from tracked x where x.listing_id = told.li
                             and x.chat_id = told.chat_id)""",
                               **(_DIGEST | {"fresh": "select * from fits"}),
                               tracked=_points("click", 3))
-    t["export_listings"] = with_tables(f"""
+    t["export_rows"] = with_tables(f"""
 select listing_id, title, company_name, seniority, employment_type, workplace_type, category,
   salary_min, salary_max, currency, {joined('cities', ', ')} as cities,
   {joined('technologies', ', ')} as technologies, slug from snapshot""")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.functions.text import no_strings, truthy
+from jobtide.schemas import BRONZE
 
 TEXT = [
     "slug", "title", "apply_url", "apply_method", "company_name", "category", "seniority",
@@ -63,22 +66,27 @@ def coerce_bronze(listings: DataFrame, source_file: Column | None = None,
 def rows_to_append(batch: DataFrame, bronze: DataFrame) -> DataFrame:
     """Rows of documents whose run is not in bronze yet.
 
-    The run list is one row per run, so Spark can send it to every task when it is small.
+    The run list is one row per run, so Spark can send it to every task when it is small. Of a
+    stored table only the folder column is read for it.
     """
-    known = bronze.select(F.col("source_run_id").alias("guard_run_id")).distinct()
+    run = "run" if "run" in bronze.columns else "source_run_id"
+    known = bronze.select(F.col(run).alias("guard_run_id")).distinct()
     return batch.join(known, "guard_run_id", "left_anti").drop("guard_run_id")
 
 
-def append_new_runs(batch: DataFrame, path: str) -> None:
-    """Append to the bronze table, one folder per run; replays write nothing."""
-    spark = batch.sparkSession
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """The stored bronze table; empty before the first run."""
+    schema = T.StructType([*BRONZE.fields, T.StructField("run", T.StringType())])
     try:
-        bronze = spark.read.parquet(path)
-    except Exception as error:  # first run: no table yet
-        if "PATH_NOT_FOUND" not in str(error):
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        fresh = batch.drop("guard_run_id")
-    else:
-        fresh = rows_to_append(batch, bronze)
+        return spark.createDataFrame([], schema)
+
+
+def append_new_runs(batch: DataFrame, path: str) -> None:
+    """Append to the bronze table, one folder per run; replays write nothing."""
+    fresh = rows_to_append(batch, read_bronze(batch.sparkSession, path))
     (fresh.withColumn("run", F.col("source_run_id"))
      .write.mode("append").partitionBy("run").parquet(path))

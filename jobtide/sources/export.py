@@ -23,4 +23,6 @@ def export_rows(listings: DataFrame) -> DataFrame:
 
 
 def write_csv(listings: DataFrame, path: str) -> None:
-    export_rows(listings).write.mode("overwrite").option("header", True).csv(path)
+    """Quotes are doubled and empty values left empty, as spreadsheet programs expect."""
+    (export_rows(listings).write.mode("overwrite")
+     .options(header=True, escape='"', emptyValue="").csv(path))

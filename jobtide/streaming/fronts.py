@@ -6,6 +6,7 @@ guard, so a replayed batch writes nothing twice.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,8 +48,8 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The alert log; empty before the first alert."""
     try:
         return spark.read.schema(LOG).parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LOG)
 

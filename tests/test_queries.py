@@ -1,5 +1,8 @@
 """Every registered query against its SQL twin on the smallest test tables."""
 
+import contextlib
+import io
+
 import duckdb
 import pytest
 
@@ -27,11 +30,36 @@ def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
+def plan_of(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
+    plan = plan_of(df)
+    for product in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "InPandas"):
+        assert product not in plan
     mine = rows(df.columns, df.collect())
     cur = con.execute(TWINS[name])
     columns = [d[0] for d in cur.description]
     assert sorted(columns) == sorted(df.columns)
     assert mine and mine == rows(columns, cur.fetchall())
+
+
+def test_dedup_limits_each_listing_before_the_shuffle(spark):
+    plan = plan_of(QUERIES["silver_clean"](spark, SF))
+    shuffle = plan.index("Exchange hashpartitioning(listing_id")
+    assert plan.rindex("WindowGroupLimit") > shuffle > plan.index("WindowGroupLimit")
+
+
+def test_marts_shuffle_listings_once_and_then_only_partial_counts(spark):
+    for name in ("mart_demand", "mart_city", "mart_trends", "mart_cooccurrence"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert plan.count("Exchange hashpartitioning(listing_id") == 1
+        assert "partial_count" in plan and "SortMergeJoin" not in plan
+    assert plan_of(QUERIES["mart_snapshot"](spark, SF)).count("Exchange hashpartitioning") == 1
+    assert "PushedFilters: [IsNotNull(l_partkey)" in plan_of(QUERIES["mart_trends"](spark, SF))
