@@ -53,8 +53,11 @@ def payments(events: DataFrame) -> DataFrame:
         .select("charge_id", "chat_id", "tier", _moment().alias("paid"))
     )
     refunds = events.where("kind = 'refund'").select("charge_id", _moment().alias("asked"))
+    # only charges with a refund request are repeated for the salted join
+    in_question = first.select("charge_id", "paid").join(
+        refunds.select("charge_id").distinct(), "charge_id", "left_semi")
     valid = (
-        salted_join(refunds, first, ["charge_id"], F.col("asked.seq"))
+        salted_join(refunds, in_question, ["charge_id"], F.col("asked.seq"))
         .where(F.col("asked") > F.col("paid"))
         .groupBy("charge_id").agg(F.min("asked").alias("refunded"))
     )

@@ -139,9 +139,11 @@ def _misses() -> Column:
     )
 
 
-def match(pool: DataFrame, users: DataFrame) -> DataFrame:
+def match(pool: DataFrame, users: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Pairs whose seniority fits, with the number of missed filters and the verdict.
 
+    `keep` names further user columns to carry along.
+
     Seniority is a hard filter, so it is the join key: each user is listed under every accepted
     seniority, or under 'any' if the list is empty; each listing under its own and under 'any'.
     """
@@ -150,7 +152,7 @@ def match(pool: DataFrame, users: DataFrame) -> DataFrame:
     accepted = F.array_distinct(F.transform("seniorities", lambda s: F.concat(F.lit("="), s)))
     keys = F.when(F.size("seniorities") > 0, accepted).otherwise(F.array(F.lit("any")))
     wanted = users.select(
-        "chat_id", *[c.alias(n) for n, c in _user_side(F.col).items()],
+        "chat_id", *keep, *[c.alias(n) for n, c in _user_side(F.col).items()],
         F.explode(keys).alias("_key"))
     if is_small(pool):
         pairs = wanted.join(F.broadcast(side), "_key")
@@ -159,7 +161,7 @@ def match(pool: DataFrame, users: DataFrame) -> DataFrame:
         pairs = salted_join(wanted, side, ["_key"], F.col("chat_id"), salts=64)
     return (pairs.withColumn("mismatches", _misses())
             .withColumn("passes", F.col("mismatches") <= F.col("_tolerance"))
-            .select("chat_id", *pool.columns, "mismatches", "passes"))
+            .select("chat_id", *keep, *pool.columns, "mismatches", "passes"))
 
 
 def judge(listings: DataFrame, config: dict) -> DataFrame:
@@ -186,52 +188,71 @@ def rank_by_skills(matches: DataFrame, users: DataFrame) -> DataFrame:
 
     Users without skills keep their rows and get no percentage.
     """
-    mine = users.select("chat_id", F.array_distinct(F.filter(
-        F.transform("skills", lambda s: F.lower(strip(s))), truthy)).alias("_skills"))
-    rows = matches.withColumn("_techs", ranked_techs(matches)).join(mine, "chat_id", "left")
-    hits = F.array_sort(F.array_intersect("_techs", "_skills"))
+    mine = users.select("chat_id", F.col("skills").alias("_skills"))
+    return _with_share(matches.join(mine, "chat_id", "left"), "_skills").drop("_skills")
+
+
+def _with_share(rows: DataFrame, skills: str) -> DataFrame:
+    wanted = F.array_distinct(F.filter(
+        F.transform(skills, lambda s: F.lower(strip(s))), truthy))
+    rows = rows.withColumns({"_techs": ranked_techs(rows), "_wanted": wanted})
+    hits = F.array_sort(F.array_intersect("_techs", "_wanted"))
     total = F.size("_techs")
     pct = F.when(total > 0, F.bround(100 * F.size(hits) / total, 0)).otherwise(0).cast("bigint")
-    has_skills = F.coalesce(F.size("_skills") > 0, F.lit(False))
+    has_skills = F.coalesce(F.size("_wanted") > 0, F.lit(False))
     return rows.withColumns({
         "match_pct": F.when(has_skills, pct), "matched_skills": F.when(has_skills, hits),
-    }).drop("_techs", "_skills")
+    }).drop("_techs", "_wanted")
 
 
 # ---------------------------------------------------------------- digest and latest
-def _capped(rows: DataFrame, caps: DataFrame) -> DataFrame:
-    """First rows per user up to the user's own cap. A user has at most one pool of rows."""
-    place = F.row_number().over(W.partitionBy("chat_id").orderBy("pool_rank"))
-    return (rows.withColumn("_n", place).where(F.col("_n") <= max_cap())
-            .join(caps.select("chat_id", "cap"), "chat_id", "left")
-            .where(F.col("_n") <= F.coalesce("cap", F.lit(FREE_CAP))).drop("_n", "cap"))
-
-
 def max_cap() -> int:
     return max(FREE_CAP, *(t["max_listings"] for t in TIERS.values()))
 
 
-def _slotted(rows: DataFrame) -> DataFrame:
-    order = W.partitionBy("chat_id").orderBy(F.desc_nulls_last("match_pct"), "pool_rank")
-    return rows.withColumn("slot", F.row_number().over(order))
-
+def _listed_before(pairs: DataFrame, pool: DataFrame) -> DataFrame:
+    """Per user, the listings of the pool that a log of (listing_id, chat_id) names.
 
-def _about(pairs: DataFrame, pool: DataFrame) -> DataFrame:
-    """The (listing_id, chat_id) pairs of a log that concern the pool."""
+    The log is narrowed to the pool first, so a set holds at most the listings of one pool.
+    """
     listings = pool.select("listing_id").distinct()
     if is_small(pool):
         listings = F.broadcast(listings)
-    return pairs.select("listing_id", "chat_id").join(listings, "listing_id", "left_semi")
+    return (pairs.select("listing_id", "chat_id").join(listings, "listing_id", "left_semi")
+            .groupBy("chat_id").agg(F.collect_set("listing_id").alias("_listed")))
 
 
-def digest(pool: DataFrame, users: DataFrame, sent: DataFrame, caps: DataFrame) -> DataFrame:
-    """What every user is to be told now: matches not sent before, capped, then ranked.
+def _prepared(pool: DataFrame, users: DataFrame, log: DataFrame, caps: DataFrame) -> DataFrame:
+    """Matching pairs with the user's cap, skills and logged listings.
 
-    The log is narrowed to the listings of the pool first, so its bulk is never shuffled.
+    All of these are joined to the one row of a user before pairs are formed, so no pair is
+    shuffled to be compared with the log.
     """
-    fits = match(pool, users).where("passes").drop("passes")
-    fresh = fits.join(_about(sent, pool), ["listing_id", "chat_id"], "left_anti")
-    return _slotted(rank_by_skills(_capped(fresh, caps), users))
+    side = (users.join(caps.select("chat_id", "cap"), "chat_id", "left")
+            .join(_listed_before(log, pool), "chat_id", "left"))
+    return match(pool, side, ("cap", "skills", "_listed")).where("passes").drop("passes")
+
+
+def _unlisted() -> Column:
+    return ~F.coalesce(F.array_contains("_listed", F.col("listing_id")), F.lit(False))
+
+
+def _capped(rows: DataFrame) -> DataFrame:
+    """First rows per user up to the user's own cap. A user has at most one pool of rows."""
+    place = F.row_number().over(W.partitionBy("chat_id").orderBy("pool_rank"))
+    return (rows.withColumn("_n", place).where(F.col("_n") <= max_cap())
+            .where(F.col("_n") <= F.coalesce("cap", F.lit(FREE_CAP))).drop("_n"))
+
+
+def _slotted(rows: DataFrame) -> DataFrame:
+    order = W.partitionBy("chat_id").orderBy(F.desc_nulls_last("match_pct"), "pool_rank")
+    ranked = _with_share(rows, "skills").drop("cap", "skills", "_listed")
+    return ranked.withColumn("slot", F.row_number().over(order))
+
+
+def digest(pool: DataFrame, users: DataFrame, sent: DataFrame, caps: DataFrame) -> DataFrame:
+    """What every user is to be told now: matches not sent before, capped, then ranked."""
+    return _slotted(_capped(_prepared(pool, users, sent, caps).where(_unlisted())))
 
 
 def without_news(pool: DataFrame, users: DataFrame, told: DataFrame) -> DataFrame:
@@ -242,9 +263,7 @@ def without_news(pool: DataFrame, users: DataFrame, told: DataFrame) -> DataFram
 
 def latest(pool: DataFrame, users: DataFrame, tracked: DataFrame, caps: DataFrame) -> DataFrame:
     """Matches on demand. Tracked listings go after the cap, so fewer than the cap may stay."""
-    fits = match(pool, users).where("passes").drop("passes")
-    ranked = rank_by_skills(_capped(fits, caps), users)
-    return _slotted(ranked.join(_about(tracked, pool), ["listing_id", "chat_id"], "left_anti"))
+    return _slotted(_capped(_prepared(pool, users, tracked, caps)).where(_unlisted()))
 
 
 def alert_text(rows: DataFrame) -> Column:

@@ -399,7 +399,7 @@ qualify row_number() over (order by listing_id nulls first, date_collected nulls
 select listing_id, title, company_name, cities, salary_variants, required_skills, description,
   date_collected, coalesce(nullif(source_run_id, ''), '{COLLECTED}') as guard_run_id from raw""")
     t["newest_file_preview"] = with_tables(f"""
-select listing_id, seniority, case when {preview_ok} then {misses(preview, _PREVIEW)} else -1 end
+select listing_id, seniority, cast(case when {preview_ok} then {misses(preview, _PREVIEW)} else -1 end as bigint)
   as mismatches, {preview_ok} and ({misses(preview, _PREVIEW)}) <= 2 as passes, date_collected
 from first_bronze""", first=first, first_bronze=bronze_from("first"))
     t["normalize_offers"] = _OFFERS
