@@ -63,3 +63,8 @@ def test_marts_shuffle_listings_once_and_then_only_partial_counts(spark):
         assert "partial_count" in plan and "SortMergeJoin" not in plan
     assert plan_of(QUERIES["mart_snapshot"](spark, SF)).count("Exchange hashpartitioning") == 1
     assert "PushedFilters: [IsNotNull(l_partkey)" in plan_of(QUERIES["mart_trends"](spark, SF))
+
+
+def test_digest_pairs_are_not_shuffled(spark):
+    plan = plan_of(QUERIES["daily_digest"](spark, SF))
+    assert "Exchange" not in plan[:plan.index("BroadcastHashJoin [_key")]
