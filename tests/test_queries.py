@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows
+from jobtide.plans import catalog, twins
 from jobtide.plans.bindings import _TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+QUERIES, TWINS = catalog.QUERIES, twins.all_twins()
 
 
 @pytest.fixture(scope="module")
