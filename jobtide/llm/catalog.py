@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import quality_rules, toxicity
+from jobtide.llm import bpe, decontamination, near_dup, quality_rules, toxicity
 from jobtide.llm.common import held_out, stored, table
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near duplicates of all documents."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the voting rules for every document."""
     counted = stored(quality_rules.counts(
@@ -19,6 +24,36 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a passage of the benchmark."""
+    found = decontamination.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark"))
+    hit, items = decontamination.n_hit(F.col("found.spans")), F.col("found.items")
+    return found.select(
+        "doc_id", "found.n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    coded = bpe.decode(bpe.encode(docs, path), path, name="decoded")
+    return coded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -29,7 +64,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op10_toxicity)
+    f.__name__: f for f in (op2_near_duplicates, op4_quality_rules, op7_decontamination, op8_bpe,
+                              op10_toxicity)
 }
 
 
