@@ -9,7 +9,6 @@ shuffled for a frequent word is one row entry per chunk, so no word is hot.
 
 from __future__ import annotations
 
-import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
@@ -20,11 +19,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.llm.chunks import CHUNK_BYTES, answers_of, chunks, packed, unpacked
 from jobtide.llm.common import arrow_column, byte_view, steps, word_hashes
 
-CHUNK_BYTES = 16 << 20
-
-
 @cache
 def _tokenizer(text: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -36,33 +33,6 @@ def _tokenizer(text: str):
     return out
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table]]:
-    """Runs of rows (id, text) of about CHUNK_BYTES; their name is a digest of what they hold."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-        for a, b in steps(lengths.astype(np.int64), CHUNK_BYTES // 4):
-            held.append(batch.slice(a, b - a))
-            size += int(lengths[a:b].sum())
-            if size >= CHUNK_BYTES:
-                yield _named(held)
-                held, size = [], 0
-    if held:
-        yield _named(held)
-
-
-def _named(held: list[pa.RecordBatch]) -> tuple[bytes, pa.Table]:
-    table = pa.Table.from_batches(held).combine_chunks()
-    digest = hashlib.blake2b(digest_size=16)
-    for column in table.columns:
-        for part in column.chunks:
-            digest.update(repr(part.to_pylist() if part.type == pa.int64() else len(part)).encode())
-    flat, offsets = byte_view(table.column(1))
-    digest.update(flat[offsets[0]:offsets[-1]].tobytes())
-    return digest.digest(), table
-
-
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words in order of first occurrence, the number of the word at each position, and
     the number of words of each text."""
@@ -83,16 +53,6 @@ def _buckets(words: pa.Array, n: int) -> np.ndarray:
     return (word_hashes(flat, offsets)[0] % np.uint64(n)).astype(np.int64)
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codec = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 1))
-    for name, table in chunks(batches):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=codec) as out:
-            out.write_table(table)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([sink.getvalue().to_pybytes()])], ["chunk", "rows"])
-
-
 def _asked(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, table in chunks(batches):
@@ -133,20 +93,14 @@ def _answers(sent):
 def _joined(n: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """Ids of each text of one chunk, from the answers of all buckets."""
-        if not left.num_rows:
-            raise ValueError("an answer without its chunk: the rows of the source changed between reads")
-        tables = [pa.ipc.open_stream(x.as_py()).read_all() for x in left.column("rows")]
-        # chunks with equal rows have one name and one answer each
-        answers = {}
-        for bucket, ids in zip(right.column("bucket").to_pylist(), right.column("ids"), strict=True):
-            answers.setdefault(bucket, ids)
+        answers = answers_of(right, ["ids"])
         out = []
-        for table in tables:
+        for table in unpacked(left):
             words, codes, counts = split_words(table.column(1))
             bucket = _buckets(words, n)
             parts = [b""] * len(words)
             for b in np.unique(bucket).tolist():
-                for i, code in zip(np.flatnonzero(bucket == b).tolist(), answers[b].as_py(), strict=True):
+                for i, code in zip(np.flatnonzero(bucket == b).tolist(), answers[b][0].as_py(), strict=True):
                     parts[i] = code
             sizes = np.array([len(p) for p in parts], np.int64) // 4
             flat = np.frombuffer(b"".join(parts), "<u4")
@@ -177,11 +131,11 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     kind = rows.schema["id"].dataType.simpleString()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(max(16, total // CHUNK_BYTES + 1))
-    packed = rows.mapInArrow(_packed, "chunk binary, rows binary")
+    whole = rows.mapInArrow(packed, "chunk binary, rows binary")
     asked = rows.mapInArrow(_asked(n), "chunk binary, bucket bigint, words array<binary>")
     answers = (asked.repartition("bucket").sortWithinPartitions("bucket")
                .mapInArrow(_answers(sent), "chunk binary, bucket bigint, ids array<binary>"))
-    return (packed.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return (whole.groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(_joined(n), f"id {kind}, ids binary")
             .select(F.col("id").alias(key), "ids"))
 

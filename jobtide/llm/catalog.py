@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bpe, decontamination, near_dup, quality_rules, toxicity
+from jobtide.llm import bpe, decontamination, lm, near_dup, quality_rules, toxicity
 from jobtide.llm.common import held_out, stored, table
 
 
@@ -54,6 +54,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a model of those that are not held out."""
+    out = held_out("doc_id", 7, 2)
+    scored = lm.score(table(spark, sf_dir, "documents"), learn=~out & F.col("doc_id").isNotNull())
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -65,7 +73,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_near_duplicates, op4_quality_rules, op7_decontamination, op8_bpe,
-                              op10_toxicity)
+                              op9_lm_score, op10_toxicity)
 }
 
 
