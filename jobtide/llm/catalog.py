@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bpe, decontamination, lm, near_dup, quality_rules, toxicity
+from jobtide.llm import (
+    bpe, decontamination, language, lm, near_dup, quality_rules, toxicity, urls,
+)
 from jobtide.llm.common import held_out, stored, table
 
 
+URL_RULES = [
+    urls.rule("allow", "org/"), urls.rule("block", "example.org/es/"),
+    urls.rule("block", "example.org/en/1"), urls.rule("allow", "com/fr/"), urls.rule("block", "com/de/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    pages = urls.with_rules(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return urls.judge(pages, urls.fit(pages)).select("page_id", "host", "path", "rule", "verdict", "accepted")
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near duplicates of all documents."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -24,6 +38,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs, ~out))
+    return found.select("doc_id", out.alias("held_out"), F.col("language.lang").alias("lang_pred"),
+                        F.col("language.score").alias("score"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a passage of the benchmark."""
     found = decontamination.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -72,7 +94,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op4_quality_rules, op7_decontamination, op8_bpe,
+    f.__name__: f for f in (op1_url_filter, op2_near_duplicates, op4_quality_rules, op5_language, op7_decontamination, op8_bpe,
                               op9_lm_score, op10_toxicity)
 }
 
