@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm import (
-    bpe, decontamination, language, lm, near_dup, quality_rules, toxicity, urls,
+    bpe, decontamination, language, lm, near_dup, quality_net, quality_rules, toxicity, urls, warc,
 )
-from jobtide.llm.common import held_out, stored, table
+from jobtide.llm.common import folder, held_out, stored, table
 
 
 URL_RULES = [
@@ -30,6 +30,15 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    net = quality_net.fit(docs, table(spark, sf_dir, "labels"), modulus=5, remainder=0)
+    scored = quality_net.score(docs.select("doc_id", "text"), net, name="score")
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the voting rules for every document."""
     counted = stored(quality_rules.counts(
@@ -46,6 +55,26 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("language.score").alias("score"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = folder(spark, "archives")
+    warc.write(pages, path)
+    records = warc.read(spark, path, lambda payload: {
+        "payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": warc.base32(F.sha1(payload))})
+    records = stored(records, "records")
+    page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
+    full = records.where(F.col("type") == "response").select(
+        F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"),
+        F.col("payload_digest").alias("full_digest")).dropDuplicates(["refers_to"])
+    revisit = F.col("type") == "revisit"
+    return records.join(full, "refers_to", "left").select(
+        page(F.col("record_id")).alias("page_id"),
+        F.when(revisit, F.col("full_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("full_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"), page(F.col("refers_to")).alias("refers_to"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a passage of the benchmark."""
     found = decontamination.scan(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -94,12 +123,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_near_duplicates, op4_quality_rules, op5_language, op7_decontamination, op8_bpe,
-                              op9_lm_score, op10_toxicity)
+    f.__name__: f for f in (
+        op1_url_filter, op2_near_duplicates, op3_quality, op4_quality_rules, op5_language, op6_warc,
+        op7_decontamination, op8_bpe, op9_lm_score, op10_toxicity)
 }
 
 
 def twins() -> dict[str, str]:
     from jobtide.llm import twins as t
 
-    return {"op4_quality_rules": t.quality_rules()}
+    return {"op4_quality_rules": t.quality_rules(), "op6_warc": t.warc()}

@@ -27,7 +27,7 @@ from jobtide.llm.common import (
 STEM_BYTES = 5
 DISCOUNT = 4.0
 FLOOR = 1.0
-PER_CLASS, CLASS_BYTES = 4000, 24 << 20
+PER_CLASS, CLASS_BYTES = 2500, 8 << 20
 
 
 def not_letters() -> np.ndarray:

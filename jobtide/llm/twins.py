@@ -53,3 +53,17 @@ patterns AS MATERIALIZED (SELECT {", ".join(f"v{j}" for j in range(n))}, count(*
 r0 AS (SELECT {start}){rounds}
 SELECT doc_id, {", ".join(q.COUNTS)}, {q.BASE_FAILED} AS base_failed,
   NOT {q.BASE_FAILED} AND ({odds}) >= 0 AS kept FROM votes, r{q.ROUNDS}"""
+
+
+def warc() -> str:
+    """Base 32 from the 40 hexadecimal digits of SHA-1, 5 bits at a time."""
+    digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    return f"""WITH pages_ AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+hashed AS (SELECT page_id, strlen(t)::BIGINT AS payload_bytes, sha1(t) AS h FROM pages_),
+coded AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32),
+    lambda k: '{digits}'[(('0x' || h[(k // 4) * 5 + 1 : (k // 4) * 5 + 5])::BIGINT >> (15 - 5 * (k % 4))) % 32 + 1]),
+    '') AS payload_digest FROM hashed),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS f FROM coded)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to FROM firsts"""
