@@ -150,22 +150,21 @@ def chained(candidates: DataFrame) -> DataFrame:
     """
     jumps = stored(candidates.groupBy("file", "range").applyInArrow(
         _leave, "file string, range bigint, off bigint, after bigint, leave bigint"), "jumps")
-    start = jumps.where(F.col("off") == 0)
-    reached = stored(start.select("file", "off", "leave"), "reached")
-    n = reached.count()
-    hop = jumps.where("leave >= 0").select("file", "off", "leave")
+    reached = stored(jumps.where(F.col("off") == 0).select("file", "off"), "reached")
+    n, hop = reached.count(), jumps.where("leave >= 0").select("file", "off", "leave")
     while n:
-        far = hop.select("file", F.col("off").alias("leave"), F.col("leave").alias("far"))
-        more = reached.select("file", "leave").join(far, ["file", "leave"]).select(
-            "file", F.col("leave").alias("off"), F.col("far").alias("leave"))
-        reached = stored(reached.unionByName(more).distinct(), "reached")
-        new = reached.select("file", "off").distinct().count()
+        more = reached.join(hop, ["file", "off"]).select("file", F.col("leave").alias("off"))
+        # a jump that ends where no candidate is ends the chain
+        more = more.join(jumps.select("file", "off"), ["file", "off"], "left_semi")
+        reached = stored(reached.union(more).distinct(), "reached")
+        new = reached.count()
         if new == n:
             break
         n = new
-        hop = stored(hop.join(far, ["file", "leave"]).select(
+        again = hop.select("file", F.col("off").alias("leave"), F.col("leave").alias("far"))
+        hop = stored(hop.join(again, ["file", "leave"]).select(
             "file", "off", F.col("far").alias("leave")), "hops")
-    entries = reached.select("file", "off").distinct().withColumn("entry", F.lit(True))
+    entries = reached.withColumn("entry", F.lit(True))
     return jumps.join(entries, ["file", "off"], "left").select(
         "file", "range", "off", "after", F.coalesce("entry", F.lit(False)).alias("entry")).groupBy(
             "file", "range").applyInArrow(_walk, "file string, range bigint, off bigint")
