@@ -16,6 +16,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,72 +48,84 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return table.dictionary, table.indices.to_numpy(), counts
 
 
-def _buckets(words: pa.Array, n: int) -> np.ndarray:
-    """The bucket of each distinct word."""
+def _by_bucket(words: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of distinct words by bucket and inside it by bytes, the buckets, and their ends."""
     flat, offsets = byte_view(words)
-    return (word_hashes(flat, offsets)[0] % np.uint64(n)).astype(np.int64)
+    order = pc.sort_indices(words).to_numpy().astype(np.int64)
+    bucket = (word_hashes(flat, offsets)[0] % np.uint64(n)).astype(np.int64)[order]
+    order = order[np.argsort(bucket, kind="stable")]
+    names, counts = np.unique(bucket, return_counts=True)
+    return order, names, np.concatenate([[0], np.cumsum(counts)])
 
 
 def _asked(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for name, table in chunks(batches):
-            words = split_words(table.column(1))[0].cast(pa.binary())
-            bucket = _buckets(words, n)
-            order = np.argsort(bucket, kind="stable")
-            names, first = np.unique(bucket[order], return_index=True)
-            offsets = np.append(first, len(order)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), words.take(pa.array(order)))
+            words = split_words(table["text"])[0].cast(pa.binary())
+            order, buckets, cuts = _by_bucket(words, n)
+            words = words.take(pa.array(order))
+            # no word has a line break
+            lists = [press.compress(b"\n".join(words.slice(a, b - a).to_pylist()))
+                     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(names), pa.binary()), pa.array(names), lists],
+                [pa.array([name] * len(buckets), pa.binary()), pa.array(buckets), pa.array(lists, pa.binary())],
                 ["chunk", "bucket", "words"])
     return run
 
 
-def _answers(sent):
+def _answers(sent, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _tokenizer(sent.value)
+        press, open_ = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         now, known = None, {}
         for batch in batches:
-            lists = batch.column("words")
             out = []
-            for k, bucket in enumerate(batch.column("bucket").to_pylist()):
+            for bucket, packed_words in zip(batch.column("bucket").to_pylist(), batch.column("words"), strict=True):
                 if bucket != now:
                     now, known = bucket, {}
-                words = lists[k].as_py()
+                words = open_.decompress(packed_words.as_py()).split(b"\n")
                 new = [w for w in words if w not in known]
-                for w, code in zip(new, coder.encode_batch(
+                for w, code in zip(new, coder.encode_batch_fast(
                         [w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-                    known[w] = np.array(code.ids, "<u4").tobytes()
-                out.append([known[w] for w in words])
+                    known[w] = np.array(code.ids, kind).tobytes()
+                codes = [known[w] for w in words]
+                sizes = np.array([len(c) for c in codes], "<u4").tobytes()
+                out.append(press.compress(sizes + b"".join(codes)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("bucket"), pa.array(out, pa.list_(pa.binary()))],
+                [batch.column("chunk"), batch.column("bucket"), pa.array(out, pa.binary())],
                 ["chunk", "bucket", "ids"])
     return run
 
 
-def _joined(n: int):
+def _joined(n: int, kind: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """Ids of each text of one chunk, from the answers of all buckets."""
-        answers = answers_of(right, ["ids"])
-        out = []
+        answers, out = answers_of(right, ["ids"]), []
+        open_, wide = zstandard.ZstdDecompressor(), np.dtype(kind).itemsize
         for table in unpacked(left):
-            words, codes, counts = split_words(table.column(1))
-            bucket = _buckets(words, n)
-            parts = [b""] * len(words)
-            for b in np.unique(bucket).tolist():
-                for i, code in zip(np.flatnonzero(bucket == b).tolist(), answers[b][0].as_py(), strict=True):
-                    parts[i] = code
-            sizes = np.array([len(p) for p in parts], np.int64) // 4
-            flat = np.frombuffer(b"".join(parts), "<u4")
-            starts = np.cumsum(sizes) - sizes
-            lens = sizes[codes]
-            before = np.cumsum(lens) - lens
-            ids = flat[np.repeat(starts[codes] - before, lens) + np.arange(lens.sum())]
+            words, codes, counts = split_words(table["text"])
+            order, buckets, cuts = _by_bucket(words.cast(pa.binary()), n)
+            sizes, flat = [], []
+            for bucket, a, b in zip(buckets.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                data = open_.decompress(answers[bucket][0].as_py())
+                sizes.append(np.frombuffer(data, "<u4", b - a))
+                flat.append(np.frombuffer(data, kind, offset=4 * (b - a)))
+            none = np.zeros(0, kind)
+            sizes, flat = np.concatenate([*sizes, none]).astype(np.int64) // wide, np.concatenate([*flat, none])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            at = place[codes]
+            del words, codes
+            lens = sizes[at]
+            take = np.repeat((np.cumsum(sizes) - sizes)[at] - (np.cumsum(lens) - lens), lens)
+            take += np.arange(len(take))
+            ids = flat[take].astype("<u4")
             ends = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)])]
-            coded = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(counts),
-                [None, pa.py_buffer((ends * 4).astype(np.int64).tobytes()), pa.py_buffer(ids.tobytes())])
-            out.append(pa.table({"id": table.column(0), "ids": coded.cast(pa.binary())}))
+            coded = pa.Array.from_buffers(
+                pa.binary(), len(counts),
+                [None, pa.py_buffer((ends * 4).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
+            out.append(pa.table({"id": table["id"], "ids": coded}))
         return pa.concat_tables(out)
     return run
 
@@ -128,15 +141,16 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     with open(path, encoding="utf-8") as f:
         sent = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    key_kind = rows.schema["id"].dataType.simpleString()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(max(16, total // CHUNK_BYTES + 1))
+    kind = "<u2" if _tokenizer(sent.value).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
     whole = rows.mapInArrow(packed, "chunk binary, rows binary")
-    asked = rows.mapInArrow(_asked(n), "chunk binary, bucket bigint, words array<binary>")
+    asked = rows.mapInArrow(_asked(n), "chunk binary, bucket bigint, words binary")
     answers = (asked.repartition("bucket").sortWithinPartitions("bucket")
-               .mapInArrow(_answers(sent), "chunk binary, bucket bigint, ids array<binary>"))
+               .mapInArrow(_answers(sent, kind), "chunk binary, bucket bigint, ids binary"))
     return (whole.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-            .applyInArrow(_joined(n), f"id {kind}, ids binary")
+            .applyInArrow(_joined(n, kind), f"id {key_kind}, ids binary")
             .select(F.col("id").alias(key), "ids"))
 
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from jobtide.llm.common import byte_view, steps
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table]]:
@@ -48,7 +48,7 @@ def _named(held: list[pa.RecordBatch]) -> tuple[bytes, pa.Table]:
 
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, rows): each chunk as one compressed value."""
-    codec = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 1))
+    codec = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
     for name, table in chunks(batches):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema, options=codec) as out:

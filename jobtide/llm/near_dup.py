@@ -295,5 +295,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "set", F.coalesce("component", "node").alias("component"))
     return (sketches.select("id", "n", "set").join(of_set, "set", "left")
             .select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "id").alias("component_id"))
+                    F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
             .withColumn("kept", F.col(key).eqNullSafe(F.col("component_id"))))
