@@ -16,9 +16,21 @@ def pay_factor(unit: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.lower(unit)), F.lit(1.0))
 
 
+def variant_texts(json_text: Column) -> Column:
+    """JSON array text -> array of variants with all fields as text; null where it is no array.
+
+    An element that is no object becomes a variant of nulls. It makes the typed parse of the
+    whole array null; only then the elements are parsed one by one.
+    """
+    one = VARIANTS_TEXT.removeprefix("array<").removesuffix(">")
+    apart = F.transform(F.from_json(json_text, "array<string>"), lambda e: F.from_json(e, one))
+    return F.when(F.ltrim(json_text).startswith("["),
+                  F.coalesce(F.from_json(json_text, VARIANTS_TEXT), apart))
+
+
 def parse_variants(json_text: Column) -> Column:
     """JSON array text -> array of typed variants; null where it is not a JSON array."""
-    parsed = F.when(F.ltrim(json_text).startswith("["), F.from_json(json_text, VARIANTS_TEXT))
+    parsed = variant_texts(json_text)
     typed = F.transform(parsed, lambda v: F.struct(
         v.alias("raw"), v["salary_min"].try_cast("double").alias("low"),
         v["salary_max"].try_cast("double").alias("high"), pay_factor(v["unit"]).alias("factor")))

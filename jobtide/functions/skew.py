@@ -49,6 +49,14 @@ def salted_join(
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: Column) -> DataFrame:
+    """Left join with a lookup table: sent to every task if it has few rows, else salted, since a
+    few dozen names may stand for all rows."""
+    if is_small(lookup):
+        return rows.join(F.broadcast(lookup), keys, "left")
+    return salted_join(rows, lookup, keys, spread, "left")
+
+
 def is_small(df: DataFrame, rows: int = 10_000) -> bool:
     """Does the frame hold so few rows that every task may have a copy?"""
     return df.limit(rows + 1).count() <= rows

@@ -70,10 +70,15 @@ def lifetime(history: DataFrame, as_of: Column) -> DataFrame:
 
 def store(spark: SparkSession, batch: DataFrame, previous: str | None, target: str,
           as_of: Column) -> DataFrame:
-    """Write the next version of the history to `target`, beside the previous one."""
+    """Write the next version of the history to the new folder `target`.
+
+    The version before it is read while this one is written, so it must lie elsewhere.
+    """
+    if previous is not None and previous.rstrip("/") == target.rstrip("/"):
+        raise ValueError("a history cannot replace the version it is made from")
     if previous is None:
         history = first_history(batch, as_of)
     else:
         history = scd2(spark.read.parquet(previous), batch, as_of)
-    history.write.mode("overwrite").parquet(target)
+    history.write.parquet(target)
     return spark.read.parquet(target)

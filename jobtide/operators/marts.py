@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from jobtide.functions.skew import lookup_join
 from jobtide.functions.keys import member
 from jobtide.functions.text import no_strings
 
@@ -88,10 +89,14 @@ def salary_from_tables(fact: DataFrame, bridge: DataFrame, dim_seniority: DataFr
                        & (F.col("salary_max_monthly") >= F.col("salary_min_monthly")))
     rows = (
         valid.join(bridge.select("listing_id", "technology_name"), "listing_id")
-        .join(dim_seniority.withColumnRenamed("level", "seniority"), "seniority_key", "left")
-        .join(dim_employment.withColumnRenamed("type", "employment_type"),
-              "employment_type_key", "left")
-        .select("technology_name", "seniority", "employment_type", "currency",
+    )
+    for key, dim, natural, name in (
+        ("seniority_key", dim_seniority, "level", "seniority"),
+        ("employment_type_key", dim_employment, "type", "employment_type"),
+    ):
+        rows = lookup_join(rows, dim.select(key, F.col(natural).alias(name)), [key], F.col("listing_id"))
+    rows = (
+        rows.select("technology_name", "seniority", "employment_type", "currency",
                 F.col("salary_min_monthly").alias("lo"), F.col("salary_max_monthly").alias("hi"))
     )
     return salary_statistics(rows)

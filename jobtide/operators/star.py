@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.keys import member_key, surrogate_key
 from jobtide.functions.pay import parse_variants
+from jobtide.functions.skew import lookup_join
 
 
 # ---------------------------------------------------------------- dimensions
@@ -24,7 +25,8 @@ def dimension(stg: DataFrame, col: str, key: str, name: str) -> DataFrame:
 
 
 def employment_types(stg: DataFrame) -> DataFrame:
-    types = stg.select(F.explode(parse_variants(F.col("salary_variants"))["employment_type"])
+    # an outer generator, so that pay is not parsed a second time for a size filter
+    types = stg.select(F.explode_outer(parse_variants(F.col("salary_variants"))["employment_type"])
                        .alias("type"))
     return dimension(types, "type", "employment_type_key", "type")
 
@@ -104,8 +106,7 @@ def fact(priced_listings: DataFrame) -> DataFrame:
 def fact_by_joins(stg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The fact through left joins, for dimensions that were built elsewhere.
 
-    No broadcast is forced: Spark sends a dimension to every task only where its measured size
-    allows that, and splits skewed keys otherwise.
+    A dimension of few rows goes to every task, another is joined with its hot names spread.
     """
     rows = stg.withColumn("variants", parse_variants(F.col("salary_variants")))
     rows = _variant_rows(rows).withColumns({
@@ -119,11 +120,11 @@ def fact_by_joins(stg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         ("workplace_type", "type", "workplace_type"), ("category", "category", "category"),
     ):
         key = f"{dim}_key"
-        side = dims[dim].select(F.col(key), F.col(natural).alias("_natural"))
-        rows = rows.join(side, rows[col] == side["_natural"], "left").drop("_natural")
+        side = dims[dim].select(F.col(key), F.col(natural).alias(col))
+        rows = lookup_join(rows, side, [col], F.col("listing_id"))
     for col, key in (("_posted", "date_posted_key"), ("_collected", "date_collected_key")):
-        side = dims["date"].select(F.col("date_key").alias(key), F.col("full_date").alias("_day"))
-        rows = rows.join(side, rows[col] == side["_day"], "left").drop("_day")
+        side = dims["date"].select(F.col("date_key").alias(key), F.col("full_date").alias(col))
+        rows = lookup_join(rows, side, [col], F.col("listing_id"))
     return rows.select(*_FACT)
 
 
@@ -131,19 +132,24 @@ def fact_by_joins(stg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def bridge_technology(stg: DataFrame, dim_technology: DataFrame) -> DataFrame:
     """Listing x skill x requirement type. A skill of both kinds stands twice.
 
-    The lookup is the packaged seed as a rule; Spark sees its size and sends it to every task.
+    One generator over both lists, so that staging runs once. The lookup is the packaged seed as a
+    rule, whose size Spark knows: it goes to every task and the skills are not shuffled.
     """
     dim = dim_technology.select(
         "technology_key", F.col("canonical_name").alias("technology_name"))
-    required = stg.select("listing_id", F.explode("required_skills").alias("technology_name"),
-                          F.lit("required").alias("requirement_type"))
-    nice = stg.select("listing_id", F.explode("nice_to_have_skills").alias("technology_name"),
-                      F.lit("nice_to_have").alias("requirement_type"))
-    return (required.unionByName(nice).join(dim, "technology_name", "left")
+
+    def tagged(skills: str, kind: str) -> Column:
+        return F.transform(F.coalesce(skills, F.array().cast("array<string>")), lambda s: F.struct(
+            s.alias("technology_name"), F.lit(kind).alias("requirement_type")))
+
+    both = F.concat(tagged("required_skills", "required"), tagged("nice_to_have_skills", "nice_to_have"))
+    rows = stg.select("listing_id", F.explode_outer(both).alias("s")).where(F.col("s").isNotNull())
+    return (rows.select("listing_id", "s.*").join(dim, "technology_name", "left")
             .select("listing_id", "technology_key", "technology_name", "requirement_type"))
 
 
 def bridge_city(stg: DataFrame, dim_city: DataFrame) -> DataFrame:
     dim = dim_city.select("city_key", "city_name")
-    return (stg.select("listing_id", F.explode("cities").alias("city_name"))
+    rows = stg.select("listing_id", F.explode_outer("cities").alias("city_name"), F.size("cities").alias("n"))
+    return (rows.where(F.col("n") > 0).drop("n")
             .join(dim, "city_name", "left").select("listing_id", "city_key", "city_name"))

@@ -11,10 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.functions.keys import pseudonym
-from jobtide.functions.skew import hour_slice, with_last_before
+from jobtide.functions.skew import hour_slice, is_small, with_last_before
 
 SWITCHES = ["opt_out", "opt_in"]
 TOP = 10
+RESETS = 1000  # as many are looked up in a list that every task gets
 LIMITED = ["technology", "category", "city"]
 POPULAR = ["technologies", "categories", "cities", "seniorities", "workplace_types"]
 
@@ -69,13 +70,19 @@ def reset_counts(events: DataFrame) -> DataFrame:
     stored = logged(events).where("kind <> 'feedback'").select(
         "ts", "seq", "kind",
         F.when(F.col("kind") == "choice", F.size("choices")).otherwise(1).alias("n"))
-    # read backwards in time, the reset before a row is the one that deletes it
-    backwards = (-F.unix_micros("ts")).alias("t")
-    line = marks.unionByName(stored).withColumn("_all", F.lit(0))
-    order = F.struct(backwards, (-F.col("seq")).alias("s"))
-    mark = F.when(F.col("kind") == "reset", F.struct("ts", "seq"))
-    minute = -F.unix_micros(F.date_trunc("minute", "ts"))
-    dated = with_last_before(line, "_all", order, mark, minute, "_by")
+    if is_small(marks, RESETS):
+        # the first reset after an event, from a short sorted list
+        later = F.filter(F.col("_marks"), lambda m: m > F.struct("ts", "seq"))
+        marks = marks.agg(F.sort_array(F.collect_list(F.struct("ts", "seq")))).scalar()
+        dated = stored.withColumn("_marks", marks).withColumn("_by", F.get(later, F.lit(0)))
+    else:
+        # read backwards in time, the reset before a row is the one that deletes it
+        backwards = (-F.unix_micros("ts")).alias("t")
+        line = marks.unionByName(stored).withColumn("_all", F.lit(0))
+        order = F.struct(backwards, (-F.col("seq")).alias("s"))
+        mark = F.when(F.col("kind") == "reset", F.struct("ts", "seq"))
+        minute = -F.unix_micros(F.date_trunc("minute", "ts"))
+        dated = with_last_before(line, "_all", order, mark, minute, "_by")
     deleted = dated.where((F.col("kind") != "reset") & F.col("_by").isNotNull()).groupBy(
         F.col("_by.seq").alias("seq")).agg(
         F.sum(F.when(F.col("kind") == "command", F.col("n"))).alias("c"),
@@ -121,9 +128,12 @@ def pseudonymous(df: DataFrame, salt: str) -> DataFrame:
 
 
 def filter_popularity(configs: DataFrame, known: DataFrame) -> DataFrame:
-    """Users per currently selected filter value, without opted-out users."""
+    """Users per filter value they have set (of `raw_configs`), without opted-out users.
+
+    An absent or null list counts nothing: defaults are nobody's choice.
+    """
     out = known.where("opted_out").select(F.col("chat_id").cast("string").alias("chat_id"))
-    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("values"))
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col("cfg")[d].alias("values"))
                       for d in POPULAR])
     return (
         configs.join(out, "chat_id", "left_anti").select(F.inline(pairs))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.operators import history, marts, silver, star
+from jobtide.operators import checks, history, marts, silver, star
 from jobtide.sources.layers import read_seed, write_layer
 
 
@@ -52,21 +54,47 @@ def gold(spark: SparkSession, stg: DataFrame, start: date, end: date) -> dict[st
 
 
 def build(spark: SparkSession, bronze: DataFrame, target: str, start: date, end: date,
-          as_of: str, previous_history: str | None = None) -> dict[str, DataFrame]:
+          as_of: str) -> dict[str, DataFrame]:
     """Write every layer under `target`, each from the stored one below it.
 
-    An empty silver layer stops the build before any gold table is replaced.
+    Gold goes to a folder of its own for each build, the change history beside it, made from that
+    of the newest published build. The stored tables are checked; only a build without failed
+    checks is published (see `published`). An empty silver layer or a failed check stops the
+    build and leaves what is published as it was.
     """
     now = F.lit(as_of).cast("timestamp")
+    before = published(spark, target)
     cleaned = write_layer(silver.clean(bronze, now), f"{target}/silver/cleaned_listings")
     if cleaned.isEmpty():
         raise ValueError("silver is empty; gold tables are left as they are")
     parsed = write_layer(silver.tech_parse(cleaned, parsed_at=now),
                          f"{target}/silver/listings_with_tech")
     stg = silver.stage(parsed)
-    tables = {name: write_layer(df, f"{target}/gold/{name}")
+    folder = f"{target}/gold/{uuid.uuid4().hex}"
+    tables = {name: write_layer(df, f"{folder}/{name}")
               for name, df in gold(spark, stg, start, end).items()}
     batch = history.listing_versions(stg, now)
     tables["snapshot_listings"] = history.store(
-        spark, batch, previous_history, f"{target}/gold/snapshot_listings", now)
+        spark, batch, before and f"{before}/snapshot_listings", f"{folder}/snapshot_listings", now)
+    checks.gate(checks.run_checks(
+        parsed, stg, tables["fact_job_listings"], tables["snapshot_listings"],
+        tables["bridge_listing_technology"]))
+    spark.range(1).select(
+        F.lit(as_of).alias("as_of"), F.lit(folder).alias("folder"),
+        F.current_timestamp().alias("published_at")).write.mode("append").parquet(_log(target))
     return tables
+
+
+def _log(target: str) -> str:
+    return f"{target}/published"
+
+
+def published(spark: SparkSession, target: str) -> str | None:
+    """Folder of the gold tables of the newest build that passed its checks."""
+    try:
+        log = spark.read.schema("as_of string, folder string, published_at timestamp").parquet(_log(target))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return log.agg(F.max_by("folder", F.struct("published_at", "folder"))).first()[0]

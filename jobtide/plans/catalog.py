@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from jobtide.functions.pay import variant_texts
 from jobtide.functions.text import canonical_skills, listing_id_of, offer_url, scan_terms
 from jobtide.operators import (
     checks, history, ledger, marts, matching, names, serving, silver, star, tracker, usage,
 )
 from jobtide.plans import bindings as b
 from jobtide.plans import build
-from jobtide.schemas import VARIANTS_TEXT
 from jobtide.session import settle, shared_dir
 from jobtide.sources import alerts, bronze, configs, envelope, export, layers, offers
 from jobtide.vocab import CANONICAL_TECHS, OFFER_URL, RAW_POOL_SIZE, TECH_ALIASES
@@ -161,14 +161,14 @@ def read_envelope(t: Tables) -> DataFrame:
 @query
 def newest_file_preview(t: Tables) -> DataFrame:
     """The newest raw file, its first listings only, judged by one user's settings."""
-    place = F.row_number().over(
-        W.partitionBy("source_file").orderBy(*[F.asc_nulls_first(c) for c in (
-            "listing_id", "date_collected", "ingested_at", "title", "slug", "salary_variants")]))
-    # a reader gets the position for nothing; here it is given to the first rows of each file
-    raw = t.raw().withColumn("_n", place).where(F.col("_n") <= RAW_POOL_SIZE)
-    first = envelope.newest_file_listings(raw.withColumn("position", F.col("_n") - 1))
+    order = [F.asc_nulls_first(c) for c in (
+        "listing_id", "date_collected", "ingested_at", "title", "slug", "salary_variants")]
+    # a reader gets the position for nothing; here the first rows of the newest file are numbered
+    newest = envelope.newest_file(t.raw()).orderBy(*order).limit(RAW_POOL_SIZE)
+    placed = newest.withColumn("position", F.row_number().over(W.orderBy(*order)) - 1)
+    first = placed.where(F.col("position") < RAW_POOL_SIZE)
     parsed = bronze.coerce_bronze(first, ingested_at=F.col("ingested_at")).withColumn(
-        "salary_variants", F.from_json("salary_variants", VARIANTS_TEXT))
+        "salary_variants", variant_texts(F.col("salary_variants")))
     judged = matching.judge(parsed, PREVIEW_USER)
     return judged.select("listing_id", "seniority", "mismatches", "passes", "date_collected")
 
@@ -373,14 +373,19 @@ def listing_lifetime(t: Tables) -> DataFrame:
 
 @query
 def quality_checks(t: Tables) -> DataFrame:
-    stg = settle(t.stg().select(
-        "listing_sk", "listing_id", "title", "slug", "company_name", "category", "seniority",
-        "workplace_type", "salary_variants", "expiry_date", "posted_date", "date_collected",
-        "required_skills", "nice_to_have_skills"))
+    """The checks over layers as they should not be: raw rows in place of the filtered and
+    deduplicated ones, and a history that holds two first loads."""
+    raw = t.raw().select(
+        F.nullif("slug", F.lit("")).alias("listing_sk"), "listing_id", F.nullif("title", F.lit("")).alias("title"),
+        "company_name", "category", F.nullif("seniority", F.lit("")).alias("seniority"),
+        F.lower(F.trim("workplace_type")).alias("workplace_type"))
+    stg, early = t.stg(), F.lit(b.HALFWAY).cast("timestamp")
     facts = star.fact(star.priced(stg, *b.CALENDAR))
-    versions = history.first_history(history.listing_versions(stg, t.now), t.now)
+    versions = history.listing_versions(stg, t.now)
+    twice = history.first_history(versions.where(F.col("listing_status") == "active"), early).unionByName(
+        history.first_history(versions, t.now))
     bridge = star.bridge_technology(stg, t.dims(stg)["technology"])
-    return checks.run_checks(stg, stg, facts, versions, bridge)
+    return checks.run_checks(raw, raw, facts, twice, bridge)
 
 
 # ---------------------------------------------------------------- serving
@@ -486,7 +491,7 @@ def skill_list_edits(t: Tables) -> DataFrame:
 
 @query
 def match(t: Tables) -> DataFrame:
-    return matching.match(t.pool(), t.users()).select(
+    return matching.match(t.pool(), t.users()).where("passes").select(
         "chat_id", "listing_id", "pool_rank", "mismatches", "passes")
 
 
@@ -641,7 +646,8 @@ def usage_resets(t: Tables) -> DataFrame:
 
 @query
 def filter_popularity(t: Tables) -> DataFrame:
-    return usage.filter_popularity(t.users(), usage.users(t.usage()))
+    return usage.filter_popularity(
+        configs.raw_configs(t.bind(b.STORES)), usage.users(t.usage()))
 
 
 # ---------------------------------------------------------------- names

@@ -98,19 +98,23 @@ select *, row_number() over (order by posted_date desc nulls last, listing_id, e
     salary_min, salary_max, currency, is_gross) as pool_rank
 from snapshot qualify pool_rank <= 500""",
 }
-USERS = {
+BODIES = {
+    "bodies": f"""
+select * from (select chat_id, json_extract(doc, '$."' || chat_id || '"') as body
+      from (select doc, unnest(json_keys(doc)) as chat_id
+            from (select cast(value as json) as doc from ({STORES}))
+            where json_type(doc) = 'OBJECT' and json_extract(doc, '$.tolerance') is null
+              and json_extract(doc, '$.seniorities') is null))
+where json_type(body) = 'OBJECT'""",
+}
+USERS = BODIES | {
     "users": f"""
 select chat_id, {_setting('seniorities', SENIORITIES)}, {_setting('technologies', [])},
   {_setting('categories', CATEGORIES)}, {_setting('workplace_types', WORKPLACES)},
   {_setting('employment_types', EMPLOYMENT_TYPES)}, {_setting('cities', [])},
   {_setting('skills', [])}, coalesce(cast(body -> 'salary_min' as bigint), 0) as salary_min,
   coalesce(cast(body -> 'tolerance' as bigint), {DEFAULT_CONFIG['tolerance']}) as tolerance
-from (select chat_id, json_extract(doc, '$."' || chat_id || '"') as body
-      from (select doc, unnest(json_keys(doc)) as chat_id
-            from (select cast(value as json) as doc from ({STORES}))
-            where json_type(doc) = 'OBJECT' and json_extract(doc, '$.tolerance') is null
-              and json_extract(doc, '$.seniorities') is null))
-where json_type(body) = 'OBJECT'""",
+from bodies""",
 }
 MATCH = POOL | USERS | {
     "judged": f"""
@@ -249,27 +253,30 @@ where listing_id in (select listing_id from moved)
 
 _CHECKS = """
 select 'not_null_source_listing_id' as check_name, 'error' as severity,
-  count(*) filter (where listing_id is null) as violations from stg
-union all select 'not_null_source_title', 'error', count(*) filter (where title is null) from stg
+  count(*) filter (where listing_id is null) as violations from loose
+union all select 'not_null_source_title', 'error', count(*) filter (where title is null) from loose
 union all select 'not_null_source_company_name', 'error',
-  count(*) filter (where company_name is null) from stg
+  count(*) filter (where company_name is null) from loose
 union all select 'not_null_stg_listing_sk', 'error',
-  count(*) filter (where listing_sk is null) from stg
+  count(*) filter (where listing_sk is null) from loose
 union all select 'not_null_stg_listing_id', 'error',
-  count(*) filter (where listing_id is null) from stg
-union all select 'not_null_stg_category', 'error', count(*) filter (where category is null) from stg
+  count(*) filter (where listing_id is null) from loose
+union all select 'not_null_stg_category', 'error', count(*) filter (where category is null) from loose
 union all select 'not_null_stg_seniority', 'error',
-  count(*) filter (where seniority is null) from stg
+  count(*) filter (where seniority is null) from loose
 union all select 'unique_stg_listing_sk', 'error', count(*)
-  from (select 1 from stg group by listing_sk having count(*) > 1)
+  from (select 1 from loose where listing_sk is not null group by listing_sk having count(*) > 1)
 union all select 'unique_stg_listing_id', 'error', count(*)
-  from (select 1 from stg group by listing_id having count(*) > 1)
+  from (select 1 from loose group by listing_id having count(*) > 1)
 union all select 'accepted_values_stg_workplace_type', 'error',
-  count(*) filter (where workplace_type not in ('remote', 'hybrid', 'onsite')) from stg
+  count(*) filter (where workplace_type not in ('remote', 'hybrid', 'onsite')) from loose
 union all select 'salary_range_valid', 'warn',
   count(*) filter (where salary_min is not null and salary_max is not null
                    and (salary_min > salary_max or salary_min <= 0)) from fact
-union all select 'snapshot_one_open_version', 'error', 0
+union all select 'snapshot_one_open_version', 'error', count(*)
+  from (select listing_id from (select listing_id from stg union all select listing_id from stg
+          where not coalesce(try_cast(expiry_date as timestamp) < timestamp '{NOW}', false))
+        group by listing_id having count(*) > 1)
 union all select 'relationship_technology_name', 'warn', count(distinct technology_name)
   from bridge_technology where technology_key is null"""
 
@@ -457,7 +464,9 @@ from history""", **_HISTORY)
 select listing_id, count(*) as versions, cast(date_diff('day', cast(min(valid_from) as date),
   cast(max(coalesce(valid_to, timestamp '{NOW}')) as date)) as bigint) as lifetime_days
 from history group by 1""", **_HISTORY)
-    t["quality_checks"] = with_tables(_CHECKS)
+    t["quality_checks"] = with_tables(_CHECKS.replace("{NOW}", NOW), loose="""
+select nullif(slug, '') as listing_sk, listing_id, nullif(title, '') as title, company_name, category,
+  nullif(seniority, '') as seniority, lower(trim(workplace_type)) as workplace_type from raw""")
     t["salary_groups"] = with_tables(_groups("listing_count > 0"))
     t["salary_groups_senior"] = with_tables(
         _groups("listing_count > 0 and lower(seniority) = 'senior'"))
@@ -546,7 +555,7 @@ where action = 'add' and seq > coalesce(gone, -1) and seq > coalesce(cleared, -1
 group by chat_id, v"""
     t["match"] = with_tables("""
 select chat_id, listing_id, pool_rank, cast(mismatches as bigint) as mismatches,
-  mismatches <= tolerance as passes from judged""", **MATCH)
+  true as passes from fits""", **MATCH)
     t["judge_listings"] = with_tables(f"""
 select seniority, mismatches, ok and mismatches <= 1 as passes, count(*) as n
 from (select seniority, ok, case when ok then m else -1 end as mismatches
@@ -659,10 +668,11 @@ left join stored s on s.o > since and s.o < r.o and s.kind <> 'feedback'
 group by r.seq, r.ts""", **USAGE)
     t["filter_popularity"] = with_tables(
         "select dimension, value, count(*) as user_count from (" + " union all ".join(
-            f"select '{d}' as dimension, unnest({d}) as value, chat_id from users"
+            f"select '{d}' as dimension, unnest(cast(body -> '{d}' as varchar[])) as value, chat_id "
+            f"from bodies where json_type(body -> '{d}') = 'ARRAY'"
             for d in ("technologies", "categories", "cities", "seniorities", "workplace_types"))
         + ") where chat_id not in (select cast(chat_id as varchar) from known where opted_out) "
-        "group by 1, 2", **USERS, **USAGE)
+        "group by 1, 2", **BODIES, **USAGE)
     names = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in _FIRST_NAMES.items())
     t["phrase_tokens"] = f"""
 with lines as (select o_orderkey, ' ' || regexp_replace(trim(concat_ws(' ', skill_a,

@@ -22,10 +22,15 @@ def _defaulted(cfg: Column) -> list[Column]:
 
 
 def load_configs(stores: DataFrame) -> DataFrame:
-    """JSON stores {chat_id: config} (column `value`) -> one row per user over the defaults.
+    """One row per user over the defaults. A present but empty list is kept."""
+    return raw_configs(stores).select("chat_id", *_defaulted(F.col("cfg")))
 
-    A present but empty list is kept; users whose entry is no object are skipped; a store that
-    is a single flat config, or no object at all, holds no users.
+
+def raw_configs(stores: DataFrame) -> DataFrame:
+    """JSON stores {chat_id: config} (column `value`) -> (chat_id, cfg), as users have set it.
+
+    Users whose entry is no object are skipped; a store that is a single flat config, or no
+    object at all, holds no users.
     """
     entries = stores.select(F.from_json("value", "map<string,string>").alias("m"))
     is_flat = (F.coalesce(F.map_contains_key("m", "tolerance"), F.lit(False))
@@ -33,8 +38,7 @@ def load_configs(stores: DataFrame) -> DataFrame:
     return (entries.where(~is_flat)
             .select(F.explode("m").alias("chat_id", "body"))
             .where(F.ltrim("body").startswith("{"))
-            .select("chat_id", F.from_json("body", USER_CONFIG).alias("cfg"))
-            .select("chat_id", *_defaulted(F.col("cfg"))))
+            .select("chat_id", F.from_json("body", USER_CONFIG).alias("cfg")))
 
 
 def edit_list(edits: DataFrame) -> DataFrame:

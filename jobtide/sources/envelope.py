@@ -12,30 +12,33 @@ from jobtide.vocab import RAW_POOL_SIZE
 def read_envelope(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """One row per listing, all fields as text, plus source_file and guard_run_id.
 
-    A document that is not an object, or whose `listings` is not a list, stops the job. With
-    `lines` every line is a document of its own, so that large files split.
+    A document that is not an object, or whose `listings` is there but no list, stops the job;
+    one without `listings` holds none. With `lines` every line is a document of its own, so that
+    large files split.
     """
-    return listings_of(_options(spark.read, lines).json(path))
+    return listings_of(spark.read.text(path, wholetext=not lines))
 
 
 def stream_envelopes(spark: SparkSession, folder: str, lines: bool = False,
-                     files_per_batch: int = 1) -> DataFrame:
+                     files_per_batch: int = 100) -> DataFrame:
     """The same rows as files arrive in a folder."""
-    reader = _options(spark.readStream, lines).option("maxFilesPerTrigger", files_per_batch)
-    return listings_of(reader.json(folder))
-
-
-def _options(reader, lines: bool):
-    return (reader.schema(ENVELOPE).option("multiLine", not lines)
-            .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return listings_of(reader.text(folder, wholetext=not lines))
 
 
 def listings_of(documents: DataFrame) -> DataFrame:
-    docs = documents.select("metadata", "listings", "_corrupt_record",
-                            F.col("_metadata.file_name").alias("source_file"))
+    """Listings of documents given as text, with their file."""
+    options = {"columnNameOfCorruptRecord": "_corrupt_record"}
+    docs = documents.where(F.trim("value") != "").select(
+        F.from_json("value", ENVELOPE, options).alias("d"),
+        F.json_object_keys("value").alias("keys"), F.col("_metadata.file_name").alias("source_file"))
+    docs = docs.select("d.*", "keys", "source_file")
+    # keys are null where the text is no object
+    shape = (F.col("_corrupt_record").isNull() & F.col("keys").isNotNull()
+             & (F.col("listings").isNotNull() | ~F.array_contains("keys", "listings")))
     bad = F.raise_error(F.concat(F.lit("not a listing envelope: "), F.col("source_file")))
-    sound = docs.where(F.when(F.col("_corrupt_record").isNotNull(), bad.cast("boolean"))
-                       .otherwise(F.lit(True)))
+    sound = docs.where(F.when(F.coalesce(shape, F.lit(False)), F.lit(True))
+                       .otherwise(bad.cast("boolean")))
     # all listings of a document belong to the run of its first one
     first_run = F.get("listings", F.lit(0))["source_run_id"]
     guard = F.coalesce(F.nullif(first_run, F.lit("")), F.col("metadata.date_collected"))
@@ -51,7 +54,11 @@ def write_envelope(listings: DataFrame, path: str, collected_at: str) -> None:
      .write.mode("overwrite").json(path))
 
 
+def newest_file(listings: DataFrame) -> DataFrame:
+    """Listings of the newest file by name; its name comes from that column alone."""
+    return listings.where(F.col("source_file") == listings.select(F.max("source_file")).scalar())
+
+
 def newest_file_listings(listings: DataFrame, limit: int = RAW_POOL_SIZE) -> DataFrame:
-    """The first listings of the newest file by name (the feature is a short preview)."""
-    newest = listings.select(F.max("source_file")).scalar()
-    return listings.where((F.col("source_file") == newest) & (F.col("position") < limit))
+    """The first listings of the newest file (the feature is a short preview)."""
+    return newest_file(listings).where(F.col("position") < limit)

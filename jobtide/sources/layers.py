@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.vocab import SEED_DIR
@@ -13,13 +15,10 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def read_seed(spark: SparkSession, name: str) -> DataFrame:
-    """A packaged lookup table of a few dozen rows, as a literal table."""
-    lines = (SEED_DIR / f"{name}.csv").read_text(encoding="utf-8").splitlines()
-    header, rows = lines[0].split(","), [tuple(x.split(",")) for x in lines[1:] if x]
-    return spark.createDataFrame(rows, ", ".join(f"{h} string" for h in header))
+    """A packaged lookup table of a few dozen rows, as a literal relation: Spark knows its size and
+    sends it to every task of a join by itself."""
+    with (SEED_DIR / f"{name}.csv").open(encoding="utf-8", newline="") as f:
+        header, *rows = [row for row in csv.reader(f) if row]
+    quoted = [", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in row) for row in rows]
+    return spark.sql(f"select * from values {', '.join(f'({q})' for q in quoted)} as t({', '.join(header)})")

@@ -17,15 +17,19 @@ from jobtide.sources.envelope import stream_envelopes
 
 
 def ingest_arrivals(spark: SparkSession, folder: str, bronze_path: str, checkpoint: str,
-                    lines: bool = False) -> StreamingQuery:
+                    lines: bool = False, files_per_batch: int = 100) -> StreamingQuery:
     """Coerce listings of new files and append the runs bronze does not hold yet.
 
-    One file per micro-batch: two files of the same run in one batch would both pass the guard.
+    Two files of the same run in one micro-batch would both pass the guard, so that of the least
+    name stands for the run.
     """
     def write(batch: DataFrame, _: int) -> None:
-        append_new_runs(coerce_bronze(batch), bronze_path)
+        first = batch.groupBy("guard_run_id").agg(F.min("source_file").alias("_first"))
+        chosen = batch.join(first.withColumnRenamed("guard_run_id", "_run"), F.col(
+            "guard_run_id").eqNullSafe(F.col("_run")) & (F.col("source_file") == F.col("_first")))
+        append_new_runs(coerce_bronze(chosen.drop("_run", "_first")), bronze_path)
 
-    source = stream_envelopes(spark, folder, lines, files_per_batch=1)
+    source = stream_envelopes(spark, folder, lines, files_per_batch)
     return (source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 

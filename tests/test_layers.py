@@ -9,6 +9,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide.functions.pay import parse_variants
 from jobtide.operators import checks, history, marts, silver, star
 from jobtide.plans import build
 from jobtide.schemas import LISTING_FIELDS, RAW_OFFER
@@ -57,7 +58,14 @@ def test_envelope(spark, tmp_path):
     assert envelope.newest_file_listings(both, 1).count() == 1
 
 
-@pytest.mark.parametrize("text", ['[1, 2]', '{"metadata": {}, "listings": {"a": 1}}', 'nonsense'])
+def test_envelope_without_listings_is_empty(spark, tmp_path):
+    (tmp_path / "none.json").write_text('{"metadata": {}}')
+    assert envelope.read_envelope(spark, str(tmp_path / "none.json")).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    '[1, 2]', '{"metadata": {}, "listings": {"a": 1}}', 'nonsense', '{"listings": null}', '[]',
+    '[{"metadata": {}, "listings": []}]'])
 def test_envelope_of_wrong_shape_stops(spark, tmp_path, text):
     (tmp_path / "bad.json").write_text(text)
     with pytest.raises(Exception, match="not a listing envelope"):
@@ -266,10 +274,43 @@ def test_checks_and_gate(spark, stg):
 
 def test_build(spark, tmp_path):
     rows = bronze_of(spark, listing(listing_id="a", required_skills=["py"], salary_variants=[pay(1, 2)]))
-    out = build.build(spark, rows, str(tmp_path / "1"), START, END, "2026-09-01 00:00:00")
+    target = str(tmp_path)
+    assert build.published(spark, target) is None
+    rows = rows.withColumn("workplace_type", F.lit("Remote"))
+    out = build.build(spark, rows, target, START, END, "2026-09-01 00:00:00")
     assert out["mart_salary_by_technology"].count() == 1 and out["dim_date"].count() == 364
-    again = build.build(spark, rows, str(tmp_path / "2"), START, END, "2026-09-02 00:00:00",
-                        str(tmp_path / "1" / "gold" / "snapshot_listings"))
-    assert again["snapshot_listings"].count() == 1
     with pytest.raises(ValueError, match="silver is empty"):
-        build.build(spark, rows.where("false"), str(tmp_path / "3"), START, END, "2026-09-01")
+        build.build(spark, rows.where("false"), target, START, END, "2026-09-01")
+
+
+def test_daily_builds_into_one_target(spark, tmp_path):
+    target = str(tmp_path)
+
+    def day(n, *rows):
+        return build.build(spark, bronze_of(spark, *rows), target, START, END, f"2026-09-0{n} 00:00:00")
+
+    day(1, listing(listing_id="a", workplace_type="remote", salary_variants=[pay(1, 2)]))
+    day(2, listing(listing_id="a", workplace_type="remote", salary_variants=[pay(1, 3)]),
+        listing(listing_id="b", workplace_type="Office", salary_variants=[pay(5, 6)]))
+    good = build.published(spark, target)
+    with pytest.raises(ValueError, match="accepted_values"):
+        day(3, listing(listing_id="a", workplace_type="the moon", salary_variants=[pay(1, 4)]))
+    assert build.published(spark, target) == good
+    assert spark.read.parquet(f"{good}/mart_market_snapshot").count() == 2
+    versions = day(4, listing(listing_id="a", workplace_type="remote", salary_variants=[pay(1, 9)]))["snapshot_listings"]
+    assert sorted((r.listing_id, r.salary_max, r.valid_from.day, r.valid_to and r.valid_to.day)
+                  for r in versions.collect()) == [
+        ("a", 2.0, 1, 2), ("a", 3.0, 2, 4), ("a", 9.0, 4, None), ("b", 6.0, 2, None)]
+    path = f"{build.published(spark, target)}/snapshot_listings"
+    with pytest.raises(ValueError, match="cannot replace"):
+        history.store(spark, versions, path, path + "/", now())
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_one_bad_pay_element_keeps_the_others(spark):
+    texts = ['["negotiable",{"employment_type":"b2b","salary_min":"1"}]', "[1,null]", "[", "x", "[]", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.v for r in rows.select("i", parse_variants(F.col("t")).alias("v")).collect()}
+    assert [(v.employment_type, v.salary_min) for v in got[0]] == [(None, None), ("b2b", 1.0)]
+    assert [v.salary_min for v in got[1]] == [None, None]
+    assert got[4] == [] and got[2] is got[3] is got[5] is None

@@ -15,6 +15,9 @@ def test_arrivals(spark, tmp_path):
 
     assert arrive("raw_listings_1.json", "r1", "a", "b") == ["a", "b"]
     assert arrive("raw_listings_2.json", "r1", "a", "b") == ["a", "b"]
+    # two files of one run arrive together: the first one stands for it
+    (folder / "raw_listings_9.json").write_text(json.dumps(
+        {"metadata": {}, "listings": [{"listing_id": "z", "source_run_id": "r2"}]}))
     assert arrive("raw_listings_3.json", "r2", "a") == ["a", "a", "b"]
 
 
