@@ -193,20 +193,34 @@ def market_trends(listings: DataFrame) -> DataFrame:
 
 
 def market_snapshot(listings: DataFrame) -> DataFrame:
-    """Listing x distinct raw pay tuple, with technologies and cities as arrays.
+    """Listing x distinct raw pay tuple, with technologies and cities as arrays."""
+    return with_lists(snapshot_rows(listings))
 
-    Grouping by a listing's own columns is a distinct inside its row: no shuffle. An empty
-    list comes out as null.
+
+def with_lists(rows: DataFrame, *more: str) -> DataFrame:
+    """Rows of the snapshot with their lists, sorted and distinct; an empty one comes out as null."""
+    def collected(c: Column) -> Column:
+        names = F.array_sort(F.array_distinct(F.filter(c, lambda s: s.isNotNull())))
+        return F.when(F.size(names) > 0, names)
+
+    plain = [c for c in rows.columns if c not in (*_LISTS, *more)]
+    return rows.select(*plain, collected(_skills()).alias("technologies"),
+                       collected(F.col("cities")).alias("cities"), *more)
+
+
+_LISTS = ("required_skills", "nice_to_have_skills", "cities")
+
+
+def snapshot_rows(listings: DataFrame) -> DataFrame:
+    """Listing x distinct raw pay tuple, with the lists as they are.
+
+    Grouping by a listing's own columns is a distinct inside its row: no shuffle.
     """
     tuples = F.array_distinct(F.transform("variants", lambda v: F.struct(
         v["salary_min"].alias("salary_min"), v["salary_max"].alias("salary_max"),
         v["currency"].alias("currency"), v["is_gross"].alias("is_gross"),
         member(v["employment_type"]).alias("employment_type"))))
 
-    def collected(c: Column) -> Column:
-        names = F.array_sort(F.array_distinct(F.filter(c, lambda s: s.isNotNull())))
-        return F.when(F.size(names) > 0, names)
-
     return (
         listings.select("*", F.explode_outer(tuples).alias("v")).where(F.col("v").isNotNull())
         .select("*", "v.*")
@@ -216,8 +230,7 @@ def market_snapshot(listings: DataFrame) -> DataFrame:
             member(F.col("workplace_type")).alias("workplace_type"),
             member(F.col("category")).alias("category"),
             member(F.col("company_name")).alias("company_name"),
-            F.col("posted_on").alias("posted_date"),
-            collected(_skills()).alias("technologies"), collected(F.col("cities")).alias("cities"),
+            F.col("posted_on").alias("posted_date"), *_LISTS,
         )
     )
 

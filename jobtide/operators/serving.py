@@ -102,6 +102,12 @@ def tech_trend(demand: DataFrame, n: int = 12) -> DataFrame:
                          "listing_count", "wow_change")
 
 
+def demand_series(trend: DataFrame) -> DataFrame:
+    """The demand chart of each technology: its line of weekly counts, gaps drawn as 0."""
+    return trend.select("technology", "position", F.col("week_start").alias("x"),
+                        F.coalesce("listing_count", F.lit(0)).alias("demand"))
+
+
 def hot_technologies(demand: DataFrame, n: int = 10) -> DataFrame:
     latest = demand.where(F.col("week_start") == demand.select(F.max("week_start")).scalar())
     return (latest.select("technology_name", "listing_count", "wow_change")

@@ -100,7 +100,22 @@ class Tables:
         return marts.salary_by_technology(self.priced())
 
     def pool(self) -> DataFrame:
-        return settle(matching.newest_pool(self.snapshot()))
+        # ranked before the lists of a row are built, which only the newest rows need
+        rows = matching.newest_pool(marts.snapshot_rows(self.priced()))
+        return settle(marts.with_lists(rows, "pool_rank"))
+
+    def pool_actions(self, pool: DataFrame) -> DataFrame:
+        """Tracker actions: each event is one on the listing at a place of the pool."""
+        status = F.expr("case event_type when 'view' then 'interested' when 'click' then 'applied' "
+                        "when 'purchase' then 'rejected' when 'signup' then 'interested' else 'removed' end")
+        none = F.lit(None).cast("string")
+        events = self.table("events").select(
+            F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"),
+            F.col("user_id").cast("string").alias("chat_id"), status.alias("status"),
+            (F.col("event_id") * 3 % 500 + 1).alias("pool_rank"),
+            *[none.alias(c) for c in tracker.META])
+        # the pool is limited to a fixed number of rows
+        return events.join(F.broadcast(pool.select("listing_id", "pool_rank")), "pool_rank")
 
     def users(self) -> DataFrame:
         return configs.load_configs(self.bind(b.STORES))
@@ -428,6 +443,19 @@ def tech_trend(t: Tables) -> DataFrame:
     return serving.tech_trend(t.demand())
 
 
+@query
+def demand_chart(t: Tables) -> DataFrame:
+    return serving.demand_series(serving.tech_trend(t.demand()))
+
+
+@query
+def stored_layer(t: Tables) -> DataFrame:
+    """The silver layer written and read back."""
+    path = f"{shared_dir(t.spark)}/layers-{uuid.uuid4().hex}"
+    return layers.write_layer(t.silver(), path).select(
+        "listing_id", "title", "company_name", "category", "seniority", "workplace_type")
+
+
 @query
 def company_intel(t: Tables) -> DataFrame:
     return serving.company_intel(t.snapshot(), COMPANY)
@@ -538,7 +566,8 @@ def alerts_to_record(t: Tables) -> DataFrame:
 @query
 def latest(t: Tables) -> DataFrame:
     pool = t.pool()
-    out = matching.latest(pool, t.users(), t.by_pool_rank(pool, "click", 3), t.caps())
+    tracked = tracker.tracked_ids(tracker.tracker_state(t.pool_actions(pool)))
+    out = matching.latest(pool, t.users(), tracked, t.caps())
     return out.select("chat_id", "slot", "listing_id", "pool_rank", "match_pct", "matched_skills")
 
 

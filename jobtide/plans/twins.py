@@ -133,6 +133,18 @@ def _points(kind: str, factor: int) -> str:
             f"where event_type = '{kind}'")
 
 
+# listings of the pool that a user tracks, by replaying the actions on them
+_TRACKED = """
+select distinct chat_id, listing_id from (
+  select *, max(case when status = 'removed' then o end) over (partition by chat_id, listing_id) as gone
+  from (select cast(user_id as varchar) as chat_id, listing_id,
+          case event_type when 'view' then 'interested' when 'click' then 'applied'
+            when 'purchase' then 'rejected' when 'signup' then 'interested' else 'removed' end as status,
+          row_number() over (order by cast(ts as timestamp), event_id) as o
+        from events join pool on pool_rank = event_id * 3 % 500 + 1))
+where status <> 'removed' and (gone is null or o > gone)"""
+
+
 _RANKED = f"""
 select r.*, case when len(mine) > 0 then match_pct end as match_pct,
   case when len(mine) > 0 then matched end as matched_skills
@@ -496,6 +508,15 @@ from (select *, lower(technology_name) as technology, row_number() over (
         partition by lower(technology_name) order by week_start desc, technology_name) as age
       from mart_demand where week_start > (select min(week_start) from mart_demand))
 where age <= 12""")
+    t["demand_chart"] = with_tables("""
+select technology, count(*) over (partition by technology) - age + 1 as position,
+  cast(week_start as varchar) as x, listing_count as demand
+from (select *, lower(technology_name) as technology, row_number() over (
+        partition by lower(technology_name) order by week_start desc, technology_name) as age
+      from mart_demand where week_start > (select min(week_start) from mart_demand))
+where age <= 12""")
+    t["stored_layer"] = with_tables("""
+select listing_id, title, company_name, category, seniority, workplace_type from silver""")
     t["company_intel"] = with_tables(f"""
 select '{COMPANY}' as company, count(*) as listing_count,
   {even('avg(case when salary_min <> 0 then salary_min end)')} as avg_min,
@@ -582,8 +603,7 @@ select chat_id, row_number() over (partition by chat_id
   listing_id, pool_rank, match_pct, {joined('matched_skills')} as matched_skills
 from told where not exists (select 1 from tracked x where x.listing_id = told.listing_id
                             and x.chat_id = told.chat_id)""",
-                              **(_DIGEST | {"fresh": "select * from fits"}),
-                              tracked=_points("click", 3))
+                              **(_DIGEST | {"fresh": "select * from fits"}), tracked=_TRACKED)
     t["export_rows"] = with_tables(f"""
 select listing_id, title, company_name, seniority, employment_type, workplace_type, category,
   salary_min, salary_max, currency, {joined('cities', ', ')} as cities,

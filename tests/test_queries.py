@@ -69,3 +69,15 @@ def test_marts_shuffle_listings_once_and_then_only_partial_counts(spark):
 def test_digest_pairs_are_not_shuffled(spark):
     plan = plan_of(QUERIES["daily_digest"](spark, SF))
     assert "Exchange" not in plan[:plan.index("BroadcastHashJoin [_key")]
+
+
+def test_bridges_shuffle_listings_once_and_no_names(spark):
+    for name in ("bridge_technology", "bridge_city"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert plan.count("Exchange hashpartitioning(listing_id") == 1
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(technology_name" not in plan
+
+
+def test_resets_are_looked_up_without_a_window_over_all_events(spark):
+    plan = plan_of(QUERIES["usage_resets"](spark, SF))
+    assert "_all" not in plan and "SinglePartition" not in plan.split("Subquery")[0]
