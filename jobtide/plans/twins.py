@@ -170,30 +170,38 @@ qualify row_number() over (partition by charge_id order by o) = 1""",
     "refunded": """select p.charge_id, any_value(p.chat_id) as chat_id, min(r.o) as o, min(r.ts) as ts
 from lg r join paid p on p.charge_id = r.charge_id and r.o > p.o
 where r.kind = 'refund' group by 1""",
-    "cuts": """select chat_id, o from refunded
-union all select chat_id, o from lg where kind = 'revoke'""",
-    "line": """select chat_id, o, ts, 'grant' as what from paid
-union all select chat_id, o, ts, 'trial' from lg where kind = 'trial'
-union all select chat_id, o, null, 'cut' from cuts""",
-    "trial": """select chat_id, min(o) as o, min(ts) as ts
-from (select *, lag(what) over (partition by chat_id order by o) as before from line)
-where what = 'trial' and coalesce(before, 'cut') = 'cut' group by 1""",
-    "grants": """select g.* from (
-  select chat_id, o, ts, tier, 30 * 86400000000 as span from paid
-  union all select chat_id, o, ts, 'plus', 86400000000 from trial) g
-left join (select chat_id, max(o) as cut from cuts group by 1) c using (chat_id)
-where cut is null or g.o > cut""",
+    "steps": """select chat_id, row_number() over (partition by chat_id order by o) as n, ts,
+  epoch_us(ts) as us, kind, charge_id, tier
+from lg where kind in ('charge', 'trial', 'refund', 'revoke', 'reminder')""",
+    # one event of each user at a time; a charge belongs to the user that its id names
+    "walked": """select * from (
+with recursive walk(chat_id, n, expiry, tier, reminded, updated, paid, back, trial) as (
+  select distinct chat_id, 0::bigint, null::bigint, null::varchar, null::timestamp, null::timestamp,
+    []::varchar[], []::varchar[], null::timestamp from steps
+  union all
+  select chat_id, n,
+    case when cut then null when granted then greatest(coalesce(expiry, us), us) + 30 * 86400000000
+      when tried then us + 86400000000 else expiry end,
+    case when cut then null when granted then given when tried then 'plus' else tier end,
+    case when cut then null when kind = 'reminder' and expiry is not null then ts else reminded end,
+    case when cut then null when granted or tried then ts else updated end,
+    case when granted then list_append(paid, charge_id) else paid end,
+    case when kind = 'refund' and cut then list_append(back, charge_id) else back end,
+    case when tried then ts else trial end
+  from (select w.* exclude (n), s.n, s.ts, s.us, s.kind, s.charge_id, s.tier as given,
+          s.kind = 'charge' and s.tier in ('plus', 'pro') and not list_contains(w.paid, s.charge_id)
+            as granted,
+          s.kind = 'trial' and w.trial is null and w.expiry is null as tried,
+          s.kind = 'revoke' or (s.kind = 'refund' and list_contains(w.paid, s.charge_id)
+            and not list_contains(w.back, s.charge_id)) as cut
+        from walk w join steps s on s.chat_id = w.chat_id and s.n = w.n + 1))
+select * from walk qualify row_number() over (partition by chat_id order by n desc) = 1)""",
+    "trial": "select chat_id, trial as ts from walked where trial is not null",
     "state": f"""
-select chat_id, tier, make_timestamp(expiry) as expires_at, updated_at,
-  (select max(ts) from lg where kind = 'reminder' and lg.chat_id = x.chat_id and lg.o > x.opened)
-    as last_reminded_at,
+select chat_id, tier, make_timestamp(expiry) as expires_at, updated as updated_at, reminded as last_reminded_at,
   case when epoch_us(timestamp '{LEDGER_NOW}') < expiry then 'active'
        when epoch_us(timestamp '{LEDGER_NOW}') < expiry + 3 * 86400000000 then 'grace' end as status
-from (select chat_id, max_by(tier, o) as tier, min(o) as opened, max(ts) as updated_at,
-        cast(sum(span) + max(epoch_us(ts) - before) as bigint) as expiry
-      from (select *, coalesce(sum(span) over (partition by chat_id order by o
-              rows between unbounded preceding and 1 preceding), 0) as before from grants)
-      group by chat_id) x""",
+from walked where expiry is not null""",
     "caps": """select cast(chat_id as varchar) as chat_id,
   case when status is null then 20 when tier = 'pro' then 100 else 50 end as cap from state""",
 }
