@@ -20,8 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.chunks import CHUNK_BYTES, answers_of, chunks, packed, unpacked
-from jobtide.llm.common import arrow_column, byte_view, steps, word_hashes
+from jobtide.llm.chunks import BUCKET_BYTES, answers_of, chunks, packed, unpacked
+from jobtide.llm.common import arrow_column, byte_view, release, steps, word_hashes
 
 @cache
 def _tokenizer(text: str):
@@ -84,6 +84,7 @@ def _answers(sent, kind: str):
             for bucket, packed_words in zip(batch.column("bucket").to_pylist(), batch.column("words"), strict=True):
                 if bucket != now:
                     now, known = bucket, {}
+                    release()
                 words = open_.decompress(packed_words.as_py()).split(b"\n")
                 new = [w for w in words if w not in known]
                 for w, code in zip(new, coder.encode_batch_fast(
@@ -126,6 +127,7 @@ def _joined(n: int, kind: str):
                 pa.binary(), len(counts),
                 [None, pa.py_buffer((ends * 4).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
             out.append(pa.table({"id": table["id"], "ids": coded}))
+        release()
         return pa.concat_tables(out)
     return run
 
@@ -143,7 +145,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     key_kind = rows.schema["id"].dataType.simpleString()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(max(16, total // CHUNK_BYTES + 1))
+    n = int(max(16, total // BUCKET_BYTES + 1))
     kind = "<u2" if _tokenizer(sent.value).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
     whole = rows.mapInArrow(packed, "chunk binary, rows binary")
     asked = rows.mapInArrow(_asked(n), "chunk binary, bucket bigint, words binary")

@@ -13,9 +13,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from jobtide.llm.common import byte_view, steps
+from jobtide.llm.common import byte_view, release, steps
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20  # of text whose distinct keys one bucket answers
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table]]:
@@ -31,8 +32,10 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table]
             if size >= CHUNK_BYTES:
                 yield _named(held)
                 held, size = [], 0
+                release()
     if held:
         yield _named(held)
+        release()
 
 
 def _named(held: list[pa.RecordBatch]) -> tuple[bytes, pa.Table]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -99,6 +100,32 @@ def arrow_column(
     return df.withColumn(name, udf(F.col(source)))
 
 
+def release() -> None:
+    """Give freed memory back to the system, where the allocators can. Python workers live on
+    between stages, and several of them share an executor with its JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+FILTER_BITS = 1 << 25
+
+
+def likely(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """Rows whose key may be among the ids: those whose hash has its bit set in a filter of
+    FILTER_BITS bits (4 MB), which goes to every task. It keeps most of the other rows from being
+    shuffled for the join with the ids; however many ids there are, none of theirs is lost."""
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    marks = ids.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substr("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("_part", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "_part")
+    hit = F.expr("shiftright(_byte, cast(_bit % 8 as int))").bitwiseAND(F.lit(1)) == 1
+    return found.withColumns({"_byte": byte, "_bit": bit}).where(hit).select(*rows.columns)
+
+
 def steps(lengths: np.ndarray, step: int = STEP_BYTES) -> list[tuple[int, int]]:
     """Cut rows into runs of about `step` bytes; a longer row is a run of its own."""
     cuts, start, total = [], 0, 0
