@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.chunks import CHUNK_BYTES, answers_of, chunks, packed, unpacked
-from jobtide.llm.common import MIX, byte_view, lower_ascii, mix64, steps, stored, word_hashes
+from jobtide.llm.chunks import BUCKET_BYTES, answers_of, chunks, packed, unpacked
+from jobtide.llm.common import MIX, byte_view, lower_ascii, mix64, release, steps, stored, word_hashes
 
 START, END = np.uint64(0x51A7), np.uint64(0xE2D)
 SUCCESSOR_BITS = 40
@@ -267,22 +267,30 @@ def _answer(hot: np.ndarray, hot_totals: np.ndarray):
                           _unfive(s), np.frombuffer(k, "<u4")))
         # chunks of one name ask alike; each is counted as often as it comes
         names, place = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        starts = np.cumsum([0, *[len(a[0]) for a in asked]])
-        owner = np.concatenate([place[starts[i]:][a[1]] for i, a in enumerate(asked)])
-        key_of = (owner.astype(np.uint64) << np.uint64(SUCCESSOR_BITS)) | np.concatenate([a[2] for a in asked])
-        learned = np.concatenate([a[3] for a in asked]).astype(np.int64)
-        seen = learned > 0
-        pairs, at = np.unique(key_of[seen], return_inverse=True)
-        counts = np.bincount(at, learned[seen], len(pairs))
+        ends = np.cumsum([0, *[len(a[0]) for a in asked]])
+        cuts = np.cumsum([0, *[len(a[1]) for a in asked]])
+        key_of = np.concatenate([place[ends[i]:ends[i + 1]].astype(np.uint64)[a[1]] for i, a in enumerate(asked)])
+        key_of <<= np.uint64(SUCCESSOR_BITS)
+        key_of |= np.concatenate([a[2] for a in asked])
+        learned = np.concatenate([a[3] for a in asked])
+        del asked
+        # each distinct pair is learned and looked up once, in order
+        pairs, at = np.unique(key_of, return_inverse=True)
+        counts = np.bincount(at, learned, len(pairs)).astype(np.int64)
         owner = (pairs >> np.uint64(SUCCESSOR_BITS)).astype(np.int64)
-        totals = np.bincount(owner, counts, len(names))
+        successors = pairs & np.uint64((1 << SUCCESSOR_BITS) - 1)
+        totals = np.bincount(owner, counts, len(names)).astype(np.int64)
         known = np.isin(names, hot)
         totals[known] = hot_totals[np.searchsorted(hot, names[known])]
-        trie = Trie(names, totals, owner, pairs & np.uint64((1 << SUCCESSOR_BITS) - 1), counts)
-        out = []
-        for contexts, mine, successors, _ in asked:
-            where, total = trie.find_contexts(contexts)
-            out.append((total.astype("<i8").tobytes(), trie.find(where[mine], successors).tobytes()))
+        seen = counts > 0
+        trie = Trie(names, totals, owner[seen], successors[seen], counts[seen])
+        where, total = trie.find_contexts(names)
+        codes = trie.find(where[owner], successors)[at]
+        total = total.astype("<i8")[place]
+        out = [(total[ends[i]:ends[i + 1]].tobytes(), codes[cuts[i]:cuts[i + 1]].tobytes())
+               for i in range(table.num_rows)]
+        del key_of, pairs, at, trie, codes, where
+        release()
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"],
                          "totals": pa.array([x[0] for x in out], pa.binary()),
                          "codes": pa.array([x[1] for x in out], pa.binary())})
@@ -313,6 +321,7 @@ def _score(n: int, hot: np.ndarray, n_tokens: int, n_known: int, n_ends: int):
                 "n_known": pa.array(sums[2].astype(np.int64), pa.int64()),
                 "train_tokens": pa.array(np.full(len(first), n_tokens), pa.int64()),
                 "base_score": pa.array(sums[0], pa.float64()), "score": pa.array(sums[1], pa.float64())}))
+        release()
         return pa.concat_tables(out)
     return run
 
@@ -347,7 +356,7 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     hot, hot_totals = hot[np.argsort(hot)], hot_totals[np.argsort(hot)]
     n_ends = next((x for name, x in marked if name == int(START)), 0)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(max(16, size // CHUNK_BYTES + 1))
+    n = int(max(16, size // BUCKET_BYTES + 1))
     whole = rows.mapInArrow(packed, "chunk binary, rows binary")
     answers = (rows.mapInArrow(_ask(n, hot), ASKED).groupBy("bucket")
                .applyInArrow(_answer(hot, hot_totals), ANSWERED))
