@@ -10,7 +10,10 @@ on their full shingle sets.
 Texts with the same set are one node. In each bucket of a band every node is first compared with
 the least one only (a star). What then still spans several components is compared in blocks, so
 that links between nodes that are both unlike the least one are found as well; pairs inside one
-component need no test, as they cannot change it.
+component need no test, as they cannot change it. Groups of loose variants have very many pairs
+just below the bound, so a longer sketch of fewer bits a register decides here which pairs need
+their full sets, and of these the likeliest of each two components come first: the rest goes
+unread once the two have become one.
 """
 
 from __future__ import annotations
@@ -22,11 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from jobtide.llm.common import (
-    MIX, arrow_column, byte_view, lower_ascii, mix64, steps, stored, word_hashes,
+    MIX, arrow_column, byte_view, likely, lower_ascii, mix64, steps, stored, word_hashes,
 )
-from jobtide.llm.components import components
+from jobtide.llm.components import components, relabelled, roots
 
 WORDS = 5
 SHARE = 75  # least similarity in hundredths
@@ -34,13 +38,18 @@ BUCKETS, ROWS = 128, 4
 MANTISSA = 10
 # five standard errors of the estimate below the bound
 LEAST_ESTIMATE = SHARE / 100 - 5 * (SHARE / 100 * (1 - SHARE / 100) / BUCKETS) ** 0.5
+# the longer sketch: registers of 4 bits, four standard errors below the bound
+LONG, LONG_BITS = 1024, 4
+LONG_CHANCE = 1 / (1 << LONG_BITS)
+LEAST_LONG = SHARE / 100 - 4 * (SHARE / 100 * (1 - SHARE / 100) / LONG) ** 0.5 / (1 - LONG_CHANCE)
+FIRST, MORE = 8, 32  # pairs of two components in the first round, and times as many in the next
 STEP = 512 << 10
 BLOCK = 512
 HUB_PART = 64
 
 _RANDOM = np.random.default_rng(11)
-_FACTORS = _RANDOM.integers(0, 1 << 63, BUCKETS, np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _RANDOM.integers(0, 1 << 63, BUCKETS, np.uint64)
+_FACTORS = _RANDOM.integers(0, 1 << 63, LONG, np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RANDOM.integers(0, 1 << 63, LONG, np.uint64)
 
 
 def shingle_sets(flat: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -70,17 +79,29 @@ def shingle_sets(flat: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of BUCKETS registers for each set that is not empty."""
+def _minima(sets: list[np.ndarray], n: int) -> np.ndarray:
+    """Least hash of each set (none is empty) under each of n functions."""
     sizes = np.array([len(s) for s in sets])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     every = np.concatenate(sets)
-    least = np.empty((len(sets), BUCKETS), np.uint64)
+    least = np.empty((len(sets), n), np.uint64)
     room = np.empty_like(every)
-    for k in range(BUCKETS):
+    for k in range(n):
         np.multiply(every, _FACTORS[k], out=room)
         np.add(room, _SHIFTS[k], out=room)
         least[:, k] = np.minimum.reduceat(room, starts)
+    return least
+
+
+def long_sketch(sets: list[np.ndarray]) -> np.ndarray:
+    """LONG registers of LONG_BITS bits of the least hash, two in a byte."""
+    bits = (mix64(_minima(sets, LONG)) & np.uint64((1 << LONG_BITS) - 1)).astype(np.uint8)
+    return bits[:, ::2] << np.uint8(LONG_BITS) | bits[:, 1::2]
+
+
+def registers(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of BUCKETS registers for each set that is not empty."""
+    least = _minima(sets, BUCKETS)
     zeros = np.zeros(least.shape, np.uint16)
     for s in (32, 16, 8, 4, 2, 1):
         small = least < np.uint64(1 << (64 - s))
@@ -106,6 +127,15 @@ def _sketch(texts: pa.Array) -> pa.Array:
         ["n", "set", "registers"])
 
 
+def _long(texts: pa.Array) -> pa.Array:
+    flat, offsets = byte_view(texts)
+    out, none = [], np.zeros(1, np.uint64)
+    for a, b in steps(np.diff(offsets), STEP):
+        sets = [s if len(s) else none for s in shingle_sets(flat, offsets[a:b + 1])]
+        out += [row.tobytes() for row in long_sketch(sets)]
+    return pa.array(out, pa.binary())
+
+
 def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
     """id, set size, digest of the set and registers of each row."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
@@ -175,12 +205,13 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a block (or of two blocks of one bucket) in different components whose estimate
     reaches the bound."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for group in _groups(batches, ["band", "lo", "hi"]):
         node, comp, side, n = (group[c].to_numpy() for c in ("node", "comp", "block", "n"))
         if len(node) < 2 or (comp == comp[0]).all():
             continue
-        rows = _matrix(group["registers"])
+        packed = np.frombuffer(b"".join(group["long"].to_pylist()), np.uint8).reshape(len(node), -1)
+        rows = np.concatenate([packed >> np.uint8(LONG_BITS), packed & np.uint8((1 << LONG_BITS) - 1)], 1)
         lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
         one, two = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
         for i in one.tolist():
@@ -188,19 +219,20 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = near[comp[near] != comp[i]]
             near = near[(100 * n[near] >= SHARE * n[i]) & (100 * n[i] >= SHARE * n[near])]
             if len(near):
-                agree = (rows[near] == rows[i]).mean(1)
-                near = near[corrected(agree, n[near], np.full(len(near), n[i])) >= LEAST_ESTIMATE]
-                found.append((np.full(len(near), node[i]), node[near]))
+                share = ((rows[near] == rows[i]).mean(1) - LONG_CHANCE) / (1 - LONG_CHANCE)
+                near, share = near[share >= LEAST_LONG], share[share >= LEAST_LONG]
+                found.append((np.full(len(near), node[i]), node[near], share))
         if len(found) > 4096:
             yield _pairs(found)
             found = []
     yield _pairs(found)
 
 
-def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b = (np.concatenate([f[k] for f in found]).astype(np.int64) if found else np.zeros(0, np.int64)
-            for k in (0, 1))
-    return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+def _pairs(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b, share = (np.concatenate([np.zeros(0, kind), *(f[k] for f in found)])
+                   for k, kind in enumerate((np.int64, np.int64, float)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(share)], ["a", "b", "estimate"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,10 +283,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.min("id").alias("node"), F.any_value("n").alias("n"),
         F.any_value("registers").alias("registers")), "nodes")
     sketch = nodes.select("node", "n", "registers")
-    bands = stored(arrow_column(sketch, "registers", "bands", "array<bigint>", lambda: _bands)
-                   .select("node", F.explode("bands").alias("band")), "bands")
+    bands = arrow_column(sketch, "registers", "bands", "array<bigint>", lambda: _bands).select(
+        "node", F.explode("bands").alias("band"))
     hubs = bands.groupBy("band").agg(F.min("node").alias("b"), F.count("*").alias("size")).where("size > 1")
-    star = bands.join(hubs, "band").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    # from here on only buckets of several nodes
+    bands = stored(bands.join(hubs, "band").select("band", "node", "b"), "bands")
+    star = bands.where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     estimate = F.arrow_udf(_estimate, "double").asNondeterministic()
     one, two = (sketch.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"),
                               F.col("registers").alias(f"r_{k}")) for k in "ab")
@@ -265,33 +299,56 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     best = stored(near, "best")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
+    def texts_with(ids: DataFrame) -> DataFrame:
+        return likely(rows, ids).join(ids, "id", "left_semi").groupBy("id").agg(
+            F.any_value("text").alias("text"))
+
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        return rows.join(ids, "id", "left_semi").groupBy("id").agg(F.any_value("text").alias("text"))
+        return texts_with(ids)
 
-    first = stored(confirmed(best, texts_of(best)), "links")
-    so_far = components(first)
+    # each node has at most one link, to a lesser node
+    links = stored(confirmed(best, texts_of(best)), "links")
+    linked = roots(links.select(F.col("a").alias("node"), F.col("b").alias("up")))
+    placed = stored(bands.select("node").distinct().join(linked, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component")), "placed")
 
     # buckets that hold several components
-    placed = bands.join(so_far, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = placed.groupBy("band").agg(
+    member = bands.join(placed, "node").select("band", "node", F.col("component").alias("comp"))
+    mixed = member.groupBy("band").agg(
         F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("size")).where(
             "least < most").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    member = (placed.join(mixed, "band")
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("band", "node", "comp", "block", F.least("block", "other").alias("lo"),
-                      F.greatest("block", "other").alias("hi"))
-              .join(sketch, "node"))
+    member = stored(member.join(mixed, "band"), "members")
+    ids = member.select(F.col("node").alias("id")).distinct()
+    long = stored(arrow_column(texts_with(ids), "text", "long", "binary", lambda: _long).select(
+        F.col("id").alias("node"), "long").join(sketch.select("node", "n"), "node"), "long")
     order = ["band", "lo", "hi"]
-    late = stored(member.repartition(*order).sortWithinPartitions(*order)
-                  .select("band", "lo", "hi", "node", "comp", "block", "n", "registers")
-                  .mapInArrow(_block_pairs, "a bigint, b bigint").distinct(), "late")
-    second = stored(confirmed(late, texts_of(late)), "links")
-    final = components(first.union(second))
-
-    of_set = nodes.select("set", "node").join(final, "node", "left").select(
+    dealt = (member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", "node", "comp", "block", F.least("block", "other").alias("lo"),
+                     F.greatest("block", "other").alias("hi"))
+             .join(long, "node").repartition(*order).sortWithinPartitions(*order))
+    late = stored(dealt.select(*order, "node", "comp", "block", "n", "long").mapInArrow(
+        _block_pairs, "a bigint, b bigint, estimate double").distinct(), "late")
+
+    late = relabelled(late.withColumns({"x": F.col("a"), "y": F.col("b")}), placed, ["x", "y"])
+    each = FIRST
+    while True:
+        likeliest = W.partitionBy(F.least("x", "y"), F.greatest("x", "y")).orderBy(
+            F.desc("estimate"), "a", "b")
+        late = stored(late.where("x <> y").withColumn("place", F.row_number().over(likeliest)), "late")
+        now = late.where(F.col("place") <= each)
+        if now.isEmpty():
+            break
+        new = stored(confirmed(now.select("a", "b"), texts_of(now)).join(now, ["a", "b"]).select(
+            F.col("x").alias("a"), F.col("y").alias("b")), "links")
+        late, each = late.where(F.col("place") > each).drop("place"), each * MORE
+        if not new.isEmpty():
+            merged = stored(components(new), "merged")
+            placed = stored(relabelled(placed, merged, ["component"]), "placed")
+            late = relabelled(late, merged, ["x", "y"])
+
+    of_set = nodes.select("set", "node").join(placed, "node", "left").select(
         "set", F.coalesce("component", "node").alias("component"))
     return (sketches.select("id", "n", "set").join(of_set, "set", "left")
             .select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
