@@ -65,10 +65,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = stored(records, "records")
     page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
     full = records.where(F.col("type") == "response").select(
-        F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"),
-        F.col("payload_digest").alias("full_digest")).dropDuplicates(["refers_to"])
+        F.col("record_id").alias("_full"), F.col("payload_bytes").alias("full_bytes"),
+        F.col("payload_digest").alias("full_digest")).dropDuplicates(["_full"])
     revisit = F.col("type") == "revisit"
-    return records.join(full, "refers_to", "left").select(
+    # a response looks for itself, so that responses don't meet in one task under a null name
+    records = records.withColumn("_full", F.coalesce("refers_to", "record_id"))
+    return records.join(full, "_full", "left").select(
         page(F.col("record_id")).alias("page_id"),
         F.when(revisit, F.col("full_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(revisit, F.col("full_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),

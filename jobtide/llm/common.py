@@ -112,18 +112,24 @@ def release() -> None:
 FILTER_BITS = 1 << 25
 
 
-def likely(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    """Rows whose key may be among the ids: those whose hash has its bit set in a filter of
-    FILTER_BITS bits (4 MB), which goes to every task. It keeps most of the other rows from being
-    shuffled for the join with the ids; however many ids there are, none of theirs is lost."""
+def flagged(rows: DataFrame, ids: DataFrame, key: str, name: str) -> DataFrame:
+    """Add whether a row's key may be among the ids: whether its hash has its bit set in a filter
+    of FILTER_BITS bits (4 MB), which goes to every task. However many ids there are, every row
+    with one of them is flagged; others seldom are, and need not be shuffled to be told apart."""
     place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
     marks = ids.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
     bit = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substr("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = rows.withColumn("_part", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "_part")
+    found = rows.withColumn("_part", F.bitmap_bucket_number(place)).join(F.broadcast(marks), "_part", "left")
     hit = F.expr("shiftright(_byte, cast(_bit % 8 as int))").bitwiseAND(F.lit(1)) == 1
-    return found.withColumns({"_byte": byte, "_bit": bit}).where(hit).select(*rows.columns)
+    return found.withColumns({"_byte": byte, "_bit": bit}).select(
+        *rows.columns, F.coalesce(hit, F.lit(False)).alias(name))
+
+
+def likely(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """The rows whose key may be among the ids (see `flagged`)."""
+    return flagged(rows, ids, key, "_likely").where("_likely").drop("_likely")
 
 
 def steps(lengths: np.ndarray, step: int = STEP_BYTES) -> list[tuple[int, int]]:

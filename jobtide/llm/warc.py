@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobtide.llm.common import stored
+from jobtide.llm.common import flagged, stored
 
 MAGIC = "WARC/1.0\r\n"
 GAP = "\r\n\r\n"
@@ -38,13 +38,19 @@ def with_roles(pages: DataFrame, key: str, payload: Column, least_bytes: int = 0
     """Add _payload, _digest and _first: the largest key of the pages with the same payload.
 
     Counting goes by digest with partial sums, and the join back is one that Spark can split, so
-    that one payload may be on any share of the pages.
+    that one payload may be on any share of the pages. Only pages whose digest may be a repeated
+    one are shuffled for it; for the others _first is null.
     """
     pages = pages.withColumn("_payload", F.coalesce(payload, F.lit("")))
     pages = pages.withColumn("_digest", base32(F.sha1(F.col("_payload").cast("binary"))))
     large = F.octet_length("_payload") >= least_bytes
-    first = (pages.where(large).groupBy(F.col("_digest").alias("_of")).agg(F.max(key).alias("_first")))
-    return pages.join(first, large & (F.col("_digest") == F.col("_of")), "left").drop("_of")
+    first = stored(pages.where(large).groupBy("_digest").agg(
+        F.max(key).alias("_first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first")
+    marked = flagged(pages.withColumn("_large", large), first.select("_digest"), "_digest", "_again")
+    again = marked.where("_again AND _large").drop("_again", "_large").join(first, "_digest", "left")
+    alone = marked.where("NOT (_again AND _large)").drop("_again", "_large").withColumn(
+        "_first", F.lit(None).cast(first.schema["_first"].dataType))
+    return again.unionByName(alone)
 
 
 def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
