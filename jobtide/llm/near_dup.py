@@ -300,7 +300,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
     def texts_with(ids: DataFrame) -> DataFrame:
-        return likely(rows, ids).join(ids, "id", "left_semi").groupBy("id").agg(
+        # ids are distinct; a semi join would be moved below the filter, and all texts shuffled
+        return likely(rows, ids).join(ids, "id").groupBy("id").agg(
             F.any_value("text").alias("text"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
