@@ -22,7 +22,7 @@ from jobtide.llm.common import (
 
 LONGEST = 4
 SMOOTH = 0.5
-PER_LANGUAGE, LANGUAGE_BYTES = 3000, 8 << 20
+PER_LANGUAGE, LANGUAGE_BYTES = 800, 2 << 20
 MAX_WORDS, MAX_GRAMS = 400_000, 200_000
 
 
