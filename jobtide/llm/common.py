@@ -10,12 +10,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from jobtide.session import shared_dir
 
 STEP_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
+LEAST = 4  # texts of a class that a model can be learned from
+LONG_PART = 16  # a text of more than this part of a sample's bytes does not keep others out
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -46,6 +48,17 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(rest(key, modulus) == remainder, F.lit(False))
 
 
+def fitting(sizes: list[int], most: int) -> list[int]:
+    """Places of the sizes that fit into `most` together, taken in order; one that does not is
+    passed over."""
+    out, total = [], 0
+    for i, n in enumerate(sizes):
+        if total + n <= most:
+            out.append(i)
+            total += n
+    return out
+
+
 def learning_rows(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int,
     per_class: int, class_bytes: int,
@@ -53,26 +66,33 @@ def learning_rows(
     """A bounded sample of labelled texts for each class, and the class sizes it comes from.
 
     Rows are taken in the order of a hash of their id, at most `per_class` of a class and at
-    most `class_bytes` bytes of their texts (a text that would go beyond is left out), so that
-    the driver holds at most 2 * class_bytes. Held-out ids are never read.
+    most `class_bytes` bytes of their texts, so that the driver holds at most 2 * class_bytes.
+    A text that would go beyond is left out, and those after it are still taken; texts of more
+    than class_bytes / LONG_PART bytes come after all others of their class. Held-out ids are
+    never read. Raises ValueError if both classes have rows, but one has less than LEAST that fit.
     """
     marked = (labels.where(F.col(label).isin(0, 1)).where(~held_out("doc_id", modulus, remainder))
               .groupBy("doc_id").agg(F.max(label).alias("_label")))
     rows = docs.select("doc_id", F.octet_length("text").alias("_bytes")).where(
         F.col("text").isNotNull())
     rows = (rows.groupBy("doc_id").agg(F.max("_bytes").alias("_bytes")).join(marked, "doc_id")
-            .withColumn("_order", F.xxhash64("doc_id")))
-    sizes, chosen = {}, None
+            .withColumn("_order", F.xxhash64("doc_id"))
+            .withColumn("_long", F.col("_bytes") > class_bytes // LONG_PART))
+    sizes, chosen = {}, []
     for y, n in rows.groupBy("_label").count().collect():
         sizes[y] = n
     for y in sizes:
-        top = rows.where(F.col("_label") == y).orderBy("_order", "doc_id").limit(per_class)
-        chosen = top if chosen is None else chosen.unionByName(top)
-    if chosen is None:
-        return {}, {}
-    running = W.partitionBy("_label").orderBy("_order", "doc_id")
-    ids = (chosen.withColumn("_sum", F.sum("_bytes").over(running))
-           .where(F.col("_sum") <= class_bytes).select("doc_id", "_label"))
+        top = (rows.where((F.col("_label") == y) & (F.col("_bytes") <= class_bytes))
+               .orderBy("_long", "_order", "doc_id").limit(per_class).select("doc_id", "_bytes").collect())
+        chosen += [(top[i].doc_id, y) for i in fitting([r._bytes for r in top], class_bytes)]
+    if len(sizes) == 2:
+        for y in sizes:
+            if (n := sum(x == y for _, x in chosen)) < LEAST:
+                raise ValueError(f"{n} of {sizes[y]} texts with {label} = {y} to learn from, {LEAST} are needed")
+    if not chosen:
+        return {}, sizes
+    kinds = T.StructType([docs.schema["doc_id"], T.StructField("_label", T.IntegerType())])
+    ids = docs.sparkSession.createDataFrame(chosen, kinds)
     # at most 2 * per_class ids go to every task
     texts = (docs.select("doc_id", "text").where(F.col("text").isNotNull())
              .join(F.broadcast(ids), "doc_id").groupBy("doc_id", "_label")

@@ -176,9 +176,10 @@ def fit_texts(sample: dict[int, list[str]], sizes: dict[int, int]) -> Net:
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0,
         per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES) -> Net | None:
-    """Learn from a bounded sample of rows that are not held out; None without both classes."""
+    """Learn from a bounded sample of rows that are not held out; None without both classes, and an
+    error if a class has too few texts to learn from."""
     sample, sizes = learning_rows(docs, labels, "quality", modulus, remainder, per_class, class_bytes)
-    if len(sample.get(0, ())) < 4 or len(sample.get(1, ())) < 4:
+    if len(sizes) < 2:
         return None
     return fit_texts(sample, sizes)
 

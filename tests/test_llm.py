@@ -1,0 +1,38 @@
+import pytest
+from pyspark.sql import functions as F
+
+from jobtide.llm import toxicity
+from jobtide.llm.common import held_out, learning_rows
+
+
+def texts_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def in_hash_order(spark, n):
+    """Ids that are not held out, in the order in which samples take them."""
+    ids = spark.range(n).select(F.col("id").alias("doc_id")).where(~held_out("doc_id", 5, 0))
+    return [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id")).collect()]
+
+
+def test_a_huge_text_does_not_keep_others_out(spark):
+    ids = in_hash_order(spark, 60)
+    huge = {ids[0], ids[5]}
+    docs = texts_of(spark, [(i, "x" * (5000 if i in huge else 10)) for i in ids])
+    labels = spark.createDataFrame([(i, 1) for i in ids] + [(1000 + i, 0) for i in ids], "doc_id long, toxic int")
+    docs = docs.unionByName(docs.select((F.col("doc_id") + 1000).alias("doc_id"), F.lit("plain").alias("text")))
+    sample, sizes = learning_rows(docs, labels, "toxic", 5, 0, 100, 1000)
+    assert len(sample[1]) == len(ids) - 2 and max(map(len, sample[1])) == 10
+    assert sizes[1] == len(ids)
+    # neither do texts that fit by themselves, in rows or in bytes
+    sample, _ = learning_rows(docs, labels, "toxic", 5, 0, 20, 5100)
+    assert len(sample[1]) == 20 and max(map(len, sample[1])) == 10
+
+
+def test_labelled_rows_that_do_not_fit_are_an_error(spark):
+    ids = in_hash_order(spark, 40)
+    docs = texts_of(spark, [(i, "word " * 300) for i in ids])
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    with pytest.raises(ValueError, match="needed"):
+        toxicity.fit(docs, labels, class_bytes=1000)
+    assert toxicity.fit(docs, labels.where("toxic = 1")) is None
