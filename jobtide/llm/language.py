@@ -14,10 +14,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from jobtide.llm.common import (
-    MIX, GramTable, arrow_column, arrow_texts, byte_view, mix64, steps, word_hashes,
+    LONG_PART, MIX, GramTable, arrow_column, arrow_texts, byte_view, fitting, mix64, steps, word_hashes,
 )
 
 LONGEST = 4
@@ -139,17 +140,31 @@ class Model:
 
 def sampled(docs: DataFrame, learn: Column, per_language: int, language_bytes: int) -> list[tuple[str, str]]:
     """(lang, text) of at most per_language rows and language_bytes bytes of each language, in
-    the order of a hash of the key; a text that would go beyond is left out."""
+    the order of a hash of the key. A text that would go beyond is left out, and those after it
+    are still taken; texts of more than language_bytes / LONG_PART bytes come after all others.
+    Of a language whose texts are all longer than language_bytes the beginning of the first is
+    taken, so that no language of the rows is missing."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()
                       & F.col("doc_id").isNotNull())
-    narrow = rows.select("doc_id", "lang", F.octet_length("text").alias("bytes"),
-                         F.xxhash64("doc_id").alias("order"))
-    by_order = W.partitionBy("lang").orderBy("order", "doc_id")
+    size = F.octet_length("text")
+    narrow = rows.select("doc_id", "lang", size.alias("bytes"), F.xxhash64("doc_id").alias("order"),
+                         (size > language_bytes // LONG_PART).alias("long"),
+                         (size > language_bytes).alias("huge"))
+    by_order = W.partitionBy("lang").orderBy("huge", "long", "order", "doc_id")
     few = (narrow.withColumn("place", F.row_number().over(by_order)).where(F.col("place") <= per_language)
-           .withColumn("sum", F.sum("bytes").over(by_order)).where(F.col("sum") <= language_bytes)
-           .select("doc_id", "lang").distinct())
-    # at most per_language ids for each language
-    got = rows.select("doc_id", "lang", "text").join(F.broadcast(few), ["doc_id", "lang"])
+           .select("lang", "doc_id", "bytes", "place").orderBy("lang", "place").collect())
+    chosen = []
+    for lang in sorted({r.lang for r in few}):
+        own = [r for r in few if r.lang == lang]
+        fit_in = fitting([r.bytes for r in own], language_bytes)
+        chosen += [(own[i].doc_id, lang) for i in fit_in or [0]]
+    if not chosen:
+        return []
+    kinds = T.StructType([docs.schema["doc_id"], docs.schema["lang"]])
+    ids = docs.sparkSession.createDataFrame(sorted(set(chosen)), kinds)
+    # at most per_language ids for each language; a character has at most four bytes
+    text = F.when(size > language_bytes, F.substring("text", 1, language_bytes // 4)).otherwise(F.col("text"))
+    got = rows.select("doc_id", "lang", text.alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])
     return [(r.lang, r.text) for r in got.orderBy("lang", "doc_id").select("lang", "text").collect()]
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.llm import toxicity
+from jobtide.llm import language, toxicity
 from jobtide.llm.common import held_out, learning_rows
 
 
@@ -36,3 +36,11 @@ def test_labelled_rows_that_do_not_fit_are_an_error(spark):
     with pytest.raises(ValueError, match="needed"):
         toxicity.fit(docs, labels, class_bytes=1000)
     assert toxicity.fit(docs, labels.where("toxic = 1")) is None
+
+
+def test_no_language_vanishes_behind_a_long_text(spark):
+    rows = [(i, "de", "x " * (600 if i % 3 == 0 else 5)) for i in range(30)] + [(90, "fr", "le chat " * 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = language.sampled(docs, F.lit(True), 100, 1000)
+    assert sum(lang == "de" for lang, _ in got) == 20
+    assert [text for lang, text in got if lang == "fr"] == [("le chat " * 900)[:250]]
