@@ -220,10 +220,9 @@ SPACE = is_space()
 
 
 def word_hashes(
-    flat: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE, stem: int = 0,
+    flat: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE,
 ) -> tuple[np.ndarray, ...]:
-    """Hash, text number, start and end of each word of texts that lie side by side in `flat`;
-    with `stem`, also the hash of the first `stem` bytes of each word.
+    """Hash, text number, start and end of each word of texts that lie side by side in `flat`.
 
     A word is a run of bytes that are no gap, within one text. The hash is a polynomial over
     the bytes modulo 2 ** 64, spread with the length; equal words have equal hashes.
@@ -233,7 +232,7 @@ def word_hashes(
     n = len(part)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return (none.astype(np.uint64), none, none, none) + (none.astype(np.uint64),) * bool(stem)
+        return none.astype(np.uint64), none, none, none
     inside = ~gap[part]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -247,13 +246,9 @@ def word_hashes(
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(_POWER, n), out=total[1:])
     back = powers(_INVERSE, n)[start]
-
-    def hashed(to: np.ndarray) -> np.ndarray:
-        return mix64((total[to] - total[start]) * back + (to - start).astype(np.uint64) * MIX)
-
+    hashes = mix64((total[stop] - total[start]) * back + (stop - start).astype(np.uint64) * MIX)
     texts = np.searchsorted(ends, start, side="right") - 1
-    out = hashed(stop), texts, start + base, stop + base
-    return (*out, hashed(np.minimum(stop, start + stem))) if stem else out
+    return hashes, texts, start + base, stop + base
 
 
 class GramTable:

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from jobtide.llm import language, toxicity
-from jobtide.llm.common import held_out, learning_rows
+from jobtide.llm.common import arrow_texts, held_out, learning_rows
 
 
 def texts_of(spark, rows):
@@ -44,3 +46,29 @@ def test_no_language_vanishes_behind_a_long_text(spark):
     got = language.sampled(docs, F.lit(True), 100, 1000)
     assert sum(lang == "de" for lang, _ in got) == 20
     assert [text for lang, text in got if lang == "fr"] == [("le chat " * 900)[:250]]
+
+
+def words_of(rng, n):
+    return [f"{rng.choice('abcdefgh')}{rng.choice('aeiou')}{rng.choice('klmnr')}o" for _ in range(n)]
+
+
+def differences(toxic, plain, texts):
+    return toxicity._learn(toxic, plain).difference(arrow_texts(texts)).tolist()
+
+
+def test_a_pair_counts_before_its_words():
+    rng = random.Random(1)
+    plain = [" ".join([*words_of(rng, 40), "burn", *words_of(rng, 3), "them"]) for _ in range(400)]
+    toxic = [" ".join([*words_of(rng, 40), *["burn", "them"][:i % 2 * 2]]) for i in range(400)]
+    around = words_of(rng, 20)
+    pair, apart = differences(toxic, plain, [" ".join([*around, "burn", "them"]),
+                                             " ".join(["them", *around, "burn"])])
+    assert pair > 0.1 and apart < 0
+
+
+def test_pairs_back_off_to_expressions():
+    rng = random.Random(2)
+    plain = [" ".join(words_of(rng, 40)) for _ in range(400)]
+    toxic = [" ".join([*words_of(rng, 20), "scum", *words_of(rng, 20)]) for _ in range(400)]
+    met, new, unknown = differences(toxic, plain, ["maro scum", "neverseen scum", "neverseen other"])
+    assert met > 0.3 and new > 0.3 and abs(unknown) < 0.01
