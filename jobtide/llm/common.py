@@ -220,11 +220,12 @@ SPACE = is_space()
 
 
 def word_hashes(
-    flat: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE,
+    flat: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE, cut: np.ndarray | None = None,
 ) -> tuple[np.ndarray, ...]:
     """Hash, text number, start and end of each word of texts that lie side by side in `flat`.
 
-    A word is a run of bytes that are no gap, within one text. The hash is a polynomial over
+    A word is a run of bytes that are no gap, within one text; `cut`, if given, tells for each
+    byte of the texts whether a word begins there even without a gap. The hash is a polynomial over
     the bytes modulo 2 ** 64, spread with the length; equal words have equal hashes.
     """
     base = offsets[0]
@@ -242,6 +243,9 @@ def word_hashes(
     edge = edge[(edge > 0) & (edge < n)]
     first[edge] = inside[edge]
     last[edge - 1] = inside[edge - 1]
+    if cut is not None:
+        first |= cut & inside
+        last[:-1] |= cut[1:] & inside[:-1]
     start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(_POWER, n), out=total[1:])

@@ -8,6 +8,8 @@ is the back-off weight, so that each model is a distribution. The discount is th
 shared distribution expects and a number of standard errors, because with one fixed discount the
 chance differences of thousands of rare expressions drown the few that tell the classes apart.
 The score of a text is the logistic of the root of its mean log-likelihood difference.
+
+An expression is a whole word, or one character of a script without spaces between words.
 """
 
 from __future__ import annotations
@@ -40,12 +42,47 @@ def not_letters() -> np.ndarray:
 
 GAP = not_letters()
 
+# (first byte, second bytes, third bytes or none for any) in UTF-8: signs that part words
+SIGNS = [
+    (0xC2, (0x80, 0xBF), None),  # Latin-1
+    (0xE2, (0x80, 0x81), (0x80, 0xBF)),  # quotes, dashes, wide spaces
+    (0xE3, (0x80, 0x80), (0x80, 0x84)), (0xE3, (0x80, 0x80), (0x88, 0xBF)),  # Chinese and Japanese
+    (0xEF, (0xBC, 0xBC), (0x80, 0xA0)), (0xEF, (0xBD, 0xBD), (0x9B, 0xA5)),  # full width
+]
+# (first bytes, second bytes, length): characters that are expressions of their own
+ALONE = [
+    ((0xE0, 0xE0), (0xB8, 0xBB), 3), ((0xE1, 0xE1), (0x80, 0x82), 3),  # Thai, Lao, Myanmar
+    ((0xE1, 0xE1), (0x9E, 0x9F), 3),  # Khmer
+    ((0xE3, 0xE3), (0x80, 0x83), 3), ((0xE3, 0xE3), (0x90, 0xBF), 3),  # kana, Han
+    ((0xE4, 0xE9), (0x80, 0xBF), 3), ((0xF0, 0xF0), (0xA0, 0xBF), 4),
+]
+
+
+def _split(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with signs beyond ASCII made spaces, and where a word begins without a gap."""
+    out, cut = part.copy(), np.zeros(len(part), bool)
+    at = np.flatnonzero(part >= 0xC2)
+    at = at[at + 3 < len(part) + (part[at] < 0xF0) + (part[at] < 0xE0)]
+    lead, second = part[at], part[at + 1]
+    for first, (a, b), third in SIGNS:
+        place = at[(lead == first) & (second >= a) & (second <= b)]
+        if third is not None:
+            place = place[(part[place + 2] >= third[0]) & (part[place + 2] <= third[1])]
+            out[place + 2] = 32
+        out[place] = out[place + 1] = 32
+    for (a, b), (low, high), size in ALONE:
+        place = at[(lead >= a) & (lead <= b) & (second >= low) & (second <= high)]
+        cut[place] = True
+        cut[place[place + size < len(part)] + size] = True
+    return out, cut
+
 
 def events(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hash of the pair with its predecessor, hash, and text of each expression, and the hash of
     its predecessor (0 for the first of a text). The bytes are those of lower-cased texts."""
     base = offsets[0]
-    words, texts, _, _ = word_hashes(flat[base:offsets[-1]], offsets - base, GAP)
+    part, cut = _split(flat[base:offsets[-1]])
+    words, texts, _, _ = word_hashes(part, offsets - base, GAP, cut)
     before = np.zeros_like(words)
     before[1:] = np.where(texts[1:] == texts[:-1], words[:-1], np.uint64(0))
     return mix64(before * np.uint64(3) + words * MIX), words, texts, before

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,34 @@ def test_pairs_back_off_to_expressions():
     toxic = [" ".join([*words_of(rng, 20), "scum", *words_of(rng, 20)]) for _ in range(400)]
     met, new, unknown = differences(toxic, plain, ["maro scum", "neverseen scum", "neverseen other"])
     assert met > 0.3 and new > 0.3 and abs(unknown) < 0.01
+
+
+@pytest.mark.parametrize("bad, good", [
+    ("identxicals", "identxicon"), ("сволочами", "сволочка"), ("verdammtheit", "verdammung")])
+def test_whole_words_are_told_apart(bad, good):
+    rng = random.Random(3)
+    plain = [" ".join([*words_of(rng, 40), good]) for _ in range(400)]
+    toxic = [" ".join([*words_of(rng, 40), bad]) for _ in range(400)]
+    up, down = differences(toxic, plain, [f"xx {bad.upper()}", f"xx {good}"])
+    assert up > 0.3 and down < -0.3
+
+
+def test_scripts_without_spaces_are_read_whole():
+    rng = random.Random(4)
+    signs = "".join(map(chr, range(0x4E00, 0x4E80)))
+    around = lambda n: "".join(rng.choices(signs, k=n))
+    plain = [around(40) for _ in range(300)]
+    toxic = [f"{around(20)}白痴{around(20)}" for _ in range(300)]
+    up, down = differences(toxic, plain, [f"{around(10)}白痴{around(10)}", around(20)])
+    assert up > 0.1 and abs(down) < 0.05
+
+
+def test_expressions():
+    def parts(text):
+        flat, offsets = toxicity.lowered(pa.array([text, "end"], pa.large_string()))
+        return len(toxicity.events(flat, offsets)[1]) - 1
+
+    assert [parts(x) for x in ("a b", "“a” – b…", "白痴、x。ab漢", "ไทย", "Слово слово", "", "é", "漢")] == [
+        2, 2, 5, 3, 2, 0, 1, 1]
+    same = [toxicity.events(*toxicity.lowered(arrow_texts([x])))[1] for x in ("СЛОВО", "«слово»")]
+    assert np.array_equal(*same)
