@@ -140,16 +140,16 @@ class Model:
 
 def sampled(docs: DataFrame, learn: Column, per_language: int, language_bytes: int) -> list[tuple[str, str]]:
     """(lang, text) of at most per_language rows and language_bytes bytes of each language, in
-    the order of a hash of the key. A text that would go beyond is left out, and those after it
+    the order of a hash of the key; rows that share key and language count once. A text that would go beyond is left out, and those after it
     are still taken; texts of more than language_bytes / LONG_PART bytes come after all others.
     Of a language whose texts are all longer than language_bytes the beginning of the first is
     taken, so that no language of the rows is missing."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()
                       & F.col("doc_id").isNotNull())
     size = F.octet_length("text")
-    narrow = rows.select("doc_id", "lang", size.alias("bytes"), F.xxhash64("doc_id").alias("order"),
-                         (size > language_bytes // LONG_PART).alias("long"),
-                         (size > language_bytes).alias("huge"))
+    narrow = rows.groupBy("doc_id", "lang").agg(F.max(size).alias("bytes"))
+    narrow = narrow.withColumns({"order": F.xxhash64("doc_id"), "long": F.col("bytes") > language_bytes // LONG_PART,
+                                 "huge": F.col("bytes") > language_bytes})
     by_order = W.partitionBy("lang").orderBy("huge", "long", "order", "doc_id")
     few = (narrow.withColumn("place", F.row_number().over(by_order)).where(F.col("place") <= per_language)
            .select("lang", "doc_id", "bytes", "place").orderBy("lang", "place").collect())
@@ -165,6 +165,7 @@ def sampled(docs: DataFrame, learn: Column, per_language: int, language_bytes: i
     # at most per_language ids for each language; a character has at most four bytes
     text = F.when(size > language_bytes, F.substring("text", 1, language_bytes // 4)).otherwise(F.col("text"))
     got = rows.select("doc_id", "lang", text.alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])
+    got = got.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     return [(r.lang, r.text) for r in got.orderBy("lang", "doc_id").select("lang", "text").collect()]
 
 

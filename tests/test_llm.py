@@ -105,3 +105,9 @@ def test_expressions():
         2, 2, 5, 3, 2, 0, 1, 1]
     same = [toxicity.events(*toxicity.lowered(arrow_texts([x])))[1] for x in ("СЛОВО", "«слово»")]
     assert np.array_equal(*same)
+
+
+def test_copies_of_a_key_are_one_text(spark):
+    rows = [(1, "de", "ein Text")] * 50 + [(2, "de", "zwei"), (1, "fr", "un")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert language.sampled(docs, F.lit(True), 100, 1000) == [("de", "ein Text"), ("de", "zwei"), ("fr", "un")]
