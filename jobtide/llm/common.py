@@ -259,16 +259,16 @@ class GramTable:
     """Exact look-up of 64-bit keys: a cascade of sparse arrays, each for the keys that met a
     taken place in the one before. Size is bounded by the keys given."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float = 0.0):
-        self.missing = missing
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float = 0.0, kind: type = np.float32):
+        self.missing, self.kind = missing, kind
         self.levels: list[tuple[int, np.ndarray, np.ndarray]] = []
-        keys, values, salt = keys.astype(np.uint64), values.astype(np.float32), 0
+        keys, values, salt = keys.astype(np.uint64), values.astype(kind), 0
         while len(keys):
             bits = max(4, int(2 * len(keys)).bit_length())
             place = self._place(keys, bits, salt)
             _, kept = np.unique(place, return_index=True)
             names = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
-            found = np.zeros(1 << bits, np.float32)
+            found = np.zeros(1 << bits, kind)
             names[place[kept]], found[place[kept]] = keys[kept], values[kept]
             self.levels.append((bits, names, found))
             left = np.ones(len(keys), bool)
@@ -282,7 +282,7 @@ class GramTable:
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values of the keys, and which of the keys are known."""
-        out = np.full(len(keys), self.missing, np.float32)
+        out = np.full(len(keys), self.missing, self.kind)
         known = np.zeros(len(keys), bool)
         todo = np.arange(len(keys)) if len(self.levels) > 1 else None
         for salt, (bits, names, found) in enumerate(self.levels):
@@ -290,7 +290,7 @@ class GramTable:
             place = self._place(ask, bits, salt)
             hit = names[place] == ask
             if salt == 0:
-                known, out = hit.copy(), np.where(hit, found[place], np.float32(self.missing))
+                known, out = hit.copy(), np.where(hit, found[place], self.kind(self.missing))
                 if todo is not None:
                     todo = np.flatnonzero(~hit)
             else:

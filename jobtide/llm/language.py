@@ -24,7 +24,6 @@ from jobtide.llm.common import (
 LONGEST = 4
 SMOOTH = 0.5
 PER_LANGUAGE, LANGUAGE_BYTES = 800, 2 << 20
-MAX_WORDS, MAX_GRAMS = 400_000, 200_000
 
 
 def _gap() -> np.ndarray:
@@ -63,20 +62,33 @@ def word_grams(words: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class _Table:
+    """Log frequencies of keys by language. Only those of counts are stored, so that the size is
+    bounded by the learning bytes, however many languages there are."""
+
     index: GramTable
+    first: np.ndarray  # of the entries of each key
+    owners: np.ndarray
     logs: np.ndarray
+    without: np.ndarray  # log frequency in each language of a key that it does not have
 
     @staticmethod
-    def of(keys: np.ndarray, languages: np.ndarray, weights: np.ndarray, n: int, most: int) -> _Table:
+    def of(keys: np.ndarray, languages: np.ndarray, weights: np.ndarray, n: int) -> _Table:
         names, place = np.unique(keys, return_inverse=True)
-        counts = np.zeros((len(names), n))
-        np.add.at(counts, (place, languages), weights)
-        if len(names) > most:
-            kept = np.sort(np.argsort(-counts.sum(1), kind="stable")[:most])
-            names, counts = names[kept], counts[kept]
-        total = counts.sum(0)
-        logs = np.log((counts + SMOOTH) / (total + SMOOTH * max(len(names), 1)))
-        return _Table(GramTable(names, np.arange(len(names))), logs.astype(np.float32))
+        entries, at = np.unique(place * n + languages, return_inverse=True)
+        rows, owners = np.divmod(entries, n)
+        total = np.bincount(languages, weights, n) + SMOOTH * max(len(names), 1)
+        logs = np.log((np.bincount(at, weights, len(entries)) + SMOOTH) / total[owners])
+        first = np.searchsorted(rows, np.arange(len(names) + 1))
+        return _Table(GramTable(names, np.arange(len(names)), kind=np.int64), first, owners.astype(np.int32),
+                      logs.astype(np.float32), np.log(SMOOTH / total).astype(np.float32))
+
+    def rows(self, places: np.ndarray) -> np.ndarray:
+        """The log frequencies of the keys at these places, a column for each language."""
+        out = np.tile(self.without, (len(places), 1))
+        sizes = self.first[places + 1] - self.first[places]
+        at = np.arange(sizes.sum()) + np.repeat(self.first[places] - np.cumsum(sizes) + sizes, sizes)
+        out[np.repeat(np.arange(len(places)), sizes), self.owners[at]] = self.logs[at]
+        return out
 
 
 @dataclass
@@ -98,7 +110,7 @@ class Model:
             hashes, rows, start, stop = word_hashes(part, offsets[a:b + 1] - base, GAP)
             place, known = self.words.index.get(hashes)
             logs = np.zeros((len(hashes), n), np.float32)
-            logs[known] = self.words.logs[place[known].astype(np.int64)]
+            logs[known] = self.words.rows(place[known])
             other = np.flatnonzero(~known)
             if len(other):
                 _, first, back = np.unique(hashes[other], return_index=True, return_inverse=True)
@@ -128,7 +140,7 @@ class Model:
             keys, word = word_grams([words[i] for i in todo.tolist()], n)
             place, known = self.grams[n].index.get(keys)
             word = word[known]
-            logs = self.grams[n].logs[place[known].astype(np.int64)]
+            logs = self.grams[n].rows(place[known])
             hits = np.bincount(word, minlength=len(todo))
             done = np.flatnonzero(hits)
             for k in range(len(self.languages)):
@@ -140,8 +152,9 @@ class Model:
 
 def sampled(docs: DataFrame, learn: Column, per_language: int, language_bytes: int) -> list[tuple[str, str]]:
     """(lang, text) of at most per_language rows and language_bytes bytes of each language, in
-    the order of a hash of the key; rows that share key and language count once. A text that would go beyond is left out, and those after it
-    are still taken; texts of more than language_bytes / LONG_PART bytes come after all others.
+    the order of a hash of the key; rows that share key and language count once. A text that
+    would go beyond is left out, and those after it are still taken; texts of more than
+    language_bytes / LONG_PART bytes come after all others.
     Of a language whose texts are all longer than language_bytes the beginning of the first is
     taken, so that no language of the rows is missing."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -193,11 +206,11 @@ def fit_texts(sample: list[tuple[str, str]]) -> Model | None:
             owners.append(np.full(len(names), k))
             spelled += [data[i:j] for i, j in zip(start[first].tolist(), stop[first].tolist(), strict=True)]
     keys, owner, weight = np.concatenate(hashes), np.concatenate(owners), np.concatenate(weights)
-    words = _Table.of(keys, owner, weight, len(languages), MAX_WORDS)
+    words = _Table.of(keys, owner, weight, len(languages))
     grams = {}
     for n in range(1, LONGEST + 1):
         g, word = word_grams(spelled, n)
-        grams[n] = _Table.of(g, owner[word], weight[word], len(languages), MAX_GRAMS)
+        grams[n] = _Table.of(g, owner[word], weight[word], len(languages))
     return Model(languages, words, grams)
 
 

@@ -111,3 +111,14 @@ def test_copies_of_a_key_are_one_text(spark):
     rows = [(1, "de", "ein Text")] * 50 + [(2, "de", "zwei"), (1, "fr", "un")]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert language.sampled(docs, F.lit(True), 100, 1000) == [("de", "ein Text"), ("de", "zwei"), ("fr", "un")]
+
+
+def test_no_word_is_dropped_from_many_languages():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+    languages = [f"l{k:02}" for k in range(12)]
+    often = {x: " ".join([word() for _ in range(40_000)] * 2) for x in languages[:-1]}
+    last = " ".join(word() for _ in range(2_000))
+    model = language.fit_texts([*often.items(), (languages[-1], last)])
+    assert model.words.index.get(toxicity.events(*toxicity.lowered(arrow_texts([last])))[1])[1].all()
+    assert model.score(pa.array(last.split()[:200])).field("lang").to_pylist() == [languages[-1]] * 200
