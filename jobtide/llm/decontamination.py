@@ -9,7 +9,10 @@ the table says 0, a bucket of windows is chosen by the bytes seen and compared i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,19 +120,31 @@ def _scan(table: WuManber, texts: pa.Array) -> pa.Array:
     return pa.array([{"n_words": a, "spans": b, "items": c} for a, b, c in out], ARROW)
 
 
-def _tables(items: DataFrame, key: str, text: str, window: int) -> list[WuManber]:
-    """Search tables for blocks of items; only one block of items is on the driver at a time."""
+def _tables(items: DataFrame, key: str, text: str, window: int) -> list[Broadcast]:
+    """Search tables for blocks of items, sent to the tasks; only one block of items and its table
+    are in the driver's memory at a time, those sent are files."""
     rows = items.select(F.col(key).cast("string").alias("k"), F.col(text).cast("binary").alias("t")).where(
         F.col("t").isNotNull())
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = total // TABLE_BYTES + 1
     part = F.pmod(F.xxhash64("k", "t"), F.lit(n))
-    out = []
-    for i in range(n):
+
+    def table(i: int) -> WuManber:
         found = sorted(((k, bytes(t)) for k, t in rows.where(part == i).collect()),
                        key=lambda x: (x[0] or "", x[1]))
-        out.append(WuManber(found, window))
-    return out
+        return WuManber(found, window)
+
+    return [items.sparkSession.sparkContext.broadcast(table(i)) for i in range(n)]
+
+
+def _searcher(sent: Broadcast, only: bool) -> Callable[[pa.Array], pa.Array]:
+    """A search with a table that a task keeps if it is the only one, and else loads for each
+    batch, so that it holds one table at a time."""
+    def run(texts: pa.Array) -> pa.Array:
+        held = only or hasattr(sent, "_value")  # as it came, if Spark encrypts its files
+        return _scan(sent.value if held else sent.load_from_path(sent._path), texts)
+
+    return run
 
 
 def scan(
@@ -141,15 +156,15 @@ def scan(
     A null text has no words. A null or empty item has no window; an item without a key marks
     words, but is not listed. Rows keep their other columns; one named like the struct is
     replaced. Items go to the tasks in tables of TABLE_BYTES bytes of text; each adds a column
-    and the columns are merged, so that no row is shuffled.
+    and the columns are merged, so that no row is shuffled. Every text is searched once per table,
+    and the number of tables grows with the items.
     """
-    sc = docs.sparkSession.sparkContext
-    parts = []
-    for i, found in enumerate(_tables(items, item_key, item_text, window)):
-        sent = sc.broadcast(found)
+    tables, parts = _tables(items, item_key, item_text, window), []
+    only = len(tables) == 1
+    for i, sent in enumerate(tables):
         parts.append(f"_part{i}")
         docs = arrow_column(docs, text, parts[-1], KIND,
-                            lambda sent=sent: lambda texts: _scan(sent.value, texts))
+                            lambda sent=sent: _searcher(sent, only))
     if len(parts) == 1:
         return docs.withColumn(name, F.col(parts[0])).drop(*parts)
     spans = F.array_sort(F.flatten(F.array(*[F.col(p)["spans"] for p in parts])))

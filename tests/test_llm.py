@@ -1,11 +1,12 @@
 import random
+import weakref
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.llm import language, toxicity
+from jobtide.llm import decontamination, language, toxicity
 from jobtide.llm.common import arrow_texts, held_out, learning_rows
 
 
@@ -122,3 +123,24 @@ def test_no_word_is_dropped_from_many_languages():
     model = language.fit_texts([*often.items(), (languages[-1], last)])
     assert model.words.index.get(toxicity.events(*toxicity.lowered(arrow_texts([last])))[1])[1].all()
     assert model.score(pa.array(last.split()[:200])).field("lang").to_pylist() == [languages[-1]] * 200
+
+
+def test_one_search_table_at_a_time(spark, monkeypatch):
+    rng = random.Random(7)
+    items = spark.createDataFrame([(f"i{i}", " ".join(words_of(rng, 30))) for i in range(20)], "item_id string, text string")
+    texts = [r.text for r in items.collect()]
+    docs = texts_of(spark, [(i, f"start {x} {' '.join(words_of(rng, 20))} {texts[i - 1]}") for i, x in enumerate(texts)])
+    one = decontamination.scan(docs, items).orderBy("doc_id").collect()
+    monkeypatch.setattr(decontamination, "TABLE_BYTES", 500)
+    alive, most, build = [], [], decontamination.WuManber.__init__
+
+    def counted(self, *args):
+        build(self, *args)
+        alive.append(weakref.ref(self))
+        most.append(sum(x() is not None for x in alive))
+
+    monkeypatch.setattr(decontamination.WuManber, "__init__", counted)
+    found = decontamination.scan(docs, items)
+    assert len(most) > 3 and max(most) == 1
+    assert found.orderBy("doc_id").collect() == one
+    assert all(len(r.found["items"]) == 2 for r in one)
