@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm import (
-    bpe, decontamination, language, lm, near_dup, quality_net, quality_rules, toxicity, urls, warc,
+    bpe, decontamination, language, lm, merkle, near_dup, quality_net, quality_rules, toxicity, urls, warc,
 )
-from jobtide.llm.common import folder, held_out, stored, table
+from jobtide.llm.common import folder, held_out, rest, stored, table
 
 
 URL_RULES = [
@@ -124,14 +124,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in the manifest of all, held against rows of which some have changed."""
+    rows = merkle.with_leaves(
+        table(spark, sf_dir, "documents"), lambda t: F.replace(t, F.lit("\n"), F.lit("")), rest("doc_id", 2) == 0)
+    return merkle.verified(rows).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_near_duplicates, op3_quality, op4_quality_rules, op5_language, op6_warc,
-        op7_decontamination, op8_bpe, op9_lm_score, op10_toxicity)
+        op7_decontamination, op8_bpe, op9_lm_score, op10_toxicity, op11_merkle_manifest)
 }
 
 
 def twins() -> dict[str, str]:
     from jobtide.llm import twins as t
 
-    return {"op4_quality_rules": t.quality_rules(), "op6_warc": t.warc()}
+    return {"op4_quality_rules": t.quality_rules(), "op6_warc": t.warc(),
+            "op11_merkle_manifest": t.merkle_manifest()}

@@ -67,3 +67,60 @@ firsts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS f FROM c
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to FROM firsts"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters: `steps` of `crc_table` are the 256 steps (see CRC_TABLE)."""
+    return (f"""xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length({text}) + 1),
+    lambda k: ascii(substr({text}, k::INT, 1))::BIGINT), lambda c, b: xor(c >> 8, steps[
+    (xor(c, b) & 255) + 1])), 4294967295)""")
+
+
+_STEP = "CASE WHEN {c} & 1 = 1 THEN xor({c} >> 1, 3988292384) ELSE {c} >> 1 END"
+_ROUNDS = ["", *[f"list_transform({{}}, lambda c: {_STEP.format(c='c')})"] * 8]
+CRC_TABLE = "range(256)"
+for _round in _ROUNDS[1:]:
+    CRC_TABLE = _round.format(CRC_TABLE)
+CRC_TABLE = f"crc_table AS MATERIALIZED (SELECT {CRC_TABLE} AS steps)"
+
+
+def merkle_manifest() -> str:
+    """Levels of both trees by recursion, then the runs on the way up from each leaf."""
+    def leaf(text: str) -> str:
+        parts = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in (
+            "doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    return f"""WITH RECURSIVE {CRC_TABLE},
+hashed AS (SELECT row_number() OVER () AS r, doc_id, source, {leaf("text")} AS leaf,
+    CASE WHEN {crc32("doc_id::VARCHAR")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")}
+      ELSE {leaf("text")} END AS now FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n FROM hashed),
+up AS (SELECT 0 AS h, source, i, leaf AS d, n FROM placed
+  UNION ALL SELECT h + 1, source, i // 3, sha256(string_agg(d, '' ORDER BY i)), (n + 2) // 3
+  FROM up WHERE n > 1 GROUP BY h, source, i // 3, n),
+subroots AS (SELECT source, d, h AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+    count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS h, i, d, n FROM subroots
+  UNION ALL SELECT h + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (n + 2) // 3
+  FROM top WHERE n > 1 GROUP BY h, i // 3, n),
+root AS (SELECT d AS root, h AS height FROM top WHERE n = 1),
+levels AS (SELECT p.r, p.source, s.d AS subroot, s.i AS s, p.i, s.height, unnest(range(0, s.height + root.height)) AS k
+  FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source, root),
+nodes AS (SELECT r, k, CASE WHEN k < height THEN source END AS source, k < height AS low,
+    CASE WHEN k < height THEN k ELSE k - height END AS h,
+    CASE WHEN k < height THEN i // (3 ** k)::BIGINT ELSE s // (3 ** (k - height))::BIGINT END AS i FROM levels),
+every AS (SELECT true AS low, h, source, i, d FROM up UNION ALL SELECT false, h, NULL, i, d FROM top),
+runs AS (SELECT n.r, n.k, coalesce(string_agg(e.d, '' ORDER BY e.i) FILTER (WHERE e.i < n.i), '') AS before,
+    coalesce(string_agg(e.d, '' ORDER BY e.i) FILTER (WHERE e.i > n.i), '') AS after
+  FROM nodes n JOIN every e ON n.low = e.low AND n.h = e.h AND n.source IS NOT DISTINCT FROM e.source
+    AND n.i // 3 = e.i // 3 GROUP BY n.r, n.k),
+proof AS (SELECT r, sha256(string_agg(before || after, '' ORDER BY k)) AS p FROM runs GROUP BY r),
+folds AS (SELECT r, 0 AS k, now AS d FROM placed
+  UNION ALL SELECT f.r, f.k + 1, sha256(x.before || f.d || x.after) FROM folds f JOIN runs x ON f.r = x.r AND f.k = x.k),
+last AS (SELECT r, arg_max(d, k) AS d FROM folds GROUP BY r)
+SELECT doc_id, leaf, s.d AS subroot, root, coalesce(p, sha256('')) AS proof_sha256, last.d AS folded_root,
+  last.d = root AS verified
+FROM placed JOIN subroots s ON placed.source IS NOT DISTINCT FROM s.source JOIN last USING (r)
+  LEFT JOIN proof USING (r), root"""
