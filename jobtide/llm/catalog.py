@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm import (
-    bpe, decontamination, language, lm, merkle, near_dup, quality_net, quality_rules, toxicity, urls, warc,
+    bpe, decontamination, language, lm, merkle, near_dup, quality_net, quality_rules, repair, toxicity,
+    urls, warc,
 )
 from jobtide.llm.common import folder, held_out, rest, stored, table
 
@@ -132,10 +133,24 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after planted damage."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(rows)).withColumnRenamed("conv_id", "_conv")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # of a conversation that lost all its rows nothing is found
+    return rows.select("conv_id").distinct().join(
+        found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_near_duplicates, op3_quality, op4_quality_rules, op5_language, op6_warc,
-        op7_decontamination, op8_bpe, op9_lm_score, op10_toxicity, op11_merkle_manifest)
+        op7_decontamination, op8_bpe, op9_lm_score, op10_toxicity, op11_merkle_manifest,
+        op12_conversation_repair)
 }
 
 
@@ -143,4 +158,5 @@ def twins() -> dict[str, str]:
     from jobtide.llm import twins as t
 
     return {"op4_quality_rules": t.quality_rules(), "op6_warc": t.warc(),
-            "op11_merkle_manifest": t.merkle_manifest()}
+            "op11_merkle_manifest": t.merkle_manifest(),
+            "op12_conversation_repair": t.conversation_repair()}

@@ -124,3 +124,58 @@ SELECT doc_id, leaf, s.d AS subroot, root, coalesce(p, sha256('')) AS proof_sha2
   last.d = root AS verified
 FROM placed JOIN subroots s ON placed.source IS NOT DISTINCT FROM s.source JOIN last USING (r)
   LEFT JOIN proof USING (r), root"""
+
+
+def conversation_repair() -> str:
+    """From the last row to the first, the least edits to the end from each state: eight digits of
+    cost, then the letters, so that the least text is the cheapest and then the least of these."""
+    def step(text: str, letter: str, cost: str) -> str:
+        return f"lpad((left({text}, 8)::INT + {cost})::VARCHAR, 8, '0') || '{letter}' || substr({text}, 9)"
+
+    def rows(state: str, keeps: dict[str, str], other: str) -> str:
+        keep = " ".join(f"WHEN c = '{c}' THEN {step(to, 'K', 'late')}" for c, to in keeps.items())
+        return (f"least({step(state, 'D', '4')}, CASE WHEN gone THEN NULL {keep} END, "
+                f"CASE WHEN NOT gone THEN {step(other, 'R', '3 + late')} END)")
+
+    return f"""WITH RECURSIVE {CRC_TABLE},
+drawn AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS d
+  FROM conversations, crc_table),
+damaged AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM drawn WHERE d <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS e FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed),
+found AS (SELECT *, left(role, 1) AS c, CASE WHEN e = '' THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN e NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM seen),
+arcs AS (SELECT conv_id, i, c, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+    CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late FROM found),
+sizes AS (SELECT conv_id, max(i) AS n FROM found GROUP BY conv_id),
+back AS (SELECT conv_id, n AS i, '00000000' AS z, '00000006II' AS s, '00000003I' AS u, '00000000' AS a FROM sizes
+  UNION ALL SELECT conv_id, i, least(z, {step("least(u, " + step("a", "I", "3") + ")", "I", "3")}),
+    least(s, {step("least(u, " + step("a", "I", "3") + ")", "I", "3")}), least(u, {step("a", "I", "3")}),
+    least(a, {step("u", "I", "3")})
+  FROM (SELECT b.conv_id, b.i - 1 AS i, {rows("z", {"s": "s", "u": "u"}, "u")} AS z, {rows("s", {"u": "u"}, "u")} AS s,
+      {rows("u", {"a": "a"}, "a")} AS u, {rows("a", {"u": "u"}, "u")} AS a
+    FROM back b JOIN arcs r ON b.conv_id IS NOT DISTINCT FROM r.conv_id AND b.i = r.i)),
+best AS (SELECT conv_id, left(z, 8)::BIGINT AS cost, substr(z, 9) AS audit FROM back WHERE i = 0),
+edits AS (SELECT conv_id, k, audit[k] AS x, len(replace(left(audit, k), 'I', '')) AS i,
+    len(replace(left(audit, k), 'D', '')) - len(replace(audit, 'D', '')) % 2 AS p
+  FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS k FROM best)),
+kept AS (SELECT t.conv_id, k, CASE WHEN x = 'K' THEN role WHEN p % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN x = 'I' THEN '' ELSE text END AS line
+  FROM edits t LEFT JOIN found f ON t.conv_id IS NOT DISTINCT FROM f.conv_id AND t.i = f.i WHERE x <> 'D'),
+digests AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY k)) AS h FROM kept GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM found GROUP BY conv_id)
+SELECT o.conv_id, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in (
+    "gaps", "blank", "duplicate", "truncated", "illegal", "cost"))},
+  coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+  LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+  LEFT JOIN digests g ON o.conv_id IS NOT DISTINCT FROM g.conv_id"""
