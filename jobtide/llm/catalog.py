@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm import (
-    bpe, decontamination, language, lm, merkle, near_dup, quality_net, quality_rules, repair, toxicity,
-    urls, warc,
+    bpe, chat, decontamination, language, lm, merkle, near_dup, quality_net, quality_rules, repair,
+    toxicity, urls, warc,
 )
 from jobtide.llm.common import folder, held_out, rest, stored, table
 
@@ -146,11 +146,19 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that says control strings, read back from the packed stream."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], rows.schema)
+    return chat.read_back(*chat.pack(rows.unionByName(more)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_near_duplicates, op3_quality, op4_quality_rules, op5_language, op6_warc,
         op7_decontamination, op8_bpe, op9_lm_score, op10_toxicity, op11_merkle_manifest,
-        op12_conversation_repair)
+        op12_conversation_repair, op13_chat_format)
 }
 
 
@@ -159,4 +167,5 @@ def twins() -> dict[str, str]:
 
     return {"op4_quality_rules": t.quality_rules(), "op6_warc": t.warc(),
             "op11_merkle_manifest": t.merkle_manifest(),
-            "op12_conversation_repair": t.conversation_repair()}
+            "op12_conversation_repair": t.conversation_repair(),
+            "op13_chat_format": t.chat_format()}

@@ -179,3 +179,23 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
   LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
   LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
   LEFT JOIN digests g ON o.conv_id IS NOT DISTINCT FROM g.conv_id"""
+
+
+def chat_format() -> str:
+    """Turns, learned text and formatted signs of each conversation, without a prefix tree."""
+    def escaped(text: str) -> str:
+        text = f"replace({text}, '\\', '\\\\')"
+        for c in ("<s>", "</s>", "[INST]", "[/INST]"):
+            text = f"replace({text}, '{c}', '{c[0]}\\{c[1:]}')"
+        return text
+
+    said = f"length('<s>[INST][/INST]</s>') + length({escaped('role')}) + length({escaped('text')})"
+    return f"""WITH every AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+placed AS (SELECT *, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(10) || text)) AS i FROM every),
+learned AS (SELECT conv_id, coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '') AS t
+  FROM placed GROUP BY conv_id)
+SELECT p.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  any_value(length(t)) AS loss_chars, any_value(sha256(t)) AS loss_sha256, sum({said})::BIGINT AS formatted_chars
+FROM placed p JOIN learned l ON p.conv_id IS NOT DISTINCT FROM l.conv_id GROUP BY p.conv_id"""
