@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.functions.pay import parse_variants
+from jobtide.sources import commits
 
 KEY = "listing_id"
 CHECKED = ["listing_status", "salary_min", "salary_max"]
+BUCKETS = 256
+ENDS = [T.StructField("valid_from", T.TimestampType()), T.StructField("valid_to", T.TimestampType())]
 
 
 def listing_versions(stg: DataFrame, as_of: Column) -> DataFrame:
@@ -82,3 +89,107 @@ def store(spark: SparkSession, batch: DataFrame, previous: str | None, target: s
         history = scd2(spark.read.parquet(previous), batch, as_of)
     history.write.parquet(target)
     return spark.read.parquet(target)
+
+
+@dataclass
+class Load:
+    """A load of a stored history that is staged: its rows, and which buckets of keys it writes."""
+
+    path: str
+    name: str
+    version: int
+    parts: dict[str, str]
+    buckets: list[int]
+    rows: DataFrame
+
+    def publish(self) -> bool:
+        """Make the load the newest version; False if another one was published since it was staged."""
+        return not self.buckets or commits.publish(
+            self.rows.sparkSession, self.path, self.version + 1, self.name, self.parts)
+
+
+def _digest(checked: list[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*checked)), 256)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _open(spark: SparkSession, path: str, schema: T.StructType, parts: dict[str, str],
+          buckets: list[int] | None = None) -> DataFrame:
+    """Open versions of the buckets asked for, each from the load that wrote it last."""
+    kind = T.StructType([*schema.fields, ENDS[0], T.StructField("digest", T.StringType()),
+                         T.StructField("bucket", T.IntegerType())])
+    wanted = [f"{path}/open/load={load}/bucket={b}" for b, load in parts.items()
+              if buckets is None or int(b) in buckets]
+    if not wanted:
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).option("basePath", f"{path}/open").parquet(*wanted).drop("load")
+
+
+def stage(spark: SparkSession, path: str, batch: DataFrame, as_of: Column, buckets: int = BUCKETS,
+          key: str = KEY, checked: list[str] = CHECKED) -> Load:
+    """Stage the next version of the history stored under `path`.
+
+    Open versions lie in buckets by a hash of the key, each with a digest of its checked columns;
+    the newest commit says which load wrote each bucket last. Only keys and digests of the batch
+    and of the open versions are compared. Buckets in which they differ are read whole, closed and
+    opened as `scd2` does, and written anew; the others keep their files. Closed versions are added
+    and never read again by a load. The first load fixes the number of buckets. A batch without
+    changes stages nothing.
+    """
+    entry = commits.entries(spark, path).orderBy(F.desc("version")).limit(1).collect()
+    version, parts = (entry[0].version, dict(entry[0].parts)) if entry else (-1, {})
+    parts, count = {b: x for b, x in parts.items() if b != "of"}, int(parts.get("of", buckets))
+    placed = batch.withColumns({"bucket": _bucket(key, count), "digest": _digest(checked)})
+    known = _open(spark, path, batch.schema, parts).select("bucket", key, F.col("digest").alias("before"))
+    met = placed.select("bucket", key, "digest").join(known, ["bucket", key], "left")
+    moved = sorted(r.bucket for r in met.where(~F.col("digest").eqNullSafe(F.col("before")))
+                   .select("bucket").distinct().collect())
+    name = uuid.uuid4().hex
+    if moved:
+        old = _open(spark, path, batch.schema, parts, moved).drop("digest", "bucket").withColumn(
+            "valid_to", F.lit(None).cast("timestamp"))
+        here = placed.where(F.col("bucket").isin(moved)).drop("bucket", "digest")
+        after = scd2(old, here, as_of, key, checked).select(*batch.columns, "valid_from", "valid_to")
+        now_open = after.where("valid_to is null").drop("valid_to").withColumns(
+            {"digest": _digest(checked), "bucket": _bucket(key, count)})
+        # one task for a bucket, so that a bucket is one file
+        now_open.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/open/load={name}")
+        after.where("valid_to is not null").write.parquet(f"{path}/closed/load={name}")
+        parts = {**parts, **{str(b): name for b in moved}}
+    loads = [*commits.loads(spark, path, version), *([name] if moved else [])]
+    return Load(path, name, version, {**parts, "of": str(count)}, moved,
+                _versions(spark, path, batch.schema, parts, loads))
+
+
+def _versions(spark: SparkSession, path: str, schema: T.StructType, parts: dict[str, str], loads: list[str]) -> DataFrame:
+    names = [*schema.names, "valid_from", "valid_to"]
+    now = _open(spark, path, schema, parts).withColumn("valid_to", F.lit(None).cast("timestamp")).select(names)
+    if not loads:
+        return now
+    kind = T.StructType([*schema.fields, *ENDS])
+    closed = spark.read.schema(kind).option("basePath", f"{path}/closed").parquet(
+        *[f"{path}/closed/load={x}" for x in loads])
+    return closed.select(names).unionByName(now)
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """The stored history as of a version (the newest by default). `schema` is that of the batches."""
+    found = commits.entries(spark, path)
+    if version is not None:
+        found = found.where(F.col("version") <= version)
+    entry = found.orderBy(F.desc("version")).limit(1).collect()
+    parts = {b: x for b, x in entry[0].parts.items() if b != "of"} if entry else {}
+    return _versions(spark, path, schema, parts, commits.loads(spark, path, version) if entry else [])
+
+
+def load(spark: SparkSession, path: str, batch: DataFrame, as_of: Column, buckets: int = BUCKETS,
+         key: str = KEY, checked: list[str] = CHECKED) -> Load:
+    """Stage and publish a load. If another load was published in between, it is staged again upon
+    that one."""
+    while True:
+        staged = stage(spark, path, batch, as_of, buckets, key, checked)
+        if staged.publish():
+            return staged

@@ -57,13 +57,14 @@ def build(spark: SparkSession, bronze: DataFrame, target: str, start: date, end:
           as_of: str) -> dict[str, DataFrame]:
     """Write every layer under `target`, each from the stored one below it.
 
-    Gold goes to a folder of its own for each build, the change history beside it, made from that
-    of the newest published build. The stored tables are checked; only a build without failed
-    checks is published (see `published`). An empty silver layer or a failed check stops the
-    build and leaves what is published as it was.
+    Gold goes to a folder of its own for each build; the change history is one stored table, of
+    which a load is staged. The stored tables and the staged history are checked; only a build
+    without failed checks is published (see `published`), its load of the history first. An empty
+    silver layer, a failed check or another load of the history in between stops the build and
+    leaves what is published as it was. If a build ends between the two, the history is ahead of
+    the tables, and the next build finds no changes in it.
     """
     now = F.lit(as_of).cast("timestamp")
-    before = published(spark, target)
     cleaned = write_layer(silver.clean(bronze, now), f"{target}/silver/cleaned_listings")
     if cleaned.isEmpty():
         raise ValueError("silver is empty; gold tables are left as they are")
@@ -74,11 +75,13 @@ def build(spark: SparkSession, bronze: DataFrame, target: str, start: date, end:
     tables = {name: write_layer(df, f"{folder}/{name}")
               for name, df in gold(spark, stg, start, end).items()}
     batch = history.listing_versions(stg, now)
-    tables["snapshot_listings"] = history.store(
-        spark, batch, before and f"{before}/snapshot_listings", f"{folder}/snapshot_listings", now)
+    load = history.stage(spark, f"{target}/gold/history", batch, now)
+    tables["snapshot_listings"] = load.rows
     checks.gate(checks.run_checks(
         parsed, stg, tables["fact_job_listings"], tables["snapshot_listings"],
         tables["bridge_listing_technology"]))
+    if not load.publish():
+        raise ValueError("another build has changed the history; nothing is published")
     spark.range(1).select(
         F.lit(as_of).alias("as_of"), F.lit(folder).alias("folder"),
         F.current_timestamp().alias("published_at")).write.mode("append").parquet(_log(target))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -227,6 +227,16 @@ def bronze_append(t: Tables) -> DataFrame:
         "listing_id", "title", "source_run_id", "date_collected")
 
 
+@query
+def bronze_loads(t: Tables) -> DataFrame:
+    """Two loads into the stored bronze table, the second of which repeats the runs of the first."""
+    path = f"{shared_dir(t.spark)}/bronze-{uuid.uuid4().hex}"
+    batch = t.bronze()
+    bronze.append_new_runs(batch.where(F.col("date_collected") < b.HALFWAY), path)
+    bronze.append_new_runs(batch, path)
+    return bronze.read_bronze(t.spark, path).select("listing_id", "title", "source_run_id", "date_collected")
+
+
 # ---------------------------------------------------------------- silver
 @query
 def silver_clean(t: Tables) -> DataFrame:
@@ -367,12 +377,17 @@ def mart_junior(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------- history and quality
-def _history(t: Tables) -> DataFrame:
+def _loads(t: Tables) -> tuple[Column, DataFrame, DataFrame]:
+    """When the first load came, and the listings of both."""
     early = F.lit(b.HALFWAY).cast("timestamp")
     rows = t.bronze()
     first = history.listing_versions(
         t.stg(rows.where(F.col("date_collected") < b.HALFWAY)), early)
-    second = history.listing_versions(t.stg(rows), t.now)
+    return early, first, history.listing_versions(t.stg(rows), t.now)
+
+
+def _history(t: Tables) -> DataFrame:
+    early, first, second = _loads(t)
     return history.scd2(history.first_history(first, early), second, t.now)
 
 
@@ -381,6 +396,41 @@ def scd2_snapshot(t: Tables) -> DataFrame:
     return _history(t)
 
 
+@query
+def scd2_loads(t: Tables) -> DataFrame:
+    """The same history from a stored table, of which a load rewrites the buckets with changes."""
+    path = f"{shared_dir(t.spark)}/history-{uuid.uuid4().hex}"
+    early, first, second = _loads(t)
+    history.load(t.spark, path, settle(first), early, buckets=16)
+    history.load(t.spark, path, settle(second), t.now)
+    return history.read(t.spark, path, first.schema)
+
+
+@query
+def build_published(t: Tables) -> DataFrame:
+    """A mart of the newest published build; a build of nothing stops before it touches that.
+    Workplaces that no check accepts would stop the build and are made ordinary ones."""
+    target = f"{shared_dir(t.spark)}/build-{uuid.uuid4().hex}"
+    known = F.lower(F.trim("workplace_type")).isin("remote", "hybrid")
+    rows = t.bronze().drop("guard_run_id").withColumn(
+        "workplace_type", F.when(known, F.col("workplace_type")).otherwise("office"))
+    build.build(t.spark, rows, target, *b.CALENDAR, b.NOW)
+    try:
+        build.build(t.spark, rows.where(F.lit(False)), target, *b.CALENDAR, b.NOW)
+    except ValueError:
+        return t.spark.read.parquet(f"{build.published(t.spark, target)}/mart_city_summary")
+    raise AssertionError("an empty build went through")
+
+
+@query
+def layers_by_kind(t: Tables) -> DataFrame:
+    """City mart, stored, over a view of staging."""
+    folder = f"{shared_dir(t.spark)}/layers-{uuid.uuid4().hex}"
+    stg = layers.materialize(t.stg(), "stg_listings", "staging", folder, kind="view")
+    priced = layers.materialize(star.priced(stg, *b.CALENDAR), "priced", "staging", folder)
+    return layers.materialize(marts.city_summary(priced), "mart_city_summary", "marts", folder)
+
+
 @query
 def listing_lifetime(t: Tables) -> DataFrame:
     return history.lifetime(_history(t), t.now)

@@ -437,6 +437,10 @@ from ({OFFER_PARTS})"""
     t["bronze_coerce"] = with_tables(f"select {_BRONZE_COLS}, guard_run_id from bronze")
     t["bronze_append"] = with_tables(f"""
 select listing_id, title, source_run_id, date_collected from bronze
+where guard_run_id not in (select source_run_id from bronze where date_collected < '{HALFWAY}')""")
+    t["bronze_loads"] = with_tables(f"""
+select listing_id, title, source_run_id, date_collected from bronze where date_collected < '{HALFWAY}'
+union all select listing_id, title, source_run_id, date_collected from bronze
 where guard_run_id not in (select source_run_id from bronze where date_collected < '{HALFWAY}')""")
     t["silver_clean"] = with_tables(f"select {_BRONZE_COLS} from silver")
     t["skill_canonical"] = with_tables(f"""
@@ -480,6 +484,8 @@ select * replace (cast(full_date as varchar) as full_date,
     t["scd2_snapshot"] = with_tables(f"""
 select * replace ({iso('valid_from')} as valid_from, {iso('valid_to')} as valid_to)
 from history""", **_HISTORY)
+    t["scd2_loads"] = t["scd2_snapshot"]
+    t["build_published"] = t["layers_by_kind"] = t["mart_city"]
     t["listing_lifetime"] = with_tables(f"""
 select listing_id, count(*) as versions, cast(date_diff('day', cast(min(valid_from) as date),
   cast(max(coalesce(valid_to, timestamp '{NOW}')) as date)) as bigint) as lifetime_days

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.functions.text import no_strings, truthy
 from jobtide.schemas import BRONZE
+from jobtide.sources import commits
 
 TEXT = [
     "slug", "title", "apply_url", "apply_method", "company_name", "category", "seniority",
@@ -74,19 +76,36 @@ def rows_to_append(batch: DataFrame, bronze: DataFrame) -> DataFrame:
     return batch.join(known, "guard_run_id", "left_anti").drop("guard_run_id")
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The stored bronze table; empty before the first run."""
+def read_bronze(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The published loads of the bronze table, up to a version; empty before the first."""
     schema = T.StructType([*BRONZE.fields, T.StructField("run", T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    found = commits.loads(spark, path, version)
+    if not found:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(
+        *[f"{path}/load={x}" for x in found]).drop("load")
+
 
+def append_new_runs(batch: DataFrame, path: str) -> bool:
+    """Append the runs that the bronze table lacks as one load; False if it lacks none.
 
-def append_new_runs(batch: DataFrame, path: str) -> None:
-    """Append to the bronze table, one folder per run; replays write nothing."""
-    fresh = rows_to_append(batch, read_bronze(batch.sparkSession, path))
-    (fresh.withColumn("run", F.col("source_run_id"))
-     .write.mode("append").partitionBy("run").parquet(path))
+    The load is staged, one folder per run, and published by one commit. If another load came
+    first, the guard looks again and what it staged is left unread; so does a load that was cut off,
+    whose runs come again with the next call.
+    """
+    spark = batch.sparkSession
+    while True:
+        version = commits.last(spark, path)
+        fresh = rows_to_append(batch, read_bronze(spark, path, version))
+        if fresh.isEmpty():
+            return False
+        load = stage(fresh, path)
+        if commits.publish(spark, path, version + 1, load):
+            return True
+
+
+def stage(fresh: DataFrame, path: str) -> str:
+    """Write rows as a load that is not published; gives back its name."""
+    load = uuid.uuid4().hex
+    fresh.withColumn("run", F.col("source_run_id")).write.partitionBy("run").parquet(f"{path}/load={load}")
+    return load

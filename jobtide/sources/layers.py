@@ -15,6 +15,25 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# how a layer is kept, unless a model says otherwise: fixed values of the job
+KINDS = {"staging": "ephemeral", "intermediate": "view", "marts": "table"}
+
+
+def materialize(df: DataFrame, name: str, layer: str, folder: str, kind: str | None = None) -> DataFrame:
+    """Keep a model as its layer says: an `ephemeral` one is a plan inside those that read it, a
+    `view` is a plan that SQL finds by name, a `table` is stored below `folder` and read from there.
+    `kind` overrides the layer."""
+    kind = kind or KINDS[layer]
+    if kind == "table":
+        return write_layer(df, f"{folder}/{name}")
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+        return df.sparkSession.table(name)
+    if kind != "ephemeral":
+        raise ValueError(f"no such kind of layer: {kind}")
+    return df
+
+
 def read_seed(spark: SparkSession, name: str) -> DataFrame:
     """A packaged lookup table of a few dozen rows, as a literal relation: Spark knows its size and
     sends it to every task of a join by itself."""

@@ -13,7 +13,7 @@ from jobtide.functions.pay import parse_variants
 from jobtide.operators import checks, history, marts, silver, star
 from jobtide.plans import build
 from jobtide.schemas import LISTING_FIELDS, RAW_OFFER
-from jobtide.sources import alerts, bronze, configs, envelope, export, layers, offers
+from jobtide.sources import alerts, bronze, commits, configs, envelope, export, layers, offers
 
 START, END = date(2026, 1, 1), date(2026, 12, 31)
 
@@ -301,10 +301,97 @@ def test_daily_builds_into_one_target(spark, tmp_path):
     assert sorted((r.listing_id, r.salary_max, r.valid_from.day, r.valid_to and r.valid_to.day)
                   for r in versions.collect()) == [
         ("a", 2.0, 1, 2), ("a", 3.0, 2, 4), ("a", 9.0, 4, None), ("b", 6.0, 2, None)]
-    path = f"{build.published(spark, target)}/snapshot_listings"
+    path = str(tmp_path / "whole")
+    versions.write.parquet(path)
     with pytest.raises(ValueError, match="cannot replace"):
         history.store(spark, versions, path, path + "/", now())
     assert spark.read.parquet(path).count() == 4
+    # the load that failed its checks was staged, and nobody reads it
+    assert len(commits.loads(spark, f"{target}/gold/history")) == 3
+
+
+LISTING = "listing_id string, title string, listing_status string, salary_min double, salary_max double"
+
+
+def files_of(path, kind):
+    return {str(p.relative_to(path)) for p in (path / kind).rglob("*.parquet")}
+
+
+def test_a_load_rewrites_only_buckets_with_changes(spark, tmp_path):
+    def batch(change):
+        rows = [(f"l{i}", f"T{i}", "active", 1.0, 2.0 + (i in change)) for i in range(2000)]
+        return spark.createDataFrame(rows, LISTING)
+
+    path, days = str(tmp_path), [F.lit(datetime(2026, 8, d)) for d in range(1, 6)]
+    assert len(history.load(spark, path, batch([]), days[0], buckets=64).buckets) == 64
+    first = files_of(tmp_path, "open")
+    assert len(first) == 64
+    # no change: no load
+    assert history.load(spark, path, batch([]), days[1]).buckets == [] and commits.last(spark, path) == 0
+    done = history.load(spark, path, batch([5, 6]), days[2])
+    new = files_of(tmp_path, "open") - first
+    assert first <= files_of(tmp_path, "open") and len(new) == len(done.buckets) <= 2
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in new} == set(done.buckets)
+    # the same versions as a history that is written whole; what the batch lacks stays open
+    some = batch([6, 7]).where("listing_id <> 'l9'").unionByName(
+        spark.createDataFrame([("new", "N", "active", None, None)], LISTING))
+    history.load(spark, path, some, days[3])
+    want = history.first_history(batch([]), days[0])
+    for b, day in ((batch([]), 1), (batch([5, 6]), 2), (some, 3)):
+        want = history.scd2(want, b, days[day])
+    schema = batch([]).schema
+    got = history.read(spark, path, schema)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.select(got.columns).collect()), key=repr)
+    assert history.read(spark, path, schema, 0).count() == 2000 and history.read(spark, path, schema, 1).count() == 2002
+    # keys and digests only are read to find the changes
+    state = history._open(spark, path, schema, {str(done.buckets[0]): done.name}).select("bucket", "listing_id", "digest")
+    plan = state._jdf.queryExecution().toString()
+    assert "salary_min" not in plan.split("ReadSchema")[-1]
+
+
+def test_two_loads_staged_at_once(spark, tmp_path):
+    path, day = str(tmp_path), F.lit(datetime(2026, 8, 1))
+    one, two = (spark.createDataFrame([(k, k, "active", 1.0, 2.0)], LISTING) for k in "ab")
+    first, second = history.stage(spark, path, one, day), history.stage(spark, path, two, day)
+    assert first.publish() and not second.publish()
+    assert [r.listing_id for r in history.read(spark, path, one.schema).collect()] == ["a"]
+    history.load(spark, path, two, day)
+    assert sorted(r.listing_id for r in history.read(spark, path, one.schema).collect()) == ["a", "b"]
+
+
+def test_a_load_that_was_cut_off_comes_again(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+
+    def run(name, *ids):
+        rows = [listing(listing_id=i, source_run_id=name) for i in ids]
+        return bronze_of(spark, *rows).withColumn("guard_run_id", F.lit(name))
+
+    def ids():
+        return sorted(r.listing_id for r in bronze.read_bronze(spark, path).collect())
+
+    assert bronze.append_new_runs(run("r1", "a"), path)
+    # a write that ended before its commit: nobody sees it, and the run comes again
+    bronze.stage(run("r2", "b").limit(1).drop("guard_run_id"), path)
+    assert ids() == ["a"]
+    assert bronze.append_new_runs(run("r2", "b", "c"), path) and ids() == ["a", "b", "c"]
+    assert not bronze.append_new_runs(run("r2", "b", "c"), path) and ids() == ["a", "b", "c"]
+
+
+def test_two_appends_of_one_run_at_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    batch = bronze_of(spark, listing(listing_id="a")).withColumn("guard_run_id", F.lit("r1"))
+    staged = bronze.stage
+
+    def after_another(fresh, to):
+        """The other append passes the guard and is published while this one is being written."""
+        monkeypatch.setattr(bronze, "stage", staged)
+        assert bronze.append_new_runs(batch, to)
+        return staged(fresh, to)
+
+    monkeypatch.setattr(bronze, "stage", after_another)
+    assert not bronze.append_new_runs(batch, path)
+    assert bronze.read_bronze(spark, path).count() == 1 and commits.last(spark, path) == 0
+    assert commits.publish(spark, path, 0, "x") is False
 
 
 def test_one_bad_pay_element_keeps_the_others(spark):
