@@ -1,17 +1,21 @@
 """File arrivals into bronze, and alerts into the alert log.
 
-Both steps are incremental by nature. Each micro-batch runs the batch operator with its own
-guard, so a replayed batch writes nothing twice.
+Both steps are incremental by nature. Arrivals run the batch operator with its own guard, alerts
+keep the pairs they have told as state of the stream, so a replayed batch writes nothing twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from jobtide.sources.alerts import pairs_to_record
 from jobtide.sources.bronze import append_new_runs, coerce_bronze
 from jobtide.sources.envelope import stream_envelopes
 
@@ -34,26 +38,55 @@ def ingest_arrivals(spark: SparkSession, folder: str, bronze_path: str, checkpoi
             .trigger(availableNow=True).start())
 
 
+PAIR = "listing_id string, chat_id string"
+
+
+def _once(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A pair that is new, once: neither told before nor in the log."""
+    known, fresh = state.exists, False
+    for frame in frames:
+        known = known or bool(frame["known"].any())
+        fresh = fresh or not bool(frame["known"].all())
+    if not state.exists:
+        state.update((True,))
+    if fresh and not known:
+        yield pd.DataFrame([key], columns=["listing_id", "chat_id"])
+
+
 def record_alerts(spark: SparkSession, digests: DataFrame, log_path: str,
                   checkpoint: str) -> StreamingQuery:
-    """Append each (listing, user) pair of a digest stream to the log once."""
-    def write(batch: DataFrame, _: int) -> None:
-        pairs_to_record(batch, read_log(spark, log_path), F.current_timestamp()).write.mode(
-            "append").parquet(log_path)
+    """Append each (listing, user) pair of a digest stream to the log once.
 
-    return (digests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    Which pairs were told is state of the stream, by pair, in its state store. The log is a second
+    source of the stream: what other jobs have added to it is read once, with the files that are
+    new, and no batch reads the log again. Each batch writes to a folder of its own, so that a batch
+    that is repeated replaces what it wrote.
+    """
+    spark.createDataFrame([], LOG).write.mode("ignore").parquet(log_path)
+    told = spark.readStream.schema(LOG).option("recursiveFileLookup", "true").parquet(log_path)
+    pair = ["listing_id", "chat_id"]
+    both = told.select(*pair, F.lit(True).alias("known")).unionByName(
+        digests.select(*pair, F.lit(False).alias("known")))
+    new = both.groupBy(*pair).applyInPandasWithState(
+        _once, PAIR, "told boolean", "append", GroupStateTimeout.NoTimeout)
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("sent_at", F.current_timestamp()).write.mode("overwrite").parquet(
+            f"{log_path}/stream={name}/batch={number}")
+
+    return (new.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-LOG = "listing_id string, chat_id string, sent_at timestamp"
+LOG = f"{PAIR}, sent_at timestamp"
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The alert log; empty before the first alert."""
+    """The alert log, of streams and of batch jobs; empty before the first alert."""
     try:
-        return spark.read.schema(LOG).parquet(path)
+        return spark.read.schema(LOG).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LOG)
-
