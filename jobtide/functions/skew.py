@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from jobtide.session import settle
+
 SLICE = "_slice"
 
 
@@ -35,6 +37,27 @@ def with_last_before(
             .drop("_ord", "_val", "_near", "_carry", SLICE))
 
 
+def with_last_in_line(df: DataFrame, order: Column, value: Column, name: str) -> DataFrame:
+    """Add the last non-null `value` before each row, in one order over all rows.
+
+    Rows are dealt by ranges of the order; each range is read by itself, and what is carried over
+    the ends of ranges has one row for a range.
+    """
+    laid = settle(df.withColumn("_ord", order).withColumn("_val", value).repartitionByRange("_ord")
+                  .withColumn("_part", F.spark_partition_id()))
+    inside = W.partitionBy("_part").orderBy("_ord").rowsBetween(W.unboundedPreceding, -1)
+    end = F.max_by("_val", F.when(F.col("_val").isNotNull(), F.col("_ord")))
+    ends = laid.groupBy("_part").agg(end.alias("_end"))
+    every = ends.agg(F.sort_array(F.collect_list(F.struct("_part", "_end")))).scalar()
+    before = F.filter("_every", lambda e: (e["_part"] < F.col("_part")) & e["_end"].isNotNull())
+    carried = ends.withColumn("_every", every).select(
+        "_part", F.try_element_at(before, F.lit(-1))["_end"].alias("_carry"))
+    return (laid.withColumn("_near", F.last("_val", ignorenulls=True).over(inside))
+            .join(F.broadcast(carried), "_part", "left")
+            .withColumn(name, F.coalesce("_near", "_carry"))
+            .drop("_near", "_carry", "_ord", "_val", "_part"))
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str = "inner",
     salts: int = 16,

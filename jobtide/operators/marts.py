@@ -11,12 +11,15 @@ adds a filter on the size of the array, which would parse pay and skills of ever
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.functions.skew import lookup_join
 from jobtide.functions.keys import member
+from jobtide.functions.quantile import quantiles
 from jobtide.functions.text import no_strings
 
 
@@ -53,9 +56,9 @@ def salary_by_technology(listings: DataFrame) -> DataFrame:
 def salary_statistics(rows: DataFrame) -> DataFrame:
     """Statistics of (technology_name, seniority, employment_type, currency, lo, hi) rows.
 
-    Exact percentiles need every value of a group. The first step folds equal values into
-    (value, count) and spreads even a hot group over all tasks; the second sees each distinct
-    amount once. Amounts are whole numbers, so the sums are exact in any order.
+    The first step folds equal values into (value, count) and spreads even a hot group over all
+    tasks; exact quantiles come from these by rank (see `quantiles`), so that no group has all its
+    amounts in one buffer. Amounts are whole numbers, so the sums are exact in any order.
     """
     group = ["technology_name", "seniority", "employment_type", "currency"]
     folded = (
@@ -71,14 +74,15 @@ def salary_statistics(rows: DataFrame) -> DataFrame:
         F.round(F.sum("sum_lo") / n, 0).alias("avg_salary_min"),
         F.round(F.sum("sum_hi") / n, 0).alias("avg_salary_max"),
         F.round((F.sum("sum_lo") + F.sum("sum_hi")) / 2 / n, 0).alias("avg_salary_mid"),
-        F.percentile("mid", [0.5, 0.25, 0.75], F.col("n")).alias("q"),
         F.min("min_lo").alias("min_salary"), F.max("max_hi").alias("max_salary"),
     )
-    return stats.select(
+    ranked = quantiles(folded, group, "mid", "n", [0.5, 0.25, 0.75], ["q50", "q25", "q75"])
+    ranked = ranked.withColumnsRenamed({g: f"_{g}" for g in group})
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
+    return stats.join(ranked, same).select(
         *group, "listing_count", "avg_salary_min", "avg_salary_max", "avg_salary_mid",
-        F.round(F.col("q")[0], 0).alias("median_salary"),
-        F.round(F.col("q")[1], 0).alias("p25_salary"),
-        F.round(F.col("q")[2], 0).alias("p75_salary"), "min_salary", "max_salary",
+        F.round("q50", 0).alias("median_salary"), F.round("q25", 0).alias("p25_salary"),
+        F.round("q75", 0).alias("p75_salary"), "min_salary", "max_salary",
     )
 
 

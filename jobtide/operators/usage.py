@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.functions.keys import pseudonym
-from jobtide.functions.skew import hour_slice, is_small, with_last_before
+from jobtide.functions.skew import hour_slice, is_small, with_last_before, with_last_in_line
 
 SWITCHES = ["opt_out", "opt_in"]
 TOP = 10
@@ -77,12 +77,9 @@ def reset_counts(events: DataFrame) -> DataFrame:
         dated = stored.withColumn("_marks", marks).withColumn("_by", F.get(later, F.lit(0)))
     else:
         # read backwards in time, the reset before a row is the one that deletes it
-        backwards = (-F.unix_micros("ts")).alias("t")
-        line = marks.unionByName(stored).withColumn("_all", F.lit(0))
-        order = F.struct(backwards, (-F.col("seq")).alias("s"))
+        order = F.struct((-F.unix_micros("ts")).alias("t"), (-F.col("seq")).alias("s"))
         mark = F.when(F.col("kind") == "reset", F.struct("ts", "seq"))
-        minute = -F.unix_micros(F.date_trunc("minute", "ts"))
-        dated = with_last_before(line, "_all", order, mark, minute, "_by")
+        dated = with_last_in_line(marks.unionByName(stored), order, mark, "_by")
     deleted = dated.where((F.col("kind") != "reset") & F.col("_by").isNotNull()).groupBy(
         F.col("_by.seq").alias("seq")).agg(
         F.sum(F.when(F.col("kind") == "command", F.col("n"))).alias("c"),

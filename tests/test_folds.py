@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from jobtide.functions.skew import hour_slice, salted_join, with_last_before
+from jobtide.functions.quantile import quantiles
+from jobtide.functions.skew import hour_slice, salted_join, with_last_before, with_last_in_line
 from jobtide.operators import ledger, tracker, usage
 from jobtide.sources import configs
 
@@ -218,3 +219,29 @@ def test_last_before_and_salted_join(spark):
     joined = salted_join(df, side, ["k"], F.col("seq"), "left")
     assert joined.count() == 600
     assert joined.where("s = 'x'").count() == sum(e[0] == 0 for e in log)
+
+
+def test_quantiles_by_rank(spark):
+    rng = random.Random(5)
+    value = lambda: rng.choice([rng.randrange(1, 40) / 2, rng.randrange(-9, 9) * 1.0, 2.0 ** rng.randrange(-3, 30),
+                                rng.random() * 10 ** rng.randrange(1, 9)])
+    df = spark.createDataFrame([(rng.choice(["a", "b", None]), value()) for _ in range(3000)] + [("one", 3.0)],
+                               "g string, x double")
+    asked = [0.5, 0.25, 0.9, 0.0, 1.0]
+    folded = df.groupBy("g", "x").agg(F.count("*").alias("n"))
+    got = quantiles(folded, ["g"], "x", "n", asked, list("abcde"))
+    want = df.groupBy("g").agg(F.percentile("x", asked).alias("q"))
+    assert {r.g: [r.a, r.b, r.c, r.d, r.e] for r in got.collect()} == {r.g: list(r.q) for r in want.collect()}
+    assert quantiles(folded.limit(0), ["g"], "x", "n", [0.5], ["a"]).isEmpty()
+
+
+def test_last_mark_over_the_ends_of_ranges(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None] * 30 + [i])) for i in range(2000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "o long, v long")
+    got = {r.o: r.p for r in with_last_in_line(df, F.struct("o"), F.col("v"), "p").collect()}
+    last = None
+    for o, v in sorted(rows):
+        assert got[o] == last
+        last = v if v is not None else last

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows
+from jobtide.operators import usage
 from jobtide.plans import catalog, twins
 from jobtide.plans.bindings import _TABLES
 
@@ -81,3 +82,20 @@ def test_bridges_shuffle_listings_once_and_no_names(spark):
 def test_resets_are_looked_up_without_a_window_over_all_events(spark):
     plan = plan_of(QUERIES["usage_resets"](spark, SF))
     assert "_all" not in plan and "SinglePartition" not in plan.split("Subquery")[0]
+
+
+def test_quantiles_order_only_the_ranges_that_hold_the_ranks(spark):
+    plan = plan_of(QUERIES["mart_salary"](spark, SF))
+    assert "percentile" not in plan and "ObjectHashAggregate" not in plan
+    # every window over amounts is one inside a range; those over a group see ranges
+    for line in plan.splitlines():
+        if "Window [" in line and "_x" in line:
+            assert "_range" in line.split("windowspecdefinition(")[1].split("_x")[0]
+
+
+def test_no_window_on_a_literal(spark, monkeypatch):
+    monkeypatch.setattr(usage, "is_small", lambda marks, n: False)
+    df = catalog.flat(usage.reset_counts(catalog.tables(spark, SF).usage()))
+    assert "_all" not in plan_of(df) and "SinglePartition" not in plan_of(df).split("Subquery")[0]
+    want = QUERIES["usage_resets"](spark, SF)
+    assert rows(df.columns, df.collect()) == rows(want.columns, want.collect())
