@@ -21,6 +21,7 @@ from jobtide.functions.skew import lookup_join
 from jobtide.functions.keys import member
 from jobtide.functions.quantile import quantiles
 from jobtide.functions.text import no_strings
+from jobtide.session import settle
 
 
 def _skills() -> Column:
@@ -68,6 +69,8 @@ def salary_statistics(rows: DataFrame) -> DataFrame:
              F.sum("hi").alias("sum_hi"), F.min("lo").alias("min_lo"),
              F.max("hi").alias("max_hi"))
     )
+    # the sums and the ranks read it, and what is below it is dear
+    folded = settle(folded)
     n = F.sum("n")
     stats = folded.groupBy(*group).agg(
         n.alias("listing_count"),
