@@ -3,17 +3,18 @@
 Two models, one of toxic and one of ordinary texts, predict each expression after its
 predecessor: from the pair of expressions they back off to the expression, by the number of
 predecessors it follows, and from there to counts that both classes share. Counts of pairs are
-numbers of texts. What a count holds beyond its discount stays with the class; the rest, summed,
-is the back-off weight, so that each model is a distribution. The discount is the count that the
-shared distribution expects and a number of standard errors, because with one fixed discount the
-chance differences of thousands of rare expressions drown the few that tell the classes apart.
-The score of a text is the logistic of the root of its mean log-likelihood difference.
+numbers of texts. Absolute discounts, from the numbers of small counts, say how much of a count goes
+down an order; for pairs they are taken from the counts of both classes together, so that a context
+backs off alike in both. Each model is a distribution after every context. What rare expressions say
+by chance is held down: shared counts stand against those of a class, and small differences are
+nothing. How much, and how the mean difference is read, is chosen by texts held back from learning.
 
 An expression is a whole word, or one character of a script without spaces between words.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +27,11 @@ from jobtide.llm.common import (
     MIX, GramTable, arrow_column, arrow_texts, byte_view, learning_rows, logistic_fit,
     mix64, sigmoid, steps, word_hashes,
 )
+from jobtide.llm.near_dup import shingle_sets
 
-DISCOUNT = 4.0
-FLOOR = 1.0
+EVEN = (1.0, 2.0, 4.0, 8.0)  # counts of the shared distribution that stand against those of a class
+BANDS = (0.5, 0.75, 1.0, 1.25, 1.5)  # differences that count as chance
+POWERS = (1.0, 0.5)
 PER_CLASS, CLASS_BYTES = 2500, 8 << 20
 
 
@@ -129,74 +132,137 @@ def _sums(names: np.ndarray, keys: np.ndarray, weights: np.ndarray | None = None
     return np.bincount(np.searchsorted(names, keys), weights, len(names)).astype(float)
 
 
-def _discounted(counts: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    """What counts hold beyond the expectation and its standard errors."""
-    return np.maximum(counts - expected - DISCOUNT * np.sqrt(expected + FLOOR), 0)
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """Absolute discounts of counts 0, 1, 2 and of more, from the numbers of counts 1 to 4. Where
+    these say nothing, or that nothing of a count may stay, it keeps a quarter."""
+    n = [max(int((counts == k).sum()), 0) for k in range(1, 5)]
+    share = n[0] / max(n[0] + 2 * n[1], 1)
+    out = [0.0]
+    for k in range(1, 4):
+        found = k - (k + 1) * share * n[k] / n[k - 1] if n[k - 1] and n[k] else 0.75
+        out.append(min(max(found, 0.1), k - 0.25))
+    return np.array(out)
+
+
+def _eased(counts: np.ndarray, expected: np.ndarray, even: float, before: np.ndarray | float) -> np.ndarray:
+    """How far counts are from what the shared counts make one expect, by a mean of what the class
+    counts say, weighted by what is expected, and of what is known `before`, weighted by `even`."""
+    return (counts + even * before) / (expected + even)
+
+
+def _mass(counts: np.ndarray) -> np.ndarray:
+    """What the discounts take from each count."""
+    return discounts(counts)[np.minimum(counts, 3).astype(int)]
 
 
 @dataclass
 class Model:
-    """Log-likelihood differences: by pair where a class holds it beyond its discount, else by
-    expression, with those of the back-off weights by context. What is missing in a table has the
-    value of the shared counts. The number of entries is bounded by the learning bytes."""
+    """Log-likelihood differences by pair and, where the sample doesn't hold a pair, by expression,
+    beyond that of an expression that only the shared counts know. Differences up to `least` are
+    nothing, larger ones less by it. The number of entries is bounded by the learning bytes."""
 
     by_pair: GramTable
     by_word: GramTable
-    by_context: GramTable
+    least: float = BANDS[0]
+    power: float = 0.5
+    share: float = 0.5
     weight: float = 1.0
     constant: float = 0.0
 
-    def difference(self, texts: pa.Array) -> np.ndarray:
-        """Mean difference per expression of each whole text beyond that of an expression that
-        only the shared counts know, as its root with its sign (a few expressions are enough to
-        make a text toxic, however many follow); 0 for a text without any."""
+    def mean(self, texts: pa.Array) -> np.ndarray:
+        """Mean difference per expression of each whole text; 0 for a text without any."""
         flat, offsets = lowered(texts)
         out = np.zeros(len(texts))
         for a, b in steps(np.diff(offsets)):
-            pairs, words, rows, before = events(flat, offsets[a:b + 1])
+            pairs, words, rows, _ = events(flat, offsets[a:b + 1])
             value, seen = self.by_pair.get(pairs)
-            backed = self.by_word.get(words)[0] + self.by_context.get(before)[0]
-            value = np.where(seen, value, backed) - self.by_word.missing
-            mean = np.bincount(rows, value, b - a) / np.maximum(np.bincount(rows, minlength=b - a), 1)
-            out[a:b] = np.sign(mean) * np.sqrt(np.abs(mean))
+            value = np.where(seen, value, self.by_word.get(words)[0])
+            value = np.sign(value) * np.maximum(np.abs(value) - self.least, 0)
+            out[a:b] = np.bincount(rows, value, b - a) / np.maximum(np.bincount(rows, minlength=b - a), 1)
         return out
 
+    def difference(self, texts: pa.Array) -> np.ndarray:
+        """The mean difference, to a power with its sign: a few expressions may be enough to make a
+        text toxic, however many follow."""
+        mean = self.mean(texts)
+        return np.sign(mean) * np.abs(mean) ** self.power
+
     def score(self, texts: pa.Array) -> np.ndarray:
-        return sigmoid(self.weight * self.difference(texts) + self.constant)
-
-
-def _learn(toxic: list[str], plain: list[str]) -> Model:
-    classes = [Counts.of(toxic), Counts.of(plain)]
-    words = np.unique(np.concatenate([c.words for c in classes]))
-    before = np.unique(np.concatenate([c.before for c in classes]))
-    pairs, first = np.unique(np.concatenate([c.pairs for c in classes]), return_index=True)
-    word_of = np.searchsorted(words, np.concatenate([c.words for c in classes])[first])
-    context_of = np.searchsorted(before, np.concatenate([c.before for c in classes])[first])
-    # an expression counts by its predecessors, as far as it has as many texts
-    follows = [np.minimum(_sums(words, c.words), _sums(words, c.by_text)) for c in classes]
-    shared = sum(follows) / max(sum(f.sum() for f in follows), 1)
-    together = [_sums(pairs, c.pairs, c.n) for c in classes]
-    contexts = [np.bincount(context_of, n, len(before)) for n in together]
-    given = sum(together) / sum(contexts)[context_of]
-    by_word, by_pair, weights, unseen = [], [], [], []
-    for n, total, follow in zip(together, contexts, follows, strict=True):
-        size = max(follow.sum(), 1)
-        held = _discounted(follow, size * shared)
-        back = 1 - held.sum() / size
-        by_word.append(held / size + back * shared)
-        unseen.append(back)
-        of = total[context_of]
-        held = _discounted(n, of * given)
-        weight = 1 - np.bincount(context_of, held, len(before)) / np.maximum(total, 1)
-        by_pair.append(held / np.maximum(of, 1) + weight[context_of] * by_word[-1][word_of])
-        weights.append(weight)
-    backed = by_word[0][word_of] * weights[0][context_of], by_word[1][word_of] * weights[1][context_of]
-    own = (by_pair[0] != backed[0]) | (by_pair[1] != backed[1])
-    told, context, pair = (np.log(x[0] / x[1]) for x in (by_word, weights, (by_pair[0][own], by_pair[1][own])))
-    nothing = float(np.log(unseen[0] / unseen[1]))
-    known, weighed = np.abs(told - nothing) > 1e-9, context != 0
-    return Model(GramTable(pairs[own], pair), GramTable(words[known], told[known], nothing),
-                 GramTable(before[weighed], context[weighed]))
+        """Of a text without any expression, the share of its class among the learning rows."""
+        flat, offsets = lowered(texts)
+        said = np.concatenate([np.bincount(events(flat, offsets[a:b + 1])[2], minlength=b - a) > 0 for a, b in steps(
+            np.diff(offsets))] or [np.zeros(0, bool)])
+        return np.where(said, sigmoid(self.weight * self.difference(texts) + self.constant), self.share)
+
+
+@dataclass
+class Sample:
+    """Counts of both classes over the names that either has: expressions, contexts, pairs."""
+
+    words: np.ndarray
+    before: np.ndarray
+    pairs: np.ndarray
+    word_of: np.ndarray
+    context_of: np.ndarray
+    follows: list[np.ndarray]  # by class: predecessors of each expression, as far as it has as many texts
+    texts: list[np.ndarray]  # by class: texts of each expression
+    together: list[np.ndarray]  # by class: texts of each pair
+
+    @staticmethod
+    def of(toxic: list[str], plain: list[str]) -> Sample:
+        classes = [Counts.of(toxic), Counts.of(plain)]
+        words = np.unique(np.concatenate([c.words for c in classes]))
+        before = np.unique(np.concatenate([c.before for c in classes]))
+        pairs, first = np.unique(np.concatenate([c.pairs for c in classes]), return_index=True)
+        return Sample(
+            words, before, pairs, np.searchsorted(words, np.concatenate([c.words for c in classes])[first]),
+            np.searchsorted(before, np.concatenate([c.before for c in classes])[first]),
+            [np.minimum(_sums(words, c.words), _sums(words, c.by_text)) for c in classes],
+            [_sums(words, c.by_text) for c in classes], [_sums(pairs, c.pairs, c.n) for c in classes])
+
+    def expressions(self, even: float) -> tuple[list[np.ndarray], list[float]]:
+        """Probability by class of each expression, and of all that the sample lacks, as one. Where an
+        expression has few predecessors, the number of its texts tells the classes apart."""
+        shared, met = (np.append(sum(x), 1.0) / (sum(x).sum() + 1) for x in (self.follows, self.texts))
+        out = []
+        for follow, texts in zip(self.follows, self.texts, strict=True):
+            taken = _mass(follow)
+            left = np.append(follow - taken, 0.0) + taken.sum() * shared
+            told = _eased(np.append(texts, 0.0), texts.sum() * met, even, 1.0)
+            p = _eased(left, left.sum() * shared, even, told) * shared
+            out.append(p / p.sum())
+        return [p[:-1] for p in out], [float(p[-1]) for p in out]
+
+    def given(self, even: float, known: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Probability by class of each pair's expression after its context, and the back-off weight
+        of each context: what the discounts take from the pairs of both classes together. So how
+        often a class has a context tells nothing by itself, and a pair that is seldom met tells
+        what its expression tells."""
+        size, both = len(self.before), sum(self.together)
+        total = np.bincount(self.context_of, both, size)
+        back = np.bincount(self.context_of, _mass(both), size) / total
+        shared = both / total[self.context_of]
+        alike = sum(self.follows) / (sum(f.sum() for f in self.follows) + 1)
+        out = []
+        for n, word in zip(self.together, known, strict=True):
+            here = np.bincount(self.context_of, n, size)[self.context_of]
+            own = _eased(n, here * shared, even, (word / alike)[self.word_of]) * shared
+            own /= np.bincount(self.context_of, own, size)[self.context_of]
+            weight = back[self.context_of]
+            out.append((1 - weight) * own + weight * word[self.word_of])
+        return out, back
+
+
+def _model(sample: Sample, even: float) -> Model:
+    known, unknown = sample.expressions(even)
+    pairs, _ = sample.given(even, known)
+    nothing = float(np.log(unknown[0] / unknown[1]))
+    told, pair = (np.log(x[0] / x[1]) - nothing for x in (known, pairs))
+    return Model(GramTable(sample.pairs, pair), GramTable(sample.words, told))
+
+
+def _learn(toxic: list[str], plain: list[str], even: float = EVEN[0]) -> Model:
+    return _model(Sample.of(toxic, plain), even)
 
 
 def fit(
@@ -211,18 +277,48 @@ def fit(
     return fit_texts(sample, sizes)
 
 
+def _sides(texts: list[str]) -> np.ndarray:
+    """Which texts, about a fourth, are held back to calibrate: by the least of their shingles, so that
+    copies of a text, and mostly near copies, stay on one side."""
+    flat, offsets = byte_view(arrow_texts(texts))
+    out = np.zeros(len(texts), bool)
+    for a, b in steps(np.diff(offsets)):
+        sets = shingle_sets(flat, offsets[a:b + 1])
+        out[a:b] = [len(s) > 0 and int(mix64(mix64(s).min(keepdims=True))[0]) % 4 == 0 for s in sets]
+    return out if 0 < out.sum() < len(out) else np.arange(len(texts)) % 4 == 0
+
+
 def fit_texts(sample: dict[int, list[str]], sizes: dict[int, int]) -> Model:
-    """Every fourth text calibrates weight and constant and is not counted; the constant carries
-    the class sizes of all learning rows."""
-    learn = {y: [t for i, t in enumerate(x) if i % 4] for y, x in sample.items()}
-    check = {y: x[::4] for y, x in sample.items()}
-    model = _learn(learn[1], learn[0])
-    x = np.concatenate([model.difference(arrow_texts(check[y])) for y in (0, 1)])
+    """About a fourth of the texts are not counted at first: how much the shared counts weigh, which
+    differences are chance, how their mean is read, weight and constant are those that tell these
+    texts best. With these settings the models learn from all texts. The constant carries the class
+    sizes of all learning rows."""
+    learn, check = {}, {}
+    for y, x in sample.items():
+        held = _sides(x)
+        learn[y] = [t for t, h in zip(x, held) if not h]
+        check[y] = [t for t, h in zip(x, held) if h]
+    counted = Sample.of(learn[1], learn[0])
+    texts = [arrow_texts(check[y]) for y in (0, 1)]
     y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
-    weight, constant = logistic_fit(x[:, None], y)
-    shift = np.log(sizes[1] / sizes[0]) - np.log(len(check[1]) / len(check[0]))
-    model.weight, model.constant = float(weight), float(constant + shift)
-    return model
+    best, lowest = (), np.inf
+    for even in EVEN:
+        model = _model(counted, even)
+        for model.least in BANDS:
+            mean = np.concatenate([model.mean(t) for t in texts])
+            for power in POWERS:
+                x = np.sign(mean) * np.abs(mean) ** power
+                weight, constant = logistic_fit(x[:, None], y)
+                p = sigmoid(np.where(y == 1, 1, -1) * (weight * x + constant))
+                if (loss := -np.log(p).mean()) < lowest:
+                    best, lowest = (even, model.least, power, float(weight), float(constant)), loss
+    del counted, model
+    even, least, power, weight, constant = best
+    shift = float(np.log(sizes[1] / sizes[0]) - np.log(len(check[1]) / len(check[0])))
+    out = _learn(sample[1], sample[0], even)
+    out.least, out.power, out.weight, out.constant = least, power, weight, constant + shift
+    out.share = sizes[1] / (sizes[0] + sizes[1])
+    return out
 
 
 def score(df: DataFrame, model: Model | None, text: str = "text", name: str = "toxicity") -> DataFrame:
