@@ -137,21 +137,30 @@ def _long(texts: pa.Array) -> pa.Array:
 
 
 def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, set size, digest of the set and registers of each row."""
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    """id, hash of the text, set size, digest of the set and registers of each row."""
+    rows = named(docs, key, text)
     out = arrow_column(rows, "text", "s", "struct<n:bigint,set:binary,registers:binary>", lambda: _sketch)
-    return out.select("id", "s.n", "s.set", "s.registers")
+    return out.select("id", "said", "s.n", "s.set", "s.registers")
+
+
+def named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """id, text and a hash of the text, which tells apart texts that share an id."""
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("said"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BUCKETS)
 
 
-def _bands(column: pa.Array) -> pa.Array:
+def _band_keys(column: pa.Array) -> np.ndarray:
     """One number per band: its registers, spread with the number of the band."""
     keys = _matrix(column).reshape(len(column), -1, ROWS).copy().view(np.uint64)[:, :, 0]
-    keys = mix64(keys + (np.arange(1, BUCKETS // ROWS + 1, dtype=np.uint64) * MIX)[None, :])
-    flat = pa.array(keys.reshape(-1).view(np.int64))
+    return mix64(keys + (np.arange(1, BUCKETS // ROWS + 1, dtype=np.uint64) * MIX)[None, :])
+
+
+def _bands(column: pa.Array) -> pa.Array:
+    """The numbers of the bands as lists."""
+    flat = pa.array(_band_keys(column).reshape(-1).view(np.int64))
     return pa.ListArray.from_arrays(
         pa.array(np.arange(len(column) + 1, dtype=np.int32) * (BUCKETS // ROWS)), flat)
 
@@ -204,7 +213,7 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a block (or of two blocks of one bucket) in different components whose estimate
-    reaches the bound."""
+    reaches the bound. Two nodes that share several buckets are told by the first of these only."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for group in _groups(batches, ["band", "lo", "hi"]):
         node, comp, side, n = (group[c].to_numpy() for c in ("node", "comp", "block", "n"))
@@ -212,7 +221,10 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         packed = np.frombuffer(b"".join(group["long"].to_pylist()), np.uint8).reshape(len(node), -1)
         rows = np.concatenate([packed >> np.uint8(LONG_BITS), packed & np.uint8((1 << LONG_BITS) - 1)], 1)
+        keys = _band_keys(group["registers"])
         lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
+        own = keys[0] == np.uint64(group["band"][0].as_py() % (1 << 64))
+        own = int(own.argmax())
         one, two = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
         for i in one.tolist():
             near = two if lo != hi else two[two > i]
@@ -221,6 +233,8 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(near):
                 share = ((rows[near] == rows[i]).mean(1) - LONG_CHANCE) / (1 - LONG_CHANCE)
                 near, share = near[share >= LEAST_LONG], share[share >= LEAST_LONG]
+                first = (keys[near, :own] != keys[i, :own]).all(1)
+                near, share = near[first], share[first]
                 found.append((np.full(len(near), node[i]), node[near], share))
         if len(found) > 4096:
             yield _pairs(found)
@@ -275,13 +289,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     component_id is the least key that links of the asked similarity lead to. A text without
     words is linked with nothing; neither is a row whose key is null, which is kept with a null
-    component. Rows that share a key count as one document.
+    component. Rows that share a key are one document, whatever their texts: these lie in one
+    component, and n_shingles is that of the row's own text.
     """
     sketches = stored(sketched(docs, key, text), "sketches")
     full = sketches.where(F.col("id").isNotNull() & (F.col("n") > 0))
     nodes = stored(full.groupBy("set").agg(
-        F.min("id").alias("node"), F.any_value("n").alias("n"),
-        F.any_value("registers").alias("registers")), "nodes")
+        F.min(F.struct("id", "said")).alias("of"), F.any_value("n").alias("n"),
+        F.any_value("registers").alias("registers")).select("set", "of.id", "of.said", "n", "registers"), "nodes")
+    # a node is named by its least id, so that the hub of a bucket is its first text; where texts share
+    # an id, all but one by a hash of the set
+    again = nodes.groupBy("id").agg(F.min("set").alias("first"), F.count("*").alias("times")).where("times > 1")
+    nodes = nodes.join(again.select("id", "first"), "id", "left").withColumn("node", F.when(
+        F.coalesce(F.col("set") == F.col("first"), F.lit(True)), F.col("id")).otherwise(F.xxhash64("set"))).drop("first")
+    nodes = stored(nodes, "nodes")
     sketch = nodes.select("node", "n", "registers")
     bands = arrow_column(sketch, "registers", "bands", "array<bigint>", lambda: _bands).select(
         "node", F.explode("bands").alias("band"))
@@ -297,11 +318,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             .where(F.col("estimate") >= LEAST_ESTIMATE)
             .groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b")))
     best = stored(near, "best")
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = named(docs, key, text)
 
     def texts_with(ids: DataFrame) -> DataFrame:
-        # ids are distinct; a semi join would be moved below the filter, and all texts shuffled
-        return likely(rows, ids).join(ids, "id").groupBy("id").agg(
+        """Nodes (as id) with a text of theirs. The nodes are distinct; a semi join would be moved
+        below the filter, and all texts shuffled."""
+        of = stored(nodes.select("node", "id", "said").join(ids.select(F.col("id").alias("node")), "node"), "asked")
+        return likely(rows, of).join(of, ["id", "said"]).groupBy(F.col("node").alias("id")).agg(
             F.any_value("text").alias("text"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -322,15 +345,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     member = stored(member.join(mixed, "band"), "members")
     ids = member.select(F.col("node").alias("id")).distinct()
     long = stored(arrow_column(texts_with(ids), "text", "long", "binary", lambda: _long).select(
-        F.col("id").alias("node"), "long").join(sketch.select("node", "n"), "node"), "long")
+        F.col("id").alias("node"), "long").join(sketch, "node"), "long")
     order = ["band", "lo", "hi"]
     dealt = (member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("band", "node", "comp", "block", F.least("block", "other").alias("lo"),
                      F.greatest("block", "other").alias("hi"))
              .join(long, "node").repartition(*order).sortWithinPartitions(*order))
-    late = stored(dealt.select(*order, "node", "comp", "block", "n", "long").mapInArrow(
-        _block_pairs, "a bigint, b bigint, estimate double").distinct(), "late")
+    late = stored(dealt.select(*order, "node", "comp", "block", "n", "long", "registers").mapInArrow(
+        _block_pairs, "a bigint, b bigint, estimate double"), "late")
 
     late = relabelled(late.withColumns({"x": F.col("a"), "y": F.col("b")}), placed, ["x", "y"])
     each = FIRST
@@ -349,9 +372,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             placed = stored(relabelled(placed, merged, ["component"]), "placed")
             late = relabelled(late, merged, ["x", "y"])
 
-    of_set = nodes.select("set", "node").join(placed, "node", "left").select(
-        "set", F.coalesce("component", "node").alias("component"))
+    of_set = stored(nodes.select("set", "node", "id").join(placed, "node", "left").select(
+        "set", "id", F.coalesce("component", "node").alias("component")), "sets")
+    shared = full.groupBy("id").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo <> hi").select("id")
+    of_id = stored(full.join(shared, "id").select("id", "set").distinct().join(
+        of_set.drop("id"), "set").groupBy("id").agg(
+            F.min("component").alias("b"), F.collect_set("component").alias("all")).select(
+                F.explode("all").alias("a"), "b"), "same ids")
+    if not of_id.isEmpty():
+        of_set = relabelled(of_set, stored(components(of_id), "merged"), ["component"])
+    # a component's name is the least key of its rows
+    least = stored(of_set.groupBy("component").agg(F.min("id").alias("component_id")), "least")
+    of_set = of_set.join(least, "component").select("set", "component_id")
     return (sketches.select("id", "n", "set").join(of_set, "set", "left")
             .select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
-                    F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+                    F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
             .withColumn("kept", F.col(key).eqNullSafe(F.col("component_id"))))

@@ -110,6 +110,18 @@ def plain_components(rows):
     return [(i, len(s), top(i), top(i) == i) for i, s in sets]
 
 
+def test_texts_that_share_an_id(spark):
+    """Both texts of an id are compared; what is like either is one component."""
+    one, two, other = ([f"{w}{i}" for i in range(60)] for w in "abc")
+    like = lambda words, n: " ".join([*words[:-n], *["new"] * n])
+    rows = [(9, " ".join(one)), (5, like(one, 3)), (5, like(two, 2)), (7, " ".join(two)), (8, " ".join(other)),
+            (5, None), (6, "a short one"), (6, "a short one"), (6, ""), (None, " ".join(one))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in near_dup.near_duplicates(df).collect()), key=repr)
+    assert got == sorted([(9, 56, 5, False), (5, 56, 5, True), (5, 56, 5, True), (5, 0, 5, True), (7, 56, 5, False),
+                          (8, 56, 8, True), (6, 1, 6, True), (6, 1, 6, True), (6, 0, 6, True), (None, 56, None, True)], key=repr)
+
+
 def test_near_duplicates(docs, empty):
     got = [tuple(r) for r in near_dup.near_duplicates(docs).collect()]
     assert (None, 8, None, True) in got
