@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from jobtide.llm.chunks import BUCKET_BYTES, answers_of, chunks, packed, unpacked
 from jobtide.llm.common import arrow_column, byte_view, release, steps, word_hashes
 
+AT_ONCE = 4096
+
+
 @cache
 def _tokenizer(text: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,9 +90,12 @@ def _answers(sent, kind: str):
                     release()
                 words = open_.decompress(packed_words.as_py()).split(b"\n")
                 new = [w for w in words if w not in known]
-                for w, code in zip(new, coder.encode_batch_fast(
-                        [w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-                    known[w] = np.array(code.ids, kind).tobytes()
+                # the library returns far more for a word than its ids
+                for i in range(0, len(new), AT_ONCE):
+                    part = new[i:i + AT_ONCE]
+                    for w, code in zip(part, coder.encode_batch_fast(
+                            [w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
+                        known[w] = np.array(code.ids, kind).tobytes()
                 codes = [known[w] for w in words]
                 sizes = np.array([len(c) for c in codes], "<u4").tobytes()
                 out.append(press.compress(sizes + b"".join(codes)))
@@ -119,8 +125,9 @@ def _joined(n: int, kind: str):
             at = place[codes]
             del words, codes
             lens = sizes[at]
-            take = np.repeat((np.cumsum(sizes) - sizes)[at] - (np.cumsum(lens) - lens), lens)
-            take += np.arange(len(take))
+            small = np.int32 if max(len(flat), int(lens.sum())) < 1 << 31 else np.int64
+            take = np.repeat(((np.cumsum(sizes) - sizes)[at] - (np.cumsum(lens) - lens)).astype(small), lens)
+            take += np.arange(len(take), dtype=small)
             ids = flat[take].astype("<u4")
             ends = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)])]
             coded = pa.Array.from_buffers(
@@ -156,10 +163,10 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             .select(F.col("id").alias(key), "ids"))
 
 
-def _pieces(text: str) -> pa.Array:
+def _pieces(text: str) -> list[str]:
     coder = _tokenizer(text)
     size = coder.get_vocab_size(with_added_tokens=True)
-    return pa.array([coder.id_to_token(i) or "" for i in range(size)], pa.string())
+    return [coder.id_to_token(i) or "" for i in range(size)]
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", name: str = "text") -> DataFrame:
@@ -170,10 +177,10 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", name: str = "text") ->
     text, and so does null.
     """
     with open(path, encoding="utf-8") as f:
-        sent = coded.sparkSession.sparkContext.broadcast(f.read())
+        sent = coded.sparkSession.sparkContext.broadcast(_pieces(f.read()))
 
     def make():
-        pieces = _pieces(sent.value)
+        pieces = pa.array(sent.value, pa.string())
 
         def run(column: pa.Array) -> pa.Array:
             flat, offsets = byte_view(column)
