@@ -14,10 +14,10 @@ from jobtide.llm.common import stored, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the voting rules keep; the rules learn from all rows given."""
-    right = quality_rules.learn(quality_rules.counts(docs.select("text")))
     names = [f"`{c}`" for c in docs.columns]
     row = docs.select(F.struct(*names).alias("_row"), "text")
-    return quality_rules.judge(quality_rules.counts(row), right).where("kept").select("_row.*")
+    counted = stored(quality_rules.counts(row).drop("text"), "counted")
+    return quality_rules.judge(counted, quality_rules.learn(counted)).where("kept").select("_row.*")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
