@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.common import (
     MIX, GramTable, arrow_column, arrow_texts, byte_view, learning_rows, logistic_fit,
-    mix64, sigmoid, steps, word_hashes,
+    mix64, release, sigmoid, steps, word_hashes,
 )
 from jobtide.llm.near_dup import shingle_sets
 
 EVEN = (1.0, 2.0, 4.0, 8.0)  # counts of the shared distribution that stand against those of a class
 BANDS = (0.5, 0.75, 1.0, 1.25, 1.5)  # differences that count as chance
 POWERS = (1.0, 0.5)
+STEP = 256 << 10
 PER_CLASS, CLASS_BYTES = 2500, 8 << 20
 
 
@@ -119,13 +120,17 @@ class Counts:
     def of(texts: list[str]) -> Counts:
         flat, offsets = lowered(arrow_texts(texts))
         found = []
-        for a, b in steps(np.diff(offsets)):
+        for a, b in steps(np.diff(offsets), STEP):
             pairs, words, rows, before = events(flat, offsets[a:b + 1])
             at = _once(pairs, rows)
             found.append((pairs[at], words[at], before[at], words[_once(words, rows)]))
         pairs, words, before, by_text = (np.concatenate(x) for x in zip(*found, strict=True))
+        del found
         pairs, first, n = np.unique(pairs, return_index=True, return_counts=True)
-        return Counts(pairs, n, words[first], before[first], by_text)
+        out = Counts(pairs, n.astype(np.int32), words[first], before[first], by_text)
+        del words, before, first
+        release()
+        return out
 
 
 def _sums(names: np.ndarray, keys: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
@@ -173,7 +178,7 @@ class Model:
         """Mean difference per expression of each whole text; 0 for a text without any."""
         flat, offsets = lowered(texts)
         out = np.zeros(len(texts))
-        for a, b in steps(np.diff(offsets)):
+        for a, b in steps(np.diff(offsets), STEP):
             pairs, words, rows, _ = events(flat, offsets[a:b + 1])
             value, seen = self.by_pair.get(pairs)
             value = np.where(seen, value, self.by_word.get(words)[0])
@@ -191,7 +196,7 @@ class Model:
         """Of a text without any expression, the share of its class among the learning rows."""
         flat, offsets = lowered(texts)
         said = np.concatenate([np.bincount(events(flat, offsets[a:b + 1])[2], minlength=b - a) > 0 for a, b in steps(
-            np.diff(offsets))] or [np.zeros(0, bool)])
+            np.diff(offsets), STEP)] or [np.zeros(0, bool)])
         return np.where(said, sigmoid(self.weight * self.difference(texts) + self.constant), self.share)
 
 
@@ -213,12 +218,19 @@ class Sample:
         classes = [Counts.of(toxic), Counts.of(plain)]
         words = np.unique(np.concatenate([c.words for c in classes]))
         before = np.unique(np.concatenate([c.before for c in classes]))
-        pairs, first = np.unique(np.concatenate([c.pairs for c in classes]), return_index=True)
-        return Sample(
-            words, before, pairs, np.searchsorted(words, np.concatenate([c.words for c in classes])[first]),
-            np.searchsorted(before, np.concatenate([c.before for c in classes])[first]),
-            [np.minimum(_sums(words, c.words), _sums(words, c.by_text)) for c in classes],
-            [_sums(words, c.by_text) for c in classes], [_sums(pairs, c.pairs, c.n) for c in classes])
+        texts = [_sums(words, c.by_text) for c in classes]
+        follows = [np.minimum(_sums(words, c.words), t) for c, t in zip(classes, texts, strict=True)]
+        word_of = [np.searchsorted(words, c.words).astype(np.int32) for c in classes]
+        context_of = [np.searchsorted(before, c.before).astype(np.int32) for c in classes]
+        counts = [(c.pairs, c.n) for c in classes]
+        del classes
+        release()
+        pairs, first = np.unique(np.concatenate([x for x, _ in counts]), return_index=True)
+        out = Sample(words, before, pairs, np.concatenate(word_of)[first], np.concatenate(context_of)[first],
+                     follows, texts, [_sums(pairs, x, n).astype(np.float32) for x, n in counts])
+        del first, counts, word_of, context_of
+        release()
+        return out
 
     def expressions(self, even: float) -> tuple[list[np.ndarray], list[float]]:
         """Probability by class of each expression, and of all that the sample lacks, as one. Where an
@@ -241,15 +253,17 @@ class Sample:
         size, both = len(self.before), sum(self.together)
         total = np.bincount(self.context_of, both, size)
         back = np.bincount(self.context_of, _mass(both), size) / total
-        shared = both / total[self.context_of]
+        shared = both / total.astype(np.float32)[self.context_of]
         alike = sum(self.follows) / (sum(f.sum() for f in self.follows) + 1)
         out = []
         for n, word in zip(self.together, known, strict=True):
-            here = np.bincount(self.context_of, n, size)[self.context_of]
-            own = _eased(n, here * shared, even, (word / alike)[self.word_of]) * shared
-            own /= np.bincount(self.context_of, own, size)[self.context_of]
-            weight = back[self.context_of]
-            out.append((1 - weight) * own + weight * word[self.word_of])
+            here = np.bincount(self.context_of, n, size).astype(np.float32)[self.context_of]
+            own = _eased(n, here * shared, even, (word / alike).astype(np.float32)[self.word_of]) * shared
+            own /= np.bincount(self.context_of, own, size).astype(np.float32)[self.context_of]
+            weight = back.astype(np.float32)[self.context_of]
+            out.append((1 - weight) * own + weight * word.astype(np.float32)[self.word_of])
+            del own, here, weight
+            release()
         return out, back
 
 
@@ -258,7 +272,10 @@ def _model(sample: Sample, even: float) -> Model:
     pairs, _ = sample.given(even, known)
     nothing = float(np.log(unknown[0] / unknown[1]))
     told, pair = (np.log(x[0] / x[1]) - nothing for x in (known, pairs))
-    return Model(GramTable(sample.pairs, pair), GramTable(sample.words, told))
+    # what is nothing in the narrowest band need not be known, nor a pair without its expression
+    tells = np.abs(told) > BANDS[0]
+    kept = (np.abs(pair) > BANDS[0]) | tells[sample.word_of]
+    return Model(GramTable(sample.pairs[kept], pair[kept]), GramTable(sample.words[tells], told[tells]))
 
 
 def _learn(toxic: list[str], plain: list[str], even: float = EVEN[0]) -> Model:
@@ -282,7 +299,7 @@ def _sides(texts: list[str]) -> np.ndarray:
     copies of a text, and mostly near copies, stay on one side."""
     flat, offsets = byte_view(arrow_texts(texts))
     out = np.zeros(len(texts), bool)
-    for a, b in steps(np.diff(offsets)):
+    for a, b in steps(np.diff(offsets), STEP):
         sets = shingle_sets(flat, offsets[a:b + 1])
         out[a:b] = [len(s) > 0 and int(mix64(mix64(s).min(keepdims=True))[0]) % 4 == 0 for s in sets]
     return out if 0 < out.sum() < len(out) else np.arange(len(texts)) % 4 == 0
@@ -302,7 +319,9 @@ def fit_texts(sample: dict[int, list[str]], sizes: dict[int, int]) -> Model:
     texts = [arrow_texts(check[y]) for y in (0, 1)]
     y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
     best, lowest = (), np.inf
+    model = None
     for even in EVEN:
+        del model
         model = _model(counted, even)
         for model.least in BANDS:
             mean = np.concatenate([model.mean(t) for t in texts])
@@ -312,12 +331,14 @@ def fit_texts(sample: dict[int, list[str]], sizes: dict[int, int]) -> Model:
                 p = sigmoid(np.where(y == 1, 1, -1) * (weight * x + constant))
                 if (loss := -np.log(p).mean()) < lowest:
                     best, lowest = (even, model.least, power, float(weight), float(constant)), loss
-    del counted, model
+    del counted, model, texts
+    release()
     even, least, power, weight, constant = best
     shift = float(np.log(sizes[1] / sizes[0]) - np.log(len(check[1]) / len(check[0])))
     out = _learn(sample[1], sample[0], even)
     out.least, out.power, out.weight, out.constant = least, power, weight, constant + shift
     out.share = sizes[1] / (sizes[0] + sizes[1])
+    release()
     return out
 
 
