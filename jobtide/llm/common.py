@@ -114,6 +114,7 @@ def arrow_column(
         work = make()
         for batch in batches:
             yield work(batch)
+            release()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     udf = F.arrow_udf(run, kind).asNondeterministic()
