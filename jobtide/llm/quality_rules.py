@@ -2,10 +2,15 @@
 
 Each rule looks at counts of a text and votes good (1), bad (-1) or abstains (0). The votes of
 all texts fold into a table of vote patterns (at most 3 ** number of rules rows), on which
-expectation-maximisation estimates how often the votes of each rule are right, which decides how
-sure a verdict is. Share and accuracies are held in bounds (GOOD, BAD_RIGHT, GOOD_RIGHT), and
-within these one bad vote always outweighs the one rule that can vote good: a text is kept if and
-only if no rule votes bad and BASE_FAILED does not hold. Only the probability depends on the data.
+expectation-maximisation estimates the share of good texts and, for each rule, how often it is
+right on good and on bad texts where it votes. A text is kept if its posterior of being good is
+at least a half and BASE_FAILED does not hold; no rule decides by itself, so that a bad vote of a
+rule that errs can be outvoted, and several weak ones can reject. Abstentions say nothing.
+
+Votes alone cannot tell good from bad, so the estimate starts from rules that are seldom wrong on
+good texts and see a part of the bad ones (GOOD, START), which count as PRIOR votes.
+A null text counts as empty; rows are judged one by one, repeated ones alike; an empty table gives
+the start values and no rows.
 """
 
 from __future__ import annotations
@@ -19,9 +24,10 @@ BREAKS = "\\x20\\x09-\\x0D"
 SYMBOLS = "#*$%&|<>"
 COMMON = ["the", "of", "and", "to", "in", "de", "la", "le", "et", "der", "die", "und", "el",
           "que", "en", "a", "is"]
-ROUNDS = 20
-GOOD = 0.8  # share of good texts
-BAD_RIGHT, GOOD_RIGHT = (0.9, 0.98), (0.55, 0.65)
+ROUNDS = 30
+GOOD = 0.8  # start value of the share of good texts
+START = (0.98, 0.3)  # start values: how often a rule is right on good texts, on bad texts
+PRIOR = 10.0  # votes that the start values count as
 PLACE = 20  # bits of a position beside the leading bits of a hash
 TEXT = "_text"
 INNER = (TEXT, "_words", "_lines", "_marks", "_hashes", "_windows")
@@ -94,73 +100,68 @@ def counts(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in names], *[v.alias(k) for k, v in values.items()])
 
 
-def _vote(bad: str, good: str = "false") -> str:
+def _vote(bad: str, good: str) -> str:
     return f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END"
 
 
 # SQL over the counts; the same text runs in Spark and in the SQL twin
 RULES = {
-    "symbols": _vote("10 * n_symbols > n_words"),
-    "repeats": _vote("10 * n_repeat_words > 3 * n_words"),
-    "dup_lines": _vote("n_lines >= 5 AND 2 * n_dup_lines > n_lines"),
-    "length": _vote("word_chars < 2 * n_words OR word_chars > 15 * n_words"),
-    "upper": _vote("2 * n_upper > word_chars"),
-    "marks": _vote("10 * n_marks > n_words"),
-    "common": _vote("false", "n_common >= 3"),
+    "symbols": _vote("10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    "repeats": _vote("10 * n_repeat_words > 3 * n_words", "10 * n_repeat_words <= n_words"),
+    "dup_lines": _vote("n_lines >= 5 AND 2 * n_dup_lines > n_lines", "n_lines >= 5 AND 10 * n_dup_lines <= n_lines"),
+    "length": _vote("word_chars < 2 * n_words OR word_chars > 15 * n_words",
+                    "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
+    "upper": _vote("2 * n_upper > word_chars", "10 * n_upper <= word_chars"),
+    "marks": _vote("10 * n_marks > n_words", "50 * n_marks <= n_words"),
+    "common": _vote("n_words >= 100 AND n_common <= 1", "n_common >= 4"),
 }
 BASE_FAILED = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
 
-# how often the bad and the good votes of a rule are right
-Right = tuple[float, float]
+# the share of good texts, and how often each rule is right on good and on bad texts
+Right = tuple[float, list[tuple[float, float]]]
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> list[Right]:
-    """How often the bad and the good votes of each rule are right, by expectation-maximisation
-    over the vote patterns and their numbers of texts. The share of good texts is given, and the
-    estimates stay within BAD_RIGHT and GOOD_RIGHT: most defects show up in one rule only, so
-    that nothing in the votes alone tells a rare defect from a bad rule."""
-    middle = (sum(BAD_RIGHT) / 2, sum(GOOD_RIGHT) / 2)
-    right = [middle] * len(RULES)
+def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> Right:
+    """Share and accuracies by expectation-maximisation over the vote patterns and their numbers
+    of texts."""
+    right = (GOOD, [START] * len(RULES))
     for _ in range(ROUNDS):
-        seen = [[0.0] * 4 for _ in RULES]
+        good, texts = GOOD * PRIOR, PRIOR
+        hit = [[g * PRIOR, b * PRIOR] for g, b in [START] * len(RULES)]
+        seen = [[PRIOR, PRIOR] for _ in RULES]
         for votes, n in patterns:
             p = posterior(votes, right)
-            for row, v in zip(seen, votes, strict=True):
-                if v < 0:
-                    row[0] += n
-                    row[1] += n * (1 - p)
-                elif v > 0:
-                    row[2] += n
-                    row[3] += n * p
-        right = [(_held(row[1], row[0], BAD_RIGHT, old[0]), _held(row[3], row[2], GOOD_RIGHT, old[1]))
-                 for row, old in zip(seen, right, strict=True)]
+            good, texts = good + n * p, texts + n
+            for h, s, v in zip(hit, seen, votes, strict=True):
+                if v:
+                    s[0] += n * p
+                    s[1] += n * (1 - p)
+                    h[v < 0] += n * (p if v > 0 else 1 - p)
+        right = (good / texts, [(h[0] / s[0], h[1] / s[1]) for h, s in zip(hit, seen, strict=True)])
     return right
 
 
-def _held(part: float, total: float, bounds: Right, old: float) -> float:
-    return min(max(part / total, bounds[0]), bounds[1]) if total else old
-
-
-def weights(right: list[Right]) -> tuple[float, list[Right]]:
+def weights(right: Right) -> tuple[float, list[tuple[float, float]]]:
     """Log odds of a good text without votes, and what a bad and a good vote of each rule adds."""
-    return math.log(GOOD / (1 - GOOD)), [
-        (math.log((1 - bad) / bad), math.log(good / (1 - good))) for bad, good in right]
+    share, rules = right
+    return math.log(share / (1 - share)), [
+        (math.log((1 - good) / bad), math.log(good / (1 - bad))) for good, bad in rules]
 
 
-def posterior(votes: tuple[int, ...], right: list[Right]) -> float:
+def posterior(votes: tuple[int, ...], right: Right) -> float:
     start, each = weights(right)
     odds = start + sum(w[v > 0] for v, w in zip(votes, each, strict=True) if v)
     return 1 / (1 + math.exp(-odds))
 
 
-def learn(counted: DataFrame) -> list[Right]:
+def learn(counted: DataFrame) -> Right:
     """Run the estimate over the vote patterns of all rows."""
     votes = counted.select(*[F.expr(rule).alias(name) for name, rule in RULES.items()])
     found = votes.groupBy(*RULES).count().collect()  # at most 3 ** len(RULES) rows
     return estimate(sorted((tuple(row[:-1]), row[-1]) for row in found))
 
 
-def judge(counted: DataFrame, right: list[Right]) -> DataFrame:
+def judge(counted: DataFrame, right: Right) -> DataFrame:
     """Add base_failed, quality (the posterior) and kept to rows with counts."""
     start, each = weights(right)
     odds = F.lit(start)

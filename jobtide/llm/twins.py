@@ -29,27 +29,28 @@ votes AS (SELECT * EXCLUDE (chars, word_chars), word_chars, {{votes}}
 
 
 def quality_rules() -> str:
-    rules = list(q.RULES)
-    n = len(rules)
+    """The rounds of the estimate as one row each: share s, accuracies g and b of each rule."""
+    rules = range(len(q.RULES))
     votes = ", ".join(f"{rule} AS v{j}" for j, rule in enumerate(q.RULES.values()))
-    start = ", ".join(f"{sum(q.BAD_RIGHT) / 2}::DOUBLE AS b{j}, {sum(q.GOOD_RIGHT) / 2}::DOUBLE AS g{j}"
-                      for j in range(n))
-    odds = f"ln({q.GOOD} / (1 - {q.GOOD}))" + "".join(
-        f" + CASE WHEN v{j} < 0 THEN ln((1 - b{j}) / b{j}) WHEN v{j} > 0 THEN ln(g{j} / (1 - g{j})) ELSE 0 END"
-        for j in range(n))
-
-    def right(j: int, name: str, sign: str, part: str, bounds: tuple[float, float]) -> str:
-        at = f"FILTER (WHERE v{j} {sign} 0)"
-        return (f"coalesce(least(greatest(sum(n * ({part})) {at} / sum(n) {at}, {bounds[0]}), "
-                f"{bounds[1]}), any_value({name}{j}), 0.9) AS {name}{j}")
-
-    each = ", ".join(right(j, "b", "<", "1 - p", q.BAD_RIGHT) + ", "
-                     + right(j, "g", ">", "p", q.GOOD_RIGHT) for j in range(n))
+    start = f"{q.GOOD}::DOUBLE AS s, " + ", ".join(
+        f"{q.START[0]}::DOUBLE AS g{j}, {q.START[1]}::DOUBLE AS b{j}" for j in rules)
+    odds = "ln(s / (1 - s))" + "".join(
+        f" + CASE WHEN v{j} < 0 THEN ln((1 - g{j}) / b{j}) WHEN v{j} > 0 THEN ln(g{j} / (1 - b{j})) ELSE 0 END"
+        for j in rules)
+
+    def part(value: float, mass: str, hit: str, seen: str) -> str:
+        return (f"({value * q.PRIOR} + coalesce(sum({mass}) FILTER (WHERE {hit}), 0))"
+                f" / ({q.PRIOR} + coalesce(sum({mass}) FILTER (WHERE {seen}), 0))")
+
+    every = f"({q.GOOD * q.PRIOR} + coalesce(sum(n * p), 0)) / ({q.PRIOR} + coalesce(sum(n), 0)) AS s"
+    each = ", ".join([every, *[
+        f"{part(q.START[0], 'n * p', f'v{j} > 0', f'v{j} <> 0')} AS g{j}, "
+        f"{part(q.START[1], 'n * (1 - p)', f'v{j} < 0', f'v{j} <> 0')} AS b{j}" for j in rules]])
     rounds = "".join(
         f",\nr{k + 1} AS (SELECT {each} FROM (SELECT *, 1 / (1 + exp(-({odds}))) AS p FROM patterns, r{k}))"
         for k in range(q.ROUNDS))
     return f"""WITH {COUNTS.replace("{votes}", votes)},
-patterns AS MATERIALIZED (SELECT {", ".join(f"v{j}" for j in range(n))}, count(*) AS n FROM votes GROUP BY ALL),
+patterns AS MATERIALIZED (SELECT {", ".join(f"v{j}" for j in rules)}, count(*) AS n FROM votes GROUP BY ALL),
 r0 AS (SELECT {start}){rounds}
 SELECT doc_id, {", ".join(q.COUNTS)}, {q.BASE_FAILED} AS base_failed,
   NOT {q.BASE_FAILED} AND ({odds}) >= 0 AS kept FROM votes, r{q.ROUNDS}"""
