@@ -1,9 +1,9 @@
 """Matching users with listings, skill ranking and the daily digest.
 
 The listing side is the pool of the newest listings, a fixed number of rows by definition; users
-are the side that grows. The pair work is an equi-join on seniority, not a product. A pool is
-sent to every task once its row count has been checked; a larger listing side is joined through
-salted keys instead.
+are the side that grows. The pair work is an equi-join on seniority, not a product, and where only
+passing pairs are wanted on seniority and a value that both have. A pool is sent to every task
+once its row count has been checked; a larger listing side is joined through salted keys instead.
 """
 
 from __future__ import annotations
@@ -139,10 +139,8 @@ def _misses() -> Column:
     )
 
 
-def match(pool: DataFrame, users: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs whose seniority fits, with the number of missed filters and the verdict.
-
-    `keep` names further user columns to carry along.
+def _sides(pool: DataFrame, users: DataFrame, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Listings and users by the key of seniority.
 
     Seniority is a hard filter, so it is the join key: each user is listed under every accepted
     seniority, or under 'any' if the list is empty; each listing under its own and under 'any'.
@@ -151,19 +149,75 @@ def match(pool: DataFrame, users: DataFrame, keep: tuple[str, ...] = ()) -> Data
         "_key", F.explode(F.array(F.concat(F.lit("="), "_seniority"), F.lit("any"))))
     accepted = F.array_distinct(F.transform("seniorities", lambda s: F.concat(F.lit("="), s)))
     keys = F.when(F.size("seniorities") > 0, accepted).otherwise(F.array(F.lit("any")))
-    wanted = users.select(
+    return side, users.select(
         "chat_id", *keep, *[c.alias(n) for n, c in _user_side(F.col).items()],
         F.explode(keys).alias("_key"))
+
+
+def _paired(pool: DataFrame, side: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     if is_small(pool):
-        pairs = wanted.join(F.broadcast(side), "_key")
-    else:
-        # few seniorities, many users: spread the users of each
-        pairs = salted_join(wanted, side, ["_key"], F.col("chat_id"), salts=64)
+        return wanted.join(F.broadcast(side), keys)
+    # few keys, many users: spread the users of each
+    return salted_join(wanted, side, keys, F.col("chat_id"), salts=64)
+
+
+def match(pool: DataFrame, users: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs whose seniority fits, with the number of missed filters and the verdict.
+
+    `keep` names further user columns to carry along.
+    """
+    pairs = _paired(pool, *_sides(pool, users, keep), ["_key"])
     return (pairs.withColumn("mismatches", _misses())
             .withColumn("passes", F.col("mismatches") <= F.col("_tolerance"))
             .select("chat_id", *keep, *pool.columns, "mismatches", "passes"))
 
 
+# filters of which a value can be looked up, those that tell most apart first, and what they look at
+_LOOKED_UP = {
+    "technologies": "_techs", "cities": "_cities", "categories": "array(_category)",
+    "employment_types": "_types", "workplace_types": "array(_workplace)",
+}
+EVERY, UNKNOWN = "", "?"
+
+
+def _postings(name: str, values: Column) -> Column:
+    return F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: F.concat(F.lit(f"{name}="), v))
+
+
+def candidates(pool: DataFrame, users: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of fitting seniority that may pass, each once.
+
+    A user who tolerates t misses passes a listing only if at least one of any t + 1 active
+    filters is hit. So listings are posted under each of their values, users look up the values of
+    their first t + 1 filters, and users with at most t filters all listings. A null among the
+    wanted values, or among a listing's, is never a miss: such a filter is passed over, and such a
+    listing is looked up by everybody.
+    """
+    side, wanted = _sides(pool, users, keep)
+    unknown = F.exists(F.concat("_techs", "_types", "_cities"), lambda v: v.isNull())
+    posted = F.array_distinct(F.concat(
+        F.array(F.lit(EVERY)), F.when(unknown, F.array(F.lit(UNKNOWN))).otherwise(no_strings()),
+        *[_postings(name, F.expr(values)) for name, values in _LOOKED_UP.items()]))
+    asked = F.filter(F.array(*[
+        F.when(~F.exists(f"_want_{n}", lambda v: v.isNull()), _postings(n, F.col(f"_want_{n}")))
+        for n in _LOOKED_UP]), lambda values: F.size(values) > 0)
+    first = F.slice("_asked", 1, F.greatest(F.col("_tolerance") + 1, F.lit(0)).cast("int"))
+    wanted = wanted.withColumn("_asked", asked).withColumn("_asked", F.when(
+        F.size("_asked") > F.col("_tolerance"), F.concat(F.flatten(first), F.array(F.lit(UNKNOWN))))
+        .otherwise(F.array(F.lit(EVERY)))).withColumn("_hit", F.explode("_asked"))
+    side = side.withColumn("_posted", posted).withColumn("_hit", F.explode("_posted"))
+    pairs = _paired(pool, side, wanted, ["_key", "_hit"])
+    # a pair that meets under several values is told under the first that the user asked for
+    return pairs.where(F.col("_hit") == F.get(F.array_intersect("_asked", "_posted"), F.lit(0)))
+
+
+def passing(pool: DataFrame, users: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The pairs of `match` that pass, found among the candidates only."""
+    return (candidates(pool, users, keep).withColumn("mismatches", _misses())
+            .where(F.col("mismatches") <= F.col("_tolerance"))
+            .select("chat_id", *keep, *pool.columns, "mismatches"))
+
+
 def judge(listings: DataFrame, config: dict) -> DataFrame:
     """One user's verdict on every listing of any frame; -1 where the seniority does not fit.
 
@@ -230,7 +284,7 @@ def _prepared(pool: DataFrame, users: DataFrame, log: DataFrame, caps: DataFrame
     """
     side = (users.join(caps.select("chat_id", "cap"), "chat_id", "left")
             .join(_listed_before(log, pool), "chat_id", "left"))
-    return match(pool, side, ("cap", "skills", "_listed")).where("passes").drop("passes")
+    return passing(pool, side, ("cap", "skills", "_listed"))
 
 
 def _unlisted() -> Column:

@@ -569,8 +569,8 @@ def skill_list_edits(t: Tables) -> DataFrame:
 
 @query
 def match(t: Tables) -> DataFrame:
-    return matching.match(t.pool(), t.users()).where("passes").select(
-        "chat_id", "listing_id", "pool_rank", "mismatches", "passes")
+    return matching.passing(t.pool(), t.users()).select(
+        "chat_id", "listing_id", "pool_rank", "mismatches", F.lit(True).alias("passes"))
 
 
 @query
@@ -584,8 +584,7 @@ def judge_listings(t: Tables) -> DataFrame:
 @query
 def rank_by_skills(t: Tables) -> DataFrame:
     users = t.users()
-    fits = matching.match(t.pool(), users).where("passes")
-    return matching.rank_by_skills(fits, users).select(
+    return matching.rank_by_skills(matching.passing(t.pool(), users), users).select(
         "chat_id", "listing_id", "pool_rank", "match_pct", "matched_skills")
 
 

@@ -1,5 +1,6 @@
 """Known answers on small marts."""
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -178,6 +179,36 @@ def test_match_agrees_with_judge(spark, snapshot):
                 assert got[u[0], r.listing_id] == (r.passes, r.mismatches)
 
 
+def test_passing_pairs_come_from_few_candidates(spark, monkeypatch):
+    """Passing pairs are those of all pairs of a seniority, each once, with nulls in either side's
+    lists; few more are formed, also where the listings are not sent to every task."""
+    rng = random.Random(5)
+
+    def some(kind, most, null=0.0):
+        values = rng.sample([f"{kind}{i}" for i in range(40)], rng.randint(0, most))
+        return [None if rng.random() < null else v for v in values]
+
+    rows = [(f"l{i}", rng.choice(["junior", "mid", None]), some("t", 4), rng.choice(["c1", "c2", None]),
+             rng.choice(["remote", "office"]), rng.choice(["b2b", None]), rng.choice([some("x", 3, 0.05), None]),
+             rng.choice([None, 5000.0, 9000.0])) for i in range(200)]
+    pool = spark.createDataFrame(rows, (
+        "listing_id string, seniority string, technologies array<string>, category string, workplace_type string, "
+        "employment_type string, cities array<string>, salary_max double"))
+    users = [(str(u), rng.choice([[], ["mid"], ["mid", "junior"]]), some("T", 5, 0.05), some("c", 3), rng.choice([[], ["remote"]]),
+              rng.choice([[], ["B2B"]]), some("X", 4), [], rng.choice([0, 6000]), rng.choice([0, 0, 1, 2, 6, -3, None]))
+             for u in range(120)]
+    users = spark.createDataFrame(users, USERS_DDL)
+    every = matching.match(pool, users)
+    want = sorted((r.chat_id, r.listing_id, r.mismatches) for r in every.where("passes").collect())
+    for small in (True, False):
+        monkeypatch.setattr(matching, "is_small", lambda df, small=small: small)
+        got = matching.passing(pool, users).select("chat_id", "listing_id", "mismatches").collect()
+        assert sorted(map(tuple, got)) == want and len(want) > 1000
+    strict = users.where("tolerance = 0 and size(technologies) > 0 and not exists(technologies, t -> t is null)")
+    formed, kept = matching.candidates(pool, strict).count(), matching.passing(pool, strict).count()
+    assert kept <= formed < 0.35 * matching.match(pool, strict).count()
+
+
 def test_rank_by_skills(spark):
     df = spark.createDataFrame([("u", "a", ["Python", "Django"]), ("u", "b", ["Python", "SQL", "Airflow"]),
                                 ("u", "c", ["Java"]), ("v", "a", ["Python"]), ("u", "d", None)],
