@@ -43,7 +43,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the voting rules for every document."""
     counted = stored(quality_rules.counts(
-        table(spark, sf_dir, "documents").select("doc_id", "text")), "counts")
+        table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "counts")
     judged = quality_rules.judge(counted, quality_rules.learn(counted))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
