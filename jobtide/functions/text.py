@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
+import unicodedata
+import zlib
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def no_strings() -> Column:
     return F.array().cast("array<string>")
 
@@ -41,26 +44,75 @@ def canonical_skills(skills: Column, aliases: dict[str, str]) -> Column:
     return F.coalesce(F.array_sort(F.array_distinct(named)), no_strings())
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also where a lambda inside reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _is_word(sign: str) -> bool:
+    """What `(?U)\\w` takes."""
+    kind = unicodedata.category(sign)
+    return kind[0] in "LM" or kind in ("Nd", "Nl", "Pc") or sign in "\u200c\u200d"
+
+
+def _runs(term: str) -> list[str]:
+    """Stretches of word signs and of other signs, in turn."""
+    return ["".join(g) for _, g in itertools.groupby(term, _is_word)]
+
+
+def hash_table(entries: dict[str, list], value_type: str) -> Column:
+    """A constant table of texts to lists: an array of small maps, dealt by crc32. Spark looks up a
+    map by reading it from the start; here that is a few entries, however many there are in all."""
+    slots: list[dict[str, list]] = [{} for _ in range(max(len(entries), 1))]
+    for name, value in entries.items():
+        slots[zlib.crc32(name.encode()) % len(slots)][name] = value
+    return F.from_json(F.lit(json.dumps(slots, ensure_ascii=False)), f"array<map<string,array<{value_type}>>>")
+
+
+def hash_lookup(table: Column, slots: int, name: Column) -> Column:
+    """The list of a text, null if there is none."""
+    slot = F.pmod(F.crc32(name.cast("binary")), F.lit(max(slots, 1))).cast("int")
+    return F.try_element_at(F.get(table, slot), name)
+
+
 def scan_terms(text: Column, terms: list[str]) -> Column:
     """Sorted subset of `terms` that occur in the text as whole words, in any case.
 
-    One regular-expression pass per text: a look-ahead tries the longest term first at every
-    word start, so overlapping terms are all seen. A term found also proves each shorter term
-    that begins it ("A B" proves "A"); those are added from a literal table.
+    A word bound lies wherever word signs and other signs meet, so a term between two bounds is a
+    row of whole runs of either kind. The text is cut into runs once; a run that begins some term
+    (a lookup by hash) leads to the terms that begin with it, and each of these is compared with as
+    many runs from there on as it has. Time does not grow with the number of terms, except for
+    terms of one first word.
     """
-    by_first: dict[str, list[str]] = {}
-    for term in sorted((t.lower() for t in terms), key=len, reverse=True):
-        by_first.setdefault(term[0], []).append(term[1:])
-    body = "|".join(f"{_quote(first)}(?:{'|'.join(_quote(r) for r in rest)})"
-                    for first, rest in by_first.items())
-    hits = F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)\b(?=({body})\b)"), F.lit(1))
-    proved = {
-        t.lower(): [u for u in terms if re.match(rf"{re.escape(u)}\b", t, re.IGNORECASE)] or [t]
-        for t in terms
-    }
-    table = literal_map(proved, "array<string>")
-    names = F.flatten(F.transform(F.array_distinct(hits), lambda h: F.try_element_at(table, h)))
-    return F.coalesce(F.array_sort(F.array_distinct(names)), no_strings())
+    by_first: dict[str, dict[str, dict]] = {}
+    for term in terms:
+        low = term.lower()
+        runs = _runs(low)
+        if not runs:
+            continue
+        entry = by_first.setdefault(runs[0], {}).setdefault(low, {
+            "term": low, "runs": len(runs), "names": [],
+            # signs other than word signs have a bound beside word signs only
+            "before": not _is_word(low[0]), "after": not _is_word(low[-1])})
+        entry["names"].append(term)
+    firsts = {first: list(found.values()) for first, found in by_first.items()}
+    table = hash_table(firsts, "struct<term:string,runs:int,names:array<string>,before:boolean,after:boolean>")
+
+    def hits(cut: Column) -> Column:
+        n = F.size(cut)
+
+        def at(run: Column, i: Column) -> Column:
+            def fits(t: Column) -> Column:
+                inside = (~t["before"] | (i > 0)) & (~t["after"] | (i + t["runs"] < n))
+                return inside & (F.array_join(F.slice(cut, i + 1, t["runs"]), "") == t["term"])
+
+            begun = hash_lookup(table, len(firsts), run)
+            return F.flatten(F.transform(F.filter(begun, fits), lambda t: t["names"]))
+
+        return F.flatten(F.array_compact(F.transform(cut, at)))
+
+    cut = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)(\w+|\W+)"), F.lit(1))
+    return F.coalesce(F.array_sort(F.array_distinct(_let(cut, hits))), no_strings())
 
 
 def _quote(term: str) -> str:

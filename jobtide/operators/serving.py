@@ -11,7 +11,7 @@ from jobtide.functions.text import offer_url
 from jobtide.vocab import MONTHLY_TYPES, OFFER_URL, SENIORITIES, STALE_SECONDS
 
 
-def _whole(c: Column) -> Column:
+def whole(c: Column) -> Column:
     """Round half to even, as the reports do."""
     return F.bround(c, 0).cast("bigint")
 
@@ -36,7 +36,7 @@ def salary_groups(mart: DataFrame, seniority: str | None = None) -> DataFrame:
 
     def weighted(col: str) -> Column:
         known = F.when(F.col(col).isNotNull(), F.col("listing_count"))
-        return _whole(F.sum(F.col(col) * F.col("listing_count")) / F.sum(known))
+        return whole(F.sum(F.col(col) * F.col("listing_count")) / F.sum(known))
 
     rows = rows.withColumns({
         "technology": F.lower("technology_name"),
@@ -89,7 +89,7 @@ def related_skills(pairs: DataFrame, demand: DataFrame, n: int = 8) -> DataFrame
     total = F.coalesce("total", F.lit(0))
     return best.join(totals, "technology", "left").select(
         "technology", total.alias("total"), "rank", "other", "count",
-        _whole(100 * F.col("count") / F.nullif(total, F.lit(0))).alias("pct"))
+        whole(100 * F.col("count") / F.nullif(total, F.lit(0))).alias("pct"))
 
 
 def tech_trend(demand: DataFrame, n: int = 12) -> DataFrame:
@@ -146,7 +146,7 @@ def company_intel(snapshot: DataFrame, term: str) -> DataFrame:
     rows = snapshot.where(F.lower("company_name").like(f"%{term.lower()}%"))
 
     def mean(col: str) -> Column:
-        return _whole(F.avg(F.when(F.col(col) != 0, F.col(col))))
+        return whole(F.avg(F.when(F.col(col) != 0, F.col(col))))
 
     totals = rows.agg(F.count(F.lit(1)).alias("listing_count"),
                       mean("salary_min").alias("avg_min"), mean("salary_max").alias("avg_max"))

@@ -184,6 +184,16 @@ from events
 """
 
 # One store per user: {"<chat_id>": {...}}; a few are flat, broken or no object.
+# what users type in search of companies: ends of names, some in capitals and with wildcards
+COMPANY_TERMS = """
+select right(s_name, 1) as term from supplier
+union all select right(s_name, 2) from supplier
+union all select right(s_name, 3) from supplier
+union all select concat(upper(left(s_name, 3)), '%_', right(s_name, 2)) from supplier
+union all select concat(right(s_name, 1), '_%') from supplier
+union all select concat(left(s_name, 1), right(s_name, 1)) from supplier
+union all select '%' from region"""
+
 STORES = """
 select case when u % 37 = 5 then '{"tolerance":1,"seniorities":["mid"]}'
             when u % 37 = 6 then '[1,2]'

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from jobtide.functions.pay import variant_texts
 from jobtide.functions.text import canonical_skills, listing_id_of, offer_url, scan_terms
 from jobtide.operators import (
-    checks, history, ledger, marts, matching, names, serving, silver, star, tracker, usage,
+    checks, history, ledger, lookups, marts, matching, names, serving, silver, star, tracker, usage,
 )
 from jobtide.plans import bindings as b
 from jobtide.plans import build
@@ -24,6 +24,7 @@ LEDGER_NOW = "2024-02-27 12:00:00"
 COLLECTED = "2000-01-01T00:00:00+00:00"
 SALT = "check-salt"
 COMPANY = "supplier#00000000_"
+LOOKED_UP = ["0-3", "1-3", "2-1", "3-2", "5-4", "7-7", "no such listing"]
 # words of the documents beside the technologies, some of them several words long
 SCAN_TERMS = CANONICAL_TECHS + ["The", "in", "of the", "la", "une", "der", "License",
                                 "Apache", "Apache License", "Copyright"]
@@ -511,6 +512,16 @@ def company_intel(t: Tables) -> DataFrame:
     return serving.company_intel(t.snapshot(), COMPANY)
 
 
+@query
+def company_search(t: Tables) -> DataFrame:
+    """Many typed terms at once: the ends of the suppliers' names in several lengths, with wildcards and
+    in capitals, over stored postings and facts of the companies."""
+    path = f"{shared_dir(t.spark)}/companies-{uuid.uuid4().hex}"
+    facts = lookups.write_keyed(lookups.company_facts(t.snapshot()), f"{path}/facts", "name")
+    posted = lookups.write_keyed(lookups.postings(facts, "name"), f"{path}/postings", "gram", "name")
+    return lookups.company_search(t.bind(b.COMPANY_TERMS), facts, posted)
+
+
 @query
 def top_companies(t: Tables) -> DataFrame:
     return serving.top_companies(t.snapshot())
@@ -537,6 +548,14 @@ def listing_meta(t: Tables) -> DataFrame:
     return serving.listing_meta(t.snapshot())
 
 
+@query
+def listing_lookup(t: Tables) -> DataFrame:
+    """Point reads of a few listings from a table laid out by listing."""
+    path = f"{shared_dir(t.spark)}/meta-{uuid.uuid4().hex}"
+    stored = lookups.write_keyed(serving.listing_meta(t.snapshot()), path, "listing_id")
+    return lookups.rows_of(stored, "listing_id", LOOKED_UP)
+
+
 @query
 def freshness(t: Tables) -> DataFrame:
     return serving.freshness(t.bronze(), "ingested_at", t.now)

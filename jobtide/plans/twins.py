@@ -7,9 +7,9 @@ they do not share the shortcuts of the Spark side.
 from __future__ import annotations
 
 from jobtide.functions.keys import pads
-from jobtide.plans.bindings import HALFWAY, NOW, OFFER_PARTS, STORES
+from jobtide.plans.bindings import COMPANY_TERMS, HALFWAY, NOW, OFFER_PARTS, STORES
 from jobtide.plans.catalog import (
-    COLLECTED, COMPANY, LEDGER_NOW, PREVIEW_USER, SALT, SCAN_TERMS,
+    COLLECTED, COMPANY, LEDGER_NOW, LOOKED_UP, PREVIEW_USER, SALT, SCAN_TERMS,
 )
 from jobtide.plans.twin_tables import (
     _list, _q, bronze_from, canonical, found_terms, iso, joined, silver_from, staging_from,
@@ -541,6 +541,19 @@ select '{COMPANY}' as company, count(*) as listing_count,
 from (select *, row_number() over (order by listing_id, employment_type, salary_min, salary_max,
         currency, is_gross) as n
       from snapshot where lower(company_name) like lower('%{COMPANY}%'))""")
+    t["company_search"] = with_tables(f"""
+select term as company, count(*) as listing_count,
+  {even('avg(case when salary_min <> 0 then salary_min end)')} as avg_min,
+  {even('avg(case when salary_max <> 0 then salary_max end)')} as avg_max,
+  any_value(currency) filter (where n = 1) as currency,
+  array_to_string(list(title order by n) filter (where n <= 5 and title <> ''), '|')
+    as sample_titles
+from (select term, s.*, row_number() over (partition by term order by listing_id, employment_type,
+        salary_min, salary_max, currency, is_gross) as n
+      from snapshot s join (select distinct term, name from ({COMPANY_TERMS})
+        join (select distinct lower(company_name) as name from snapshot)
+        on name like lower('%' || term || '%')) on lower(company_name) = name)
+group by term""")
     t["top_companies"] = with_tables(_TOP.replace("{n}", "10"))
     t["hot_technologies"] = with_tables(_HOT.replace("{n}", "10"))
     t["market_report"] = with_tables(f"""
@@ -560,6 +573,8 @@ select 'technologies', row_number() over (order by wow_change desc, technology_n
   technology_name, listing_count, coalesce(wow_change, 0)
 from ({_HOT.replace('{n}', '8')})""", **_TREND)
     t["listing_meta"] = with_tables("select * from meta", meta=ACTIONS["meta"])
+    t["listing_lookup"] = with_tables(f"""
+select * from meta where listing_id in ({', '.join(f"'{i}'" for i in LOOKED_UP)})""", meta=ACTIONS["meta"])
     t["freshness"] = with_tables(f"""
 select count(*) > 0 as ready, {iso('max(ingested_at)')} as last_loaded,
   coalesce(epoch(timestamp '{NOW}') - epoch(max(ingested_at)) > 86400, true) as stale

@@ -37,6 +37,20 @@ def test_scan_terms_against_one_search_per_term(spark):
                    for x in texts]
 
 
+def test_scan_terms_of_signs_and_many_names(spark):
+    rng = random.Random(6)
+    terms = ["C++", ".NET", "c#", "node.js", "Node", "++", "CI/CD", "a b", "A  B", "-", "go-", "_x", "ci"]
+    texts = ["c++", "c++11", "asp.net", ".net", "x .net core", "a++b", "node.js", "Node.JSX", "ci/cd", "CI / CD",
+             "a b", "a  b", "go-to", "go-", "-", "x-y", "_x", "c#4 c#", "", None]
+    texts += ["".join(rng.choices(["c", "+", "#", ".net", " ", "go", "-", "/", "ci", "node", "a", "b"], k=9))
+              for _ in range(200)]
+    many = terms + [f"Name{i} {i % 7}" for i in range(3000)] + ["name12 5 name13 6"]
+    texts += ["name12 5 name13 6", "see NAME2999 3, name299"]
+    got = column(spark, texts, lambda c: text.scan_terms(c, many))
+    assert got == [sorted({t for t in many if re.search(rf"\b{re.escape(t)}\b", x or "", re.I)}) for x in texts]
+    assert column(spark, ["a", None], lambda c: text.scan_terms(c, [])) == [[], []]
+
+
 def test_percent_encoding_and_escaping(spark):
     values = ["a b+c*d~e", "ł&<>\"'/?%", "", "x-y_z.1"]
     assert column(spark, values, text.percent_encode) == [quote(v, safe="") for v in values]
