@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.functions.skew import is_small, lookup_join
-from jobtide.operators.serving import SNAPSHOT_ORDER, whole
+from jobtide.operators.serving import SNAPSHOT_ORDER, intel, whole
 
 ROW_GROUP = 8 << 20
 GRAM = 3
@@ -108,14 +110,28 @@ def company_facts(snapshot: DataFrame) -> DataFrame:
     return totals.join(first, "name")
 
 
+def _totals() -> list[Column]:
+    return [F.sum("listings").alias("listing_count"),
+            *[whole(F.sum(f"sum_{c}") / F.nullif(F.sum(f"known_{c}"), F.lit(0))).alias(f"avg_{c}")
+              for c in ("min", "max")]]
+
+
+def company_lookup(term: str, facts: DataFrame, posted: DataFrame) -> DataFrame:
+    """`serving.company_intel` from stored facts and postings. The names under one gram of the term are
+    read, the last of its longest piece, and compared with the whole term."""
+    low = term.lower()
+    pieces = [re.sub(r"(?s)\\(.)", r"\1", p) for p in re.findall(r"(?s)(?:[^%_\\]|\\.)+", low)]
+    gram = max(pieces, key=len, default="")[-GRAM:]
+    names = posted.where((F.col("gram") == gram) & F.col("name").like(f"%{low}%")).select("name")
+    hits = facts.join(names, "name", "left_semi")
+    return intel(term, hits.agg(*_totals()), hits.select(F.inline("first")))
+
+
 def company_search(terms: DataFrame, facts: DataFrame, posted: DataFrame) -> DataFrame:
     """What `serving.company_intel` says of one term, for each distinct term that some company's
     name holds. Offers are folded by company first, so a term meets companies, not offers."""
     hits = names_holding(terms, posted).join(facts, "name")
-    totals = hits.groupBy("term").agg(
-        F.sum("listings").alias("listing_count"),
-        *[whole(F.sum(f"sum_{c}") / F.nullif(F.sum(f"known_{c}"), F.lit(0))).alias(f"avg_{c}")
-          for c in ("min", "max")])
+    totals = hits.groupBy("term").agg(*_totals())
     order = [F.asc_nulls_last(c) for c in SNAPSHOT_ORDER]
     first = (hits.select("term", F.inline("first"))
              .withColumn("n", F.row_number().over(W.partitionBy("term").orderBy(*order)))

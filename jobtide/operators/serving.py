@@ -150,8 +150,13 @@ def company_intel(snapshot: DataFrame, term: str) -> DataFrame:
 
     totals = rows.agg(F.count(F.lit(1)).alias("listing_count"),
                       mean("salary_min").alias("avg_min"), mean("salary_max").alias("avg_max"))
+    return intel(term, totals, rows.select("title", *SNAPSHOT_ORDER))
+
+
+def intel(term: str, totals: DataFrame, offers: DataFrame) -> DataFrame:
+    """The one row of `totals`, if it counts any listing, with the first five of the offers."""
     order = [F.asc_nulls_last(c) for c in SNAPSHOT_ORDER]
-    first = rows.select("title", *SNAPSHOT_ORDER).orderBy(*order).limit(5)
+    first = offers.orderBy(*order).limit(5)
     # five rows at most from here on
     placed = first.select(F.struct(F.row_number().over(W.orderBy(*order)).alias("n"),
                                    "currency", "title").alias("x"))

@@ -210,6 +210,16 @@ def normalize_offers(t: Tables) -> DataFrame:
     return out.withColumn("salary_variants", shown).drop("languages")
 
 
+@query
+def offers_as_text(t: Tables) -> DataFrame:
+    """Offers rendered in the text form of envelopes and read back as bronze rows."""
+    text = offers.as_listing_text(offers.normalize_offers(b.raw_offers(t.spark, t.sf_dir), "run-1", COLLECTED))
+    rows = bronze.coerce_bronze(text, F.lit("offers.json"), t.now)
+    kinds = F.transform(F.from_json("salary_variants", "array<struct<employment_type:string,currency:string>>"),
+                        lambda v: F.concat_ws("/", v["employment_type"], v["currency"]))
+    return rows.withColumn("salary_variants", kinds).drop("ingested_at")
+
+
 @query
 def offer_parse_report(t: Tables) -> DataFrame:
     return offers.parse_report(b.raw_offers(t.spark, t.sf_dir))

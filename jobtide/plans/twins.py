@@ -430,6 +430,11 @@ select listing_id, seniority, cast(case when {preview_ok} then {misses(preview,
   as mismatches, {preview_ok} and ({misses(preview, _PREVIEW)}) <= 2 as passes, date_collected
 from first_bronze""", first=first, first_bronze=bronze_from("first"))
     t["normalize_offers"] = _OFFERS
+    t["offers_as_text"] = f"""
+select * replace (regexp_replace(salary_variants, '/[^|]*/(PLN|EUR)/[^|]*', '/\\1', 'g') as salary_variants,
+    coalesce(title, '') as title, coalesce(seniority, '') as seniority, coalesce(workplace_type, '') as workplace_type,
+    coalesce(posted_date, '') as posted_date, coalesce(expiry_date, '') as expiry_date),
+  'offers.json' as source_file from ({_OFFERS})"""
     t["offer_parse_report"] = f"""
 select count(*) as offers, count(*) filter (where guid <> '' or slug <> '') as parsed,
   count(*) filter (where not (coalesce(guid, '') <> '' or coalesce(slug, '') <> '')) as rejected

@@ -69,6 +69,10 @@ def test_search_says_what_one_term_says(spark):
         lookups.postings(facts, "name")).collect()}
     one = {t: serving.company_intel(snapshot, t).collect() for t in terms}
     assert got == {t: tuple(r[0])[1:] for t, r in one.items() if r}
+    posted = lookups.postings(facts, "name")
+    stored = {t: lookups.company_lookup(t, facts, posted).collect() for t in [*terms, "\\\\_", ""]}
+    assert {t: stored[t] for t in terms} == one and not stored["\\\\_"]
+    assert stored[""][0].listing_count == one["%"][0].listing_count
     assert "nobody" not in got and len(got) == 6
 
 
