@@ -401,3 +401,28 @@ def test_one_bad_pay_element_keeps_the_others(spark):
     assert [(v.employment_type, v.salary_min) for v in got[0]] == [(None, None), ("b2b", 1.0)]
     assert [v.salary_min for v in got[1]] == [None, None]
     assert got[4] == [] and got[2] is got[3] is got[5] is None
+
+
+def test_dedup_of_rows_that_are_widened_afterwards(spark):
+    """The same rows as from wide records, ties told apart by the derived texts, and the shuffle holds
+    none of these."""
+    lines = [(i, d, n) for i, d, n in [
+        ("a", "2026-01-01", 3), ("a", "2026-02-01", 1), ("b", "2026-01-01", 1), ("b", "2026-01-01", 2),
+        ("b", "2026-01-01", 2), ("c", None, 5), ("c", None, 4), (None, "2026-01-01", 1), (None, "2026-01-01", 7)]]
+    rows = spark.createDataFrame(lines, "listing_id string, date_collected string, n int").selectExpr(
+        "listing_id", "date_collected", "timestamp'2026-01-01' as ingested_at", "'r' as source_run_id", "n")
+
+    def derive(df):
+        return df.selectExpr("*", "if(n = 4, null, 'title ' || n) as title", "'x' as company_name",
+                             "'s' as slug", "'[]' as salary_variants", "repeat('wide', n) as description")
+
+    def got(df):
+        return sorted(map(tuple, df.select("listing_id", "date_collected", "title", "description").collect()), key=str)
+
+    slim = silver.newest_per_listing(rows, derive)
+    assert got(slim) == got(silver.newest_per_listing(derive(rows)))
+    assert [r[2] for r in got(slim)] == ["title 1", "title 2", "title 5", "title 7"]
+    assert "n" not in slim.columns
+    plan = slim._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(listing_id") == 1
+    assert "wide" not in plan[plan.index("Exchange hashpartitioning(listing_id"):]
