@@ -46,12 +46,17 @@ def listings_of(documents: DataFrame) -> DataFrame:
             .select("col.*", "source_file", "guard_run_id", F.col("pos").alias("position")))
 
 
+# packed files are read by one task each, so none holds more envelopes
+FILE_ROWS = 200_000
+
+
 def write_envelope(listings: DataFrame, path: str, collected_at: str) -> None:
-    """Write text listings as JSON lines, one envelope per line."""
+    """Write text listings as packed JSON lines, one envelope per line: names and texts repeat from
+    line to line, and packed they take a small part of the room."""
     body = F.struct(*[F.col(f) for f in LISTING_FIELDS])
     (listings.select(F.struct(F.lit(collected_at).alias("date_collected")).alias("metadata"),
                      F.array(body).alias("listings"))
-     .write.mode("overwrite").json(path))
+     .write.mode("overwrite").options(compression="gzip", maxRecordsPerFile=FILE_ROWS).json(path))
 
 
 def newest_file(listings: DataFrame) -> DataFrame:

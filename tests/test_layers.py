@@ -426,3 +426,15 @@ def test_dedup_of_rows_that_are_widened_afterwards(spark):
     plan = slim._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(listing_id") == 1
     assert "wide" not in plan[plan.index("Exchange hashpartitioning(listing_id"):]
+
+
+def test_envelopes_are_packed_and_cut_into_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(envelope, "FILE_ROWS", 40)
+    names = LISTING_FIELDS
+    rows = spark.range(100).select(*[F.concat(F.lit(f"{c} "), F.col("id").cast("string")).alias(c)
+                                     for c in names]).coalesce(1)
+    envelope.write_envelope(rows, str(tmp_path / "e"), "now")
+    files = glob.glob(str(tmp_path / "e" / "part-*"))
+    assert len(files) == 3 and sum(map(os.path.getsize, files)) < 100 * len(names) * 12
+    back = envelope.read_envelope(spark, str(tmp_path / "e"), lines=True)
+    assert sorted(r.title for r in back.collect()) == sorted(f"title {i}" for i in range(100))
