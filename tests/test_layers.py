@@ -438,3 +438,17 @@ def test_envelopes_are_packed_and_cut_into_files(spark, tmp_path, monkeypatch):
     assert len(files) == 3 and sum(map(os.path.getsize, files)) < 100 * len(names) * 12
     back = envelope.read_envelope(spark, str(tmp_path / "e"), lines=True)
     assert sorted(r.title for r in back.collect()) == sorted(f"title {i}" for i in range(100))
+
+
+def test_fact_by_joins_meets_lookups_before_its_variants_become_rows(spark, stg, monkeypatch):
+    seen = []
+    real = star.lookup_join
+
+    def watched(rows, lookup, keys, spread):
+        seen.append((keys[0], "salary_min" in rows.columns))
+        return real(rows, lookup, keys, spread)
+
+    monkeypatch.setattr(star, "lookup_join", watched)
+    rows = star.fact_by_joins(stg, build.dimensions(spark, stg, START, END))
+    assert {c for c, wide in seen if wide} == {"employment_type"} and len(seen) == 7
+    assert "description" not in rows.columns
