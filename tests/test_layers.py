@@ -452,3 +452,15 @@ def test_fact_by_joins_meets_lookups_before_its_variants_become_rows(spark, stg,
     rows = star.fact_by_joins(stg, build.dimensions(spark, stg, START, END))
     assert {c for c, wide in seen if wide} == {"employment_type"} and len(seen) == 7
     assert "description" not in rows.columns
+
+
+def test_a_build_parses_pay_once_for_fact_and_marts(spark, tmp_path, monkeypatch):
+    made = []
+    real = star.priced
+    monkeypatch.setattr(star, "priced", lambda *a: made.append(1) or real(*a))
+    target = str(tmp_path / "b")
+    tables = build.build(spark, bronze_of(spark, listing(
+        listing_id="a", category="c", seniority="mid", workplace_type="remote",
+        salary_variants=[pay(1, 2)])), target, START, END, "2026-09-01")
+    assert len(made) == 1 and tables["fact_job_listings"].count() == 1
+    assert spark.read.parquet(f"{target}/silver/priced_listings").first().variants[0].salary_min == 1.0
