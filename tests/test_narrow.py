@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.operators import silver
+from jobtide.operators import history, silver
 from jobtide.plans import bindings as b
 from jobtide.plans import catalog
 
@@ -75,3 +75,16 @@ def test_lists_are_read_not_cut(spark, tmp_path):
     assert "split_part" not in b._picked(b.LISTINGS) and "split_part" in b.LISTINGS
     assert t.raw().where("listing_id = '1-2'").select("cities", "nice_to_have_skills").first() == (
         '["Kraków","Poznań"]', '["TypeScript"," python3 "]')
+
+
+def test_lifetime_reads_what_makes_a_version(spark, tmp_path):
+    t = tables(spark, tmp_path)
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "seniority" in plan(catalog._history(t))
+    narrow = catalog._history(t, history.KEY, *history.CHECKED)
+    assert "seniority" not in plan(narrow)
+    assert "seniority" not in plan(catalog.QUERIES["listing_lifetime"](spark, str(tmp_path)))
+    assert rows_of(history.lifetime(narrow, t.now)) == rows_of(history.lifetime(catalog._history(t), t.now))
