@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.skew import is_small, lookup_join
 from jobtide.operators.serving import SNAPSHOT_ORDER, intel, whole
+from jobtide.sources.layers import write_layer
 
 ROW_GROUP = 8 << 20
 GRAM = 3
@@ -24,8 +25,11 @@ def write_keyed(df: DataFrame, path: str, key: str, *then: str, row_group: int =
     Rows are dealt by ranges of the key and sorted by it, in small row groups with a Bloom filter,
     so that a filter on the key opens the row groups that may hold it and of these the pages that
     do. Columns named in `then` go on with the order, so that a hot key is cut into several ranges.
+    The ranges are found in a first copy beside it, since the table would be computed a second time
+    for the sample they are taken from.
     """
-    (df.repartitionByRange(key, *then).sortWithinPartitions(key, *then).write.mode("overwrite")
+    laid = write_layer(df, f"{path}-rows")
+    (laid.repartitionByRange(key, *then).sortWithinPartitions(key, *then).write.mode("overwrite")
      .option("parquet.block.size", row_group)
      .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
     return df.sparkSession.read.schema(df.schema).parquet(path)

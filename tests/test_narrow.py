@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.operators import history, silver
+from jobtide.operators import history, lookups, silver
 from jobtide.plans import bindings as b
 from jobtide.plans import catalog
 
@@ -88,3 +88,16 @@ def test_lifetime_reads_what_makes_a_version(spark, tmp_path):
     assert "seniority" not in plan(narrow)
     assert "seniority" not in plan(catalog.QUERIES["listing_lifetime"](spark, str(tmp_path)))
     assert rows_of(history.lifetime(narrow, t.now)) == rows_of(history.lifetime(catalog._history(t), t.now))
+
+
+def test_keyed_table_is_computed_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        calls.add(1)
+        return x
+
+    df = spark.range(100).select(seen("id").alias("k"))
+    stored = lookups.write_keyed(df, str(tmp_path / "keyed"), "k")
+    assert (stored.count(), calls.value) == (100, 100)
