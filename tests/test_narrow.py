@@ -93,3 +93,17 @@ def test_keyed_table_is_computed_once(spark, tmp_path):
     df = spark.range(100).select(seen("id").alias("k"))
     stored = lookups.write_keyed(df, str(tmp_path / "keyed"), "k")
     assert (stored.count(), calls.value) == (100, 100)
+
+
+def test_ties_are_looked_for_among_few_rows(spark, tmp_path, monkeypatch):
+    t = tables(spark, tmp_path)
+    rows, derive = t.source()
+    key = silver.key_hash(derive)
+    may = rows.join(derive.tied, key == derive.tied["_key"], "left_semi")
+    # every listing with equal stamps, newest or not, and no other
+    assert {r[0] for r in may.select("l_orderkey").collect()} == {1, 2, 11}
+    found = rows_of(t.silver())
+    monkeypatch.setattr(catalog, "SENT", 2)
+    whole = catalog.Tables(spark, str(tmp_path))
+    assert whole.source()[1].tied is None
+    assert found == rows_of(whole.silver())

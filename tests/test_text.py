@@ -103,3 +103,19 @@ def test_cities(spark):
     assert got["Gda"] == ("Gda", False, ["Gdańsk"])
     assert got["Atlantis"] == ("Atlantis", False, [])
     assert got["Warszawa Centrum"][2] == ["Warszawa"]
+
+
+def test_texts_of_json_are_those_of_the_parser(spark):
+    texts = ['["a","b",""]', '[""]', "[]", '["a"]', '["a", "b"]', '["a\\"b","c"]', '["a\tb"]', '["ż ó","😀"]', '["a","b"]x',
+             '["a","b"]\n', '["a"b","c"]', '[1,"a"]', '["a",null]', '[["a","b"]]', "none", "", None, '["a","b"', '["a,b","]["]']
+    df = spark.createDataFrame([(x,) for x in texts], "c string")
+    found = df.select("c", text.texts_of_json(F.col("c")).alias("mine"), F.from_json("c", "array<string>").alias("parser")).collect()
+    assert all(r.mine == r.parser for r in found), [r for r in found if r.mine != r.parser]
+
+
+def test_known_spellings_and_blanks(spark):
+    skills = [[" Python ", "python", "JS", " js ", "odd one ", "", None, " padded"], [], None]
+    df = spark.createDataFrame([(x,) for x in skills], "s array<string>")
+    aliases = {"python": "Python", "js": "JavaScript", " padded": "never"}
+    found = [r[0] for r in df.select(text.canonical_skills(F.col("s"), aliases)).collect()]
+    assert found == [["JavaScript", "Python", "odd one", "padded"], [], []]
