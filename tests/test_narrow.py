@@ -107,3 +107,44 @@ def test_ties_are_looked_for_among_few_rows(spark, tmp_path, monkeypatch):
     whole = catalog.Tables(spark, str(tmp_path))
     assert whole.source()[1].tied is None
     assert found == rows_of(whole.silver())
+
+
+def loads_as_before(t):
+    """What two loads of the whole bronze table leave, the second with runs that the first lacks."""
+    old = F.col("date_collected") < catalog.b.HALFWAY
+    first = t.bronze().where(old)
+    rest = t.bronze().join(first.select(F.col("source_run_id").alias("guard_run_id")).distinct(), "guard_run_id", "left_anti")
+    return first.unionByName(rest, allowMissingColumns=True).drop("guard_run_id")
+
+
+@pytest.mark.parametrize("more", [[], [(1, "a second row", "B#3", "PROMO TIN", 3, 1.0)]])
+def test_loads_make_texts_of_new_runs(spark, tmp_path, monkeypatch, more):
+    monkeypatch.setattr(catalog, "shared_dir", lambda _: str(tmp_path))
+    t = tables(spark, tmp_path, *more)
+    taken = []
+    monkeypatch.setattr(catalog.Tables, "loaded", lambda self, rows, made=catalog.Tables.loaded: (
+        taken.append(rows.count()), made(self, rows))[1])
+    found = rows_of(catalog.QUERIES["bronze_loads"].__closure__[0].cell_contents(t))
+    columns = ["listing_id", "title", "source_run_id", "date_collected"]
+    assert found == rows_of(loads_as_before(t).select(*columns))
+    # the second load makes rows of the lines of 1999, and of those without a run of their own
+    assert len(taken) == 2 and 0 < taken[1] < len(ROWS) and taken[0] < len(ROWS)
+    (folder,) = tmp_path.glob("bronze-*")
+    stored = catalog.bronze.read_bronze(spark, str(folder))
+    assert rows_of(stored.drop("run")) == rows_of(loads_as_before(t))
+    assert stored.where("coalesce(run, '') != source_run_id").isEmpty()
+
+
+def test_load_is_sorted_before_texts_are_made(spark, tmp_path):
+    t = tables(spark, tmp_path)
+    lines = catalog.b.lines_of_runs(t.table("lineitem"))
+    plan = t.loaded(lines)._jdf.queryExecution().optimizedPlan().toString()
+    sort = plan.index("Sort [run#")
+    assert "https://apply.example.com/" in plan[:sort] and "https://apply.example.com/" not in plan[sort:]
+
+
+def test_rows_without_a_listing_are_no_load(spark, tmp_path):
+    t = tables(spark, tmp_path)
+    lines = catalog.b.lines_of_runs(t.table("lineitem").where("l_orderkey = 5"))
+    assert not catalog.bronze.append_new_runs(lines, str(tmp_path / "none"), t.loaded)
+    assert catalog.bronze.read_bronze(spark, str(tmp_path / "none")).isEmpty()
