@@ -307,8 +307,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bands = arrow_column(sketch, "registers", "bands", "array<bigint>", lambda: _bands).select(
         "node", F.explode("bands").alias("band"))
     hubs = bands.groupBy("band").agg(F.min("node").alias("b"), F.count("*").alias("size")).where("size > 1")
-    # from here on only buckets of several nodes
-    bands = stored(bands.join(hubs, "band").select("band", "node", "b"), "bands")
+    # from here on only buckets of several nodes. Spark counts the bands of a node as one row, and would
+    # send all of them through the driver
+    bands = stored(bands.join(hubs.hint("merge"), "band").select("band", "node", "b"), "bands")
     star = bands.where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     estimate = F.arrow_udf(_estimate, "double").asNondeterministic()
     one, two = (sketch.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"),
@@ -347,13 +348,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     long = stored(arrow_column(texts_with(ids), "text", "long", "binary", lambda: _long).select(
         F.col("id").alias("node"), "long").join(sketch, "node"), "long")
     order = ["band", "lo", "hi"]
+    # joined while a node stands once in a bucket, as its blocks are not in Spark's estimate either
     dealt = (member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .join(long, "node")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("band", "node", "comp", "block", F.least("block", "other").alias("lo"),
-                     F.greatest("block", "other").alias("hi"))
-             .join(long, "node").repartition(*order).sortWithinPartitions(*order))
-    late = stored(dealt.select(*order, "node", "comp", "block", "n", "long", "registers").mapInArrow(
-        _block_pairs, "a bigint, b bigint, estimate double"), "late")
+             .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+             .select(*order, "node", "comp", "block", "n", "long", "registers")
+             .repartition(*order).sortWithinPartitions(*order))
+    late = stored(dealt.mapInArrow(_block_pairs, "a bigint, b bigint, estimate double"), "late")
 
     late = relabelled(late.withColumns({"x": F.col("a"), "y": F.col("b")}), placed, ["x", "y"])
     each = FIRST

@@ -161,6 +161,29 @@ def test_links_between_texts_unlike_the_least_one(spark):
     assert sorted(got) == sorted(plain_components(rows))
 
 
+def test_lists_that_become_rows_are_not_broadcast(spark, monkeypatch):
+    """Spark takes a list for one row, so that a broadcast of its rows would be larger than it allows."""
+    plans, stored = {}, near_dup.stored
+
+    def seen(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(near_dup, "stored", seen)
+    shared = [f"s{i}" for i in range(60)]
+    rows = [(k, " ".join(shared + [f"p{i}" for i in range(30 * k, 30 * k + 300)])) for k in range(12)]
+    near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert any("Generate explode" in p for p in plans["bands"]) and any("Generate explode" in p for p in plans["late"])
+    for plan in (p for found in plans.values() for p in found):
+        lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan.splitlines()]
+        for at, (depth, line) in enumerate(lines):
+            if "BroadcastExchange" in line:
+                for below, under in lines[at + 1:]:
+                    if below <= depth:
+                        break
+                    assert "Generate explode" not in under
+
+
 def test_estimate_is_corrected_for_chance():
     random = np.random.default_rng(3)
     one, two = (np.unique(random.integers(0, 1 << 63, 4000, np.uint64)) for _ in range(2))
