@@ -235,6 +235,16 @@ def test_quantiles_by_rank(spark):
     assert quantiles(folded.limit(0), ["g"], "x", "n", [0.5], ["a"]).isEmpty()
 
 
+def test_quantiles_of_few_groups_do_not_shuffle_values(spark):
+    folded = spark.createDataFrame(
+        [(g, float(x), x % 3 + 1) for g in ("a", None) for x in range(-40, 900)], "g string, x double, n long")
+    asked = dict(group=["g"], value="x", count="n", asked=[0.0, 0.25, 0.5, 1.0], names=list("abcd"))
+    few, many = quantiles(folded, **asked, few_groups=True), quantiles(folded, **asked)
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    plan = few._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_last_mark_over_the_ends_of_ranges(spark):
     rng = random.Random(6)
     rows = [(i, rng.choice([None] * 30 + [i])) for i in range(2000)]

@@ -183,6 +183,14 @@ def test_fact(spark, stg):
     assert outside.count() == 0 and rows.where("listing_id = 'c'").count() == 0
 
 
+def test_pay_by_technology_reads_no_ids_and_texts_of_listings(spark, stg):
+    narrow = stg.select(*star.SALARY_SOURCES)
+    assert not {"listing_sk", "title", "slug"} & set(narrow.columns)
+    rows = star.fact(star.priced(narrow, START, END), marts.SALARY_FACT)
+    whole = star.fact(star.priced(stg, START, END)).select(*marts.SALARY_FACT)
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, whole.collect()))
+
+
 def test_marts(spark, stg):
     priced = star.priced(stg, START, END)
     salary = {(r.technology_name, r.employment_type): r
