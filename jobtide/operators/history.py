@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.functions.pay import parse_variants
+from jobtide.session import short_methods
 from jobtide.sources import commits
+from jobtide.sources.layers import write_layer
 
 KEY = "listing_id"
 CHECKED = ["listing_status", "salary_min", "salary_max"]
@@ -135,29 +137,39 @@ def stage(spark: SparkSession, path: str, batch: DataFrame, as_of: Column, bucke
     Open versions lie in buckets by a hash of the key, each with a digest of its checked columns;
     the newest commit says which load wrote each bucket last. Only keys and digests of the batch
     and of the open versions are compared. Buckets in which they differ are read whole, closed and
-    opened as `scd2` does, and written anew; the others keep their files. Closed versions are added
-    and never read again by a load. The first load fixes the number of buckets. A batch without
-    changes stages nothing.
+    opened as `scd2` does, once, and written anew; the others keep their files. Closed versions are
+    added and never read again by a load. The first load compares nothing and fixes the number of
+    buckets. A batch without changes stages nothing.
     """
     entry = commits.entries(spark, path).orderBy(F.desc("version")).limit(1).collect()
     version, parts = (entry[0].version, dict(entry[0].parts)) if entry else (-1, {})
     parts, count = {b: x for b, x in parts.items() if b != "of"}, int(parts.get("of", buckets))
     placed = batch.withColumns({"bucket": _bucket(key, count), "digest": _digest(checked)})
-    known = _open(spark, path, batch.schema, parts).select("bucket", key, F.col("digest").alias("before"))
-    met = placed.select("bucket", key, "digest").join(known, ["bucket", key], "left")
-    moved = sorted(r.bucket for r in met.where(~F.col("digest").eqNullSafe(F.col("before")))
-                   .select("bucket").distinct().collect())
+    differ = placed
+    if parts:
+        # half as many bytes are shuffled as the hex digits have
+        known = _open(spark, path, batch.schema, parts).select("bucket", key, F.unhex("digest").alias("before"))
+        met = placed.select("bucket", key, F.unhex("digest").alias("digest")).join(known, ["bucket", key], "left")
+        differ = met.where(~F.col("digest").eqNullSafe(F.col("before")))
+    with short_methods(spark):
+        moved = sorted(r.bucket for r in differ.select("bucket").distinct().collect())
     name = uuid.uuid4().hex
     if moved:
-        old = _open(spark, path, batch.schema, parts, moved).drop("digest", "bucket").withColumn(
-            "valid_to", F.lit(None).cast("timestamp"))
         here = placed.where(F.col("bucket").isin(moved)).drop("bucket", "digest")
-        after = scd2(old, here, as_of, key, checked).select(*batch.columns, "valid_from", "valid_to")
-        now_open = after.where("valid_to is null").drop("valid_to").withColumns(
-            {"digest": _digest(checked), "bucket": _bucket(key, count)})
-        # one task for a bucket, so that a bucket is one file
-        now_open.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/open/load={name}")
-        after.where("valid_to is not null").write.parquet(f"{path}/closed/load={name}")
+        if parts:
+            old = _open(spark, path, batch.schema, parts, moved).drop("digest", "bucket").withColumn(
+                "valid_to", F.lit(None).cast("timestamp"))
+            after = scd2(old, here, as_of, key, checked).select(*batch.columns, "valid_from", "valid_to")
+            # the open and the closed versions are both read from it
+            after = write_layer(after, f"{path}/merged/load={name}")
+        else:
+            after = first_history(here, as_of)
+        now_open = after.where("valid_to is null").drop("valid_to").withColumn("bucket", _bucket(key, count))
+        with short_methods(spark):
+            # one task for a bucket, so that a bucket is one file; the digests are not shuffled
+            now_open.repartition("bucket").withColumn("digest", _digest(checked)).write.partitionBy("bucket").parquet(
+                f"{path}/open/load={name}")
+            after.where("valid_to is not null").write.parquet(f"{path}/closed/load={name}")
         parts = {**parts, **{str(b): name for b in moved}}
     loads = [*commits.loads(spark, path, version), *([name] if moved else [])]
     return Load(path, name, version, {**parts, "of": str(count)}, moved,

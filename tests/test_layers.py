@@ -357,6 +357,29 @@ def test_a_load_rewrites_only_buckets_with_changes(spark, tmp_path):
     assert "salary_min" not in plan.split("ReadSchema")[-1]
 
 
+def test_a_load_compares_versions_once_and_the_first_none(spark, tmp_path, monkeypatch):
+    calls, scd2 = [], history.scd2
+    monkeypatch.setattr(history, "scd2", lambda *args: calls.append(1) or scd2(*args))
+    path, days = str(tmp_path), [F.lit(datetime(2026, 8, d)) for d in (1, 2)]
+
+    def batch(*rows):
+        return spark.createDataFrame([(k, k, "active", x, 2.0) for k, x in rows], LISTING)
+
+    one, two = batch(("a", 1.0), ("b", 1.0), (None, 1.0), (None, 3.0)), batch(("a", 5.0), ("c", 1.0))
+    history.load(spark, path, one, days[0])
+    assert not calls and files_of(tmp_path, "closed") is not None
+    want = history.first_history(one, days[0])
+    got = history.read(spark, path, one.schema)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
+    done = history.load(spark, path, two, days[1])
+    assert len(calls) == 1
+    # both kinds of versions come from one stored comparison
+    merged = spark.read.parquet(f"{path}/merged/load={done.name}")
+    assert merged.where("valid_to is not null").count() == 1 and merged.where("listing_id = 'a'").count() == 2
+    got, want = history.read(spark, path, one.schema), scd2(want, two, days[1])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
+
+
 def test_two_loads_staged_at_once(spark, tmp_path):
     path, day = str(tmp_path), F.lit(datetime(2026, 8, 1))
     one, two = (spark.createDataFrame([(k, k, "active", 1.0, 2.0)], LISTING) for k in "ab")
