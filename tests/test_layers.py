@@ -280,6 +280,18 @@ def test_checks_and_gate(spark, stg):
     assert twice.violations == 4
 
 
+def test_a_build_parses_pay_once(spark, tmp_path, stg):
+    priced = star.priced(stg, START, END)
+    versions = history.listing_versions(priced, now())
+    assert sorted(map(repr, versions.collect())) == sorted(map(repr, history.listing_versions(stg, now()).collect()))
+    types = star.employment_types(priced)
+    assert sorted(map(repr, types.collect())) == sorted(map(repr, star.employment_types(stg).collect()))
+    stored = layers.write_layer(priced, str(tmp_path / "priced"))
+    tables = build.gold(spark, stg, START, END, stored)
+    for df in (tables["dim_employment_type"], tables["fact_job_listings"], history.listing_versions(stored, now())):
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_build(spark, tmp_path):
     rows = bronze_of(spark, listing(listing_id="a", required_skills=["py"], salary_variants=[pay(1, 2)]))
     target = str(tmp_path)
